@@ -1,0 +1,21 @@
+"""Joins against small dimensions, broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension side of at most this many rows is broadcast.  Genre rows are ~40 bytes,
+# so the bound keeps a broadcast under ~10 MB.
+MAX_BROADCAST_ROWS = 250_000
+
+
+def broadcast_if_small(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint only when ``dim`` provably has <= ``max_rows`` rows.
+
+    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan early), so it
+    stays cheap even if the dimension unexpectedly grows; beyond the bound the join
+    falls back to a shuffle join (and AQE may still convert it at run time).
+    """
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim
