@@ -210,9 +210,15 @@ def q_card_genre_share(spark, sf_dir):
         .withColumn("share_percent", F.col("share_percent").cast("double"))
 
 
+def _register_all() -> None:
+    from snaplake.checks import operator_checks  # noqa: F401  (registers on import)
+
+
 def spark_queries() -> dict[str, Query]:
+    _register_all()
     return {k: v[0] for k, v in CHECKS.items()}
 
 
 def oracle_queries() -> dict[str, str]:
+    _register_all()
     return {k: v[1] for k, v in CHECKS.items() if v[1] is not None}

@@ -11,7 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import DateType, IntegerType, StructField, StructType
+
 from snaplake import schemas
+from snaplake.operators.joins import broadcast_if_small
 
 # Fixed values of the derivation (FIXTURES.md section 4).
 DAYS = (0, 1, 2)
@@ -137,3 +140,75 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     out["discover"] = raw_discover(rows)
     out["genres"] = raw_genres(spark, sf_dir)
     return out
+
+
+# ---- landing documents written from the derived rows -------------------------------
+# Layout: <root>/<dataset>/snapshot_date=D/part-*.json, one JSON document per line.
+
+PAGE_SIZE = 20
+CORRUPT_DETAIL_EVERY = 997
+_LANDING_MOVIE_FIELDS = ("id", "title", "original_title", "overview", "poster_path",
+                         "media_type", "adult", "original_language", "genre_ids",
+                         "popularity", "release_date", "video", "vote_average", "vote_count")
+
+
+def landing_movies(raw: DataFrame) -> DataFrame:
+    """Raw list/discover rows back in API shape: ``genre_ids`` a real array again."""
+    d = raw.withColumn("genre_ids", F.from_json("genre_ids", schemas.GENRE_IDS))
+    keep = StructType(schemas.LANDING_MOVIE.fields + [
+        StructField("snapshot_date", DateType()), StructField("release_year", IntegerType())])
+    return _conform(d, keep)
+
+
+def _write_docs(docs: DataFrame, path: str) -> str:
+    docs.write.mode("overwrite").partitionBy("snapshot_date").text(path)
+    return path
+
+
+def land_pages(movies: DataFrame, path: str, groups=("snapshot_date",),
+               page_size: int = PAGE_SIZE, beyond_last: bool = False) -> str:
+    """Group movies into page documents ``{page, total_pages, results}`` per group.
+
+    A movie's page is a hash bucket of its id among ``ceil(n / page_size)`` pages of its
+    group (no ordering window over a whole group).  ``beyond_last`` adds one page past
+    ``total_pages`` per group, which a reader must ignore."""
+    groups = list(groups)
+    counts = movies.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("total_pages", F.greatest(
+        F.lit(1), F.ceil(F.col("n") / page_size).cast("int")))
+    m = movies.join(broadcast_if_small(counts), groups)  # one row per day x year
+    m = m.withColumn("page", (F.pmod(F.xxhash64("id"), F.col("total_pages")) + 1).cast("int"))
+    fields = [c for c in _LANDING_MOVIE_FIELDS if c in movies.columns]
+    pages = m.groupBy(*groups, "page", "total_pages").agg(
+        F.collect_list(F.struct(*fields)).alias("results"))
+    if beyond_last:
+        extra = pages.where(F.col("page") == 1).select(
+            *groups, (F.col("total_pages") + 1).alias("page"), "total_pages",
+            F.transform("results", lambda r: r.withField("popularity", F.lit(-1.0)))
+             .alias("results"))
+        pages = pages.unionByName(extra)
+    doc_cols = [c for c in groups if c != "snapshot_date"] + ["page", "total_pages", "results"]
+    docs = pages.select("snapshot_date", F.to_json(F.struct(*doc_cols)).alias("value"))
+    return _write_docs(docs, path)
+
+
+def land_genre_docs(genres: DataFrame, path: str) -> str:
+    """One ``{"genres": [...]}`` document per day (a genre list has tens of entries)."""
+    docs = genres.groupBy("snapshot_date").agg(
+        F.array_sort(F.collect_list(F.struct("id", "name"))).alias("genres"))
+    return _write_docs(docs.select("snapshot_date",
+                                   F.to_json(F.struct("genres")).alias("value")), path)
+
+
+def land_detail_docs(details: DataFrame, path: str) -> str:
+    """One detail document per movie and day; every 997th is cut short (a failed fetch)."""
+    d = details.withColumn("genres", F.from_json("genres", schemas.GENRE_OBJECTS))
+    fields = [f.name for f in schemas.DETAIL_DOC.fields
+              if f.name in d.columns and f.name not in
+              ("production_companies", "production_countries", "spoken_languages",
+               "belongs_to_collection")]
+    text = F.to_json(F.struct(*fields))
+    bad = F.col("id") % CORRUPT_DETAIL_EVERY == 0
+    docs = d.select("snapshot_date", F.when(bad, F.substring(text, 1, 25))
+                    .otherwise(text).alias("value"))
+    return _write_docs(docs, path)
