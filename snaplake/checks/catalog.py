@@ -211,7 +211,7 @@ def q_card_genre_share(spark, sf_dir):
 
 
 def _register_all() -> None:
-    from snaplake.checks import operator_checks  # noqa: F401  (registers on import)
+    from snaplake.checks import io_checks, operator_checks  # noqa: F401  (register)
 
 
 def spark_queries() -> dict[str, Query]:

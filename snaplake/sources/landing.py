@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from snaplake import schemas
 from snaplake.operators.ingest import MAX_PAGES
@@ -19,8 +19,18 @@ LIST_DATASETS = ("trending", "popular", "top_rated")
 CORRUPT = "_corrupt_record"
 
 
+# Landing folders may be laid out as ``<dataset>/snapshot_date=D/``; naming the partition
+# column in the schema lets a read of the dataset folder carry the day of each document
+# (a read of one day's folder leaves it NULL, and the run stamps its date).
+DAY = StructField("snapshot_date", DateType())
+
+
+def _with_day(schema: StructType) -> StructType:
+    return StructType(schema.fields + [DAY])
+
+
 def _json(spark: SparkSession, path: str, schema: StructType, multi_line: bool) -> DataFrame:
-    return spark.read.schema(schema).option("mode", "PERMISSIVE") \
+    return spark.read.schema(_with_day(schema)).option("mode", "PERMISSIVE") \
         .json(path, multiLine=multi_line)
 
 
@@ -30,7 +40,8 @@ def read_list_pages(spark: SparkSession, path: str, dataset: str,
     if dataset not in LIST_DATASETS:
         raise ValueError(f"Unknown dataset type: {dataset}")
     pages = _json(spark, path, schemas.LIST_PAGE, multi_line)
-    movies = pages.select(F.explode("results").alias("r")).select("r.*")
+    movies = pages.select("snapshot_date", F.explode("results").alias("r")) \
+        .select("r.*", "snapshot_date")
     if dataset != "trending":
         movies = movies.drop("media_type")
     return movies.withColumn("data_source", F.lit("api"))
@@ -39,8 +50,8 @@ def read_list_pages(spark: SparkSession, path: str, dataset: str,
 def read_genre_doc(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """SRC-02: rows under ``genres`` (id, name)."""
     doc = _json(spark, path, schemas.GENRE_DOC, multi_line)
-    return doc.select(F.explode("genres").alias("g")).select("g.id", "g.name") \
-        .withColumn("data_source", F.lit("api"))
+    return doc.select("snapshot_date", F.explode("genres").alias("g")) \
+        .select("g.id", "g.name", "snapshot_date").withColumn("data_source", F.lit("api"))
 
 
 def read_discover_pages(spark: SparkSession, path: str, max_page: int = MAX_PAGES,
@@ -54,25 +65,26 @@ def read_discover_pages(spark: SparkSession, path: str, max_page: int = MAX_PAGE
     except as exploded rows.
     """
     pages = _json(spark, path, schemas.DISCOVER_PAGE, multi_line)
-    meta = pages.select("release_year", "page", "total_pages",
+    request = ["snapshot_date", "release_year"]  # one paging loop per request
+    meta = pages.select(*request, "page", "total_pages",
                         F.size("results").alias("n")).where(F.col("page") >= 1)
-    w = Window.partitionBy("release_year").orderBy("page")
+    w = Window.partitionBy(*request).orderBy("page")
     meta = meta.withColumn("seq", F.row_number().over(w))
     # A page is readable when every page before it exists, is non-empty and did not
     # end the loop.  Stop pages: first gap or empty page (excluded) and the first page
     # that ends the loop (included).
     ends = F.col("page") >= F.least(F.col("total_pages"), F.lit(max_page))
-    stop = meta.groupBy("release_year").agg(
+    stop = meta.groupBy(*request).agg(
         F.min(F.when((F.col("page") != F.col("seq")) | (F.col("n") <= 0), F.col("seq") - 1))
          .alias("before_gap"),
         F.min(F.when(ends, F.col("page"))).alias("last_page"))
     limit = F.least(F.coalesce("before_gap", F.lit(max_page)),
                     F.coalesce("last_page", F.lit(max_page)), F.lit(max_page))
-    keep = stop.select("release_year", limit.alias("keep_to"))
-    kept = pages.join(broadcast_if_small(keep), "release_year") \
+    keep = stop.select(*[F.col(c).alias("k_" + c) for c in request], limit.alias("keep_to"))
+    on = [F.col(c).eqNullSafe(F.col("k_" + c)) for c in request]
+    kept = pages.join(broadcast_if_small(keep), on) \
         .where(F.col("page").between(1, F.col("keep_to")))
-    return kept.select("release_year", F.explode("results").alias("r")) \
-        .select("r.*", "release_year")
+    return kept.select(*request, F.explode("results").alias("r")).select("r.*", *request)
 
 
 def read_detail_docs(spark: SparkSession, path: str,
@@ -81,10 +93,13 @@ def read_detail_docs(spark: SparkSession, path: str,
 
     A document that does not parse is set aside with its raw text; the others go on,
     as the reference logs and skips a failed fetch."""
-    schema = StructType(schemas.DETAIL_DOC.fields + [StructField(CORRUPT, StringType())])
+    schema = StructType(schemas.DETAIL_DOC.fields + [StructField(CORRUPT, StringType()), DAY])
     docs = spark.read.schema(schema).option("mode", "PERMISSIVE") \
         .option("columnNameOfCorruptRecord", CORRUPT).json(path, multiLine=multi_line)
     good = docs.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    # A failed document keeps its raw text; ``id`` rides along (NULL when the text did
+    # not parse) because Spark refuses a scan that needs only the corrupt-record column.
     bad = docs.where(F.col(CORRUPT).isNotNull()).select(
-        F.col(CORRUPT).alias("document"), F.input_file_name().alias("file"))
+        F.col(CORRUPT).alias("document"), "id", "snapshot_date",
+        F.input_file_name().alias("file"))
     return good, bad
