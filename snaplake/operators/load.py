@@ -86,11 +86,12 @@ def insert_if_absent(batch: DataFrame, path: str,
     if order is None:
         order = [F.col(f.name).asc_nulls_last() for f in batch.schema.fields
                  if f.name not in keys and not isinstance(f.dataType, MapType)]
-    batch = _reject_null_keys(batch, keys)
-    first = first_per_key(batch, keys, order) if order else batch.dropDuplicates(keys)
+    guarded = _reject_null_keys(batch, keys)
+    first = first_per_key(guarded, keys, order) if order else guarded.dropDuplicates(keys)
     stored = _stored(batch, path)
     if stored is not None:
-        days = [r[0] for r in first.select(partition_col).distinct()
+        # Distinct days of the batch: a one-column partial aggregate, a handful of values.
+        days = [r[0] for r in batch.select(partition_col).distinct()
                 .limit(MAX_LITERAL_PARTITIONS + 1).collect()]
         if len(days) <= MAX_LITERAL_PARTITIONS:
             stored = stored.where(F.col(partition_col).isin(days))
