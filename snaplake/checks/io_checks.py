@@ -171,7 +171,7 @@ SELECT movie_id, title, original_title, overview, status, tagline, runtime, budg
 def q_snk_materialise(spark, sf_dir):
     """SNK-04: core written partitioned by day and read back."""
     root = scratch_path(spark, "layers")
-    core = lake_sink.materialise(layers(spark, sf_dir)["core_movies"], root, "core_tmdb",
+    core = lake_sink.materialise(layers(spark, sf_dir)["core_movies"], root, "core",
                                  "core_movies", partition_by=["snapshot_date"])
     return _json_arrays(core, "raw_genres", "raw_genre_ids")
 
@@ -179,7 +179,7 @@ def q_snk_materialise(spark, sf_dir):
 @check("snk_view", "SELECT * FROM stg_genres")
 def q_snk_view(spark, sf_dir):
     """SNK-05: a model materialised as a view."""
-    return lake_sink.materialise(layers(spark, sf_dir)["stg_genres"], "", "raw_tmdb",
+    return lake_sink.materialise(layers(spark, sf_dir)["stg_genres"], "", "raw",
                                  "stg_genres_view", kind="view")
 
 
@@ -189,7 +189,7 @@ def q_ddl_raw_tables(spark, sf_dir):
     the catalog table's location, read back through the catalog."""
     root = scratch_path(spark, "warehouse")
     suffix = root.rsplit("-", 1)[-1]
-    db = ddl.layer_name(f"  raw_tmdb_{suffix} ", "raw_tmdb")
+    db = ddl.layer_name(f"  raw_{suffix} ", "raw")
     for _ in range(2):
         ddl.create_layers(spark, root, layers=(db,))
         ddl.create_raw_tables(spark, root, db=db)

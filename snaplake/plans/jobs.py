@@ -19,7 +19,7 @@ from snaplake.plans import gold, quality, silver
 from snaplake.sinks import lake as lake_sink
 from snaplake.sources import landing, lake as lake_source
 
-LAYERS = {"silver": "core_tmdb", "gold": "gold_tmdb", "tests": "gold_tmdb"}
+LAYERS = {"silver": "core", "gold": "gold", "tests": "gold"}
 
 
 def _lake(root: str) -> str:

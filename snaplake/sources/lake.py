@@ -20,8 +20,8 @@ def read_snapshot(spark: SparkSession, root: str, dataset: str, date: str,
 
 
 def register_sources(spark: SparkSession, root: str,
-                     prefix: str = "raw_tmdb__") -> dict[str, DataFrame]:
-    """SRC-06: the six raw tables as named views ``raw_tmdb__<table>``."""
+                     prefix: str = "raw__") -> dict[str, DataFrame]:
+    """SRC-06: the six raw tables as named views ``raw__<table>``."""
     out = {}
     for name, schema in schemas.RAW_TABLES.items():
         df = spark.read.schema(schema).parquet(raw_path(root, name))

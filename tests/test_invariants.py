@@ -194,5 +194,5 @@ def test_discover_top_matches_brute_force(spark, sf_dir):
 
 
 def test_layer_name():
-    assert layer_name("  core_tmdb ", "public") == "core_tmdb"
+    assert layer_name("  core ", "public") == "core"
     assert layer_name(None, "public") == "public"
