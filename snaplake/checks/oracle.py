@@ -227,7 +227,10 @@ def with_ctes(final: str) -> str:
     if not names:
         return final.strip()
     body = ",\n".join(f"{n} AS (\n{_CTES[n]}\n)" for n in names)
-    return f"WITH {body}\n{final.strip()}"
+    final = final.strip()
+    if final[:5].upper() == "WITH ":  # the statement brings CTEs of its own
+        return f"WITH {body},\n{final[5:]}"
+    return f"WITH {body}\n{final}"
 
 
 def r4(expr: str) -> str:

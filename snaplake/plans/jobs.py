@@ -11,7 +11,6 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from snaplake import schemas
 from snaplake.operators import ingest, load
@@ -42,27 +41,31 @@ def load_dataset(spark: SparkSession, root: str, dataset: str, date: str,
     return load.insert_if_absent(df, lake_sink.raw_path(root, dataset))
 
 
-def _raw(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    out = {}
-    for name, schema in schemas.RAW_TABLES.items():
-        try:
-            out[name] = spark.read.schema(schema).parquet(lake_sink.raw_path(root, name))
-        except AnalysisException:  # table never loaded (e.g. genres before a daily run)
-            out[name] = spark.createDataFrame([], schema)
-    return out
+def build_models(spark: SparkSession, root: str,
+                 days: Iterable[str] | None = None) -> dict[str, DataFrame]:
+    """All silver and gold models, each materialised and read back, then the DQ suite.
 
-
-def build_models(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """All silver and gold models, each materialised and read back, then the DQ suite."""
-    raw = _raw(spark, root)
+    Silver rows of a day depend only on that day's raw rows (every dedupe key holds
+    ``snapshot_date``), so with ``days`` only those day partitions of silver are
+    recomputed (raw scans pruned to them) and replaced; gold is rebuilt from the whole
+    materialised silver, as the reference rebuilds its gold tables.
+    """
+    raw = lake_source.register_sources(spark, root)
+    if days is not None:
+        wanted = [F.lit(d).cast("date") for d in days]
+        raw = {k: v.where(F.col("snapshot_date").isin(wanted)) for k, v in raw.items()}
     s = silver.build_silver(raw)
     mat = {}
+    daily = dict(partition_by=["snapshot_date"], only_present_partitions=days is not None)
     for name in ("stg_genres", "stg_movie_details", "stg_discover"):
-        mat[name] = lake_sink.materialise(s[name], root, LAYERS["silver"], name,
-                                          partition_by=["snapshot_date"])
-    s2 = silver.core_movies(mat["stg_movie_details"], mat["stg_discover"])
-    mat["core_movies"] = lake_sink.materialise(s2, root, LAYERS["silver"], "core_movies",
-                                               partition_by=["snapshot_date"])
+        mat[name] = lake_sink.materialise(s[name], root, LAYERS["silver"], name, **daily)
+    if days is None:
+        details, disc = mat["stg_movie_details"], mat["stg_discover"]
+    else:
+        details, disc = s["stg_movie_details"], s["stg_discover"]
+    core = silver.core_movies(details, disc)
+    mat["core_movies"] = lake_sink.materialise(core, root, LAYERS["silver"], "core_movies",
+                                               **daily)
     g = gold.build_gold(mat)
     for name, df in g.items():
         mat[name] = lake_sink.materialise(df, root, LAYERS["gold"], name)
@@ -88,7 +91,7 @@ def run_daily(spark: SparkSession, landing_root: str, root: str, date: str,
         lake_sink.write_snapshot(df, _lake(root), name, date)
     for name in extracted:
         load_dataset(spark, root, name, date)
-    return build_models(spark, root)
+    return build_models(spark, root, days=[date])
 
 
 def backfill(spark: SparkSession, landing_dir: str, lake_root: str, years: Iterable[int],
@@ -110,4 +113,4 @@ def run_backfill(spark: SparkSession, landing_root: str, root: str, years: Itera
         .where((F.col("snapshot_date") == F.lit(date).cast("date"))
                & F.col("year").isin(years)).drop("year")
     load_dataset(spark, root, "discover", date, snapshot=snap)
-    return build_models(spark, root)
+    return build_models(spark, root, days=[date])

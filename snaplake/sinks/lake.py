@@ -43,18 +43,22 @@ def write_discover(df: DataFrame, root: str, date: str) -> str:
 
 
 def materialise(df: DataFrame, root: str, layer: str, name: str, kind: str = "table",
-                partition_by: Sequence[str] = ()) -> DataFrame:
-    """SNK-04/SNK-05: full rebuild of a model.
+                partition_by: Sequence[str] = (), only_present_partitions: bool = False
+                ) -> DataFrame:
+    """SNK-04/SNK-05: rebuild of a model.
 
     ``table``: overwrite ``<root>/<layer>/<name>`` and return a DataFrame reading it
     back -- downstream models start from the written files, which also cuts lineage.
+    With ``only_present_partitions`` only the partitions ``df`` holds are replaced
+    (a model whose rows for a day depend only on that day's input, refreshed per day).
     ``view``: a temporary view ``<layer>__<name>`` over the plan, nothing written.
     """
     if kind == "view":
         df.createOrReplaceTempView(f"{layer}__{name}")
         return df.sparkSession.table(f"{layer}__{name}")
     path = f"{root.rstrip('/')}/{layer}/{name}"
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    mode = "dynamic" if only_present_partitions and partition_by else "static"
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

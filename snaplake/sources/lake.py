@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +22,14 @@ def read_snapshot(spark: SparkSession, root: str, dataset: str, date: str,
 
 def register_sources(spark: SparkSession, root: str,
                      prefix: str = "raw__") -> dict[str, DataFrame]:
-    """SRC-06: the six raw tables as named views ``raw__<table>``."""
+    """SRC-06: the six raw tables as named views ``raw__<table>``.  A table never
+    loaded yet (genres before the first daily run) is registered empty."""
     out = {}
     for name, schema in schemas.RAW_TABLES.items():
-        df = spark.read.schema(schema).parquet(raw_path(root, name))
+        try:
+            df = spark.read.schema(schema).parquet(raw_path(root, name))
+        except AnalysisException:
+            df = spark.createDataFrame([], schema)
         df.createOrReplaceTempView(prefix + name)
-        out[name] = df
+        out[name] = spark.table(prefix + name)
     return out

@@ -7,14 +7,13 @@ from snaplake.checks.compare import compare
 
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()
-SLOW = {"pipe_daily"}
 
 
-def test_every_query_but_whole_runs_has_sql():
-    assert set(QUERIES) - set(SQL) <= SLOW
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_parity(spark, con, sf_dir, name):
     rec = compare(spark, con, name, QUERIES[name], SQL.get(name), sf_dir)
     assert rec["ok"], rec
