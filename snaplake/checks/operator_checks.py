@@ -267,10 +267,7 @@ SELECT id, release_year, snapshot_date, popularity FROM (
 def q_ing_discover_top(spark, sf_dir):
     """ING-03 with the API's own limits (500 pages of 20) per (year, request date)."""
     raw = layers(spark, sf_dir)["discover"].where(F.col("data_source") == "discover")
-    from snaplake.operators.dedupe import top_n_per_group
-    order = [F.col("popularity").desc_nulls_last(), F.col("id").asc()]
-    n = ingest.MAX_PAGES * ingest.PAGE_SIZE
-    return top_n_per_group(raw, ["release_year", "snapshot_date"], order, n) \
+    return ingest.discover_top(raw, request_cols=["snapshot_date"]) \
         .select("id", "release_year", "snapshot_date", "popularity")
 
 

@@ -26,3 +26,39 @@ def top_n_per_group(df: DataFrame, groups: Sequence[str], order: Sequence[Column
     """ING-03: the first ``n`` rows of every group (partial top-n before the shuffle)."""
     w = Window.partitionBy(*groups).orderBy(*order)
     return df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) <= n).drop(_RN)
+
+
+# Quantile levels 1 - 2^-k: the value above which about n_rows * 2^-k rows lie.
+_LEVELS = [1.0 - 2.0 ** -k for k in range(1, 41)]
+
+
+def top_n_by_value(df: DataFrame, groups: Sequence[str], value: str, tie: str, n: int,
+                   accuracy: int = 10_000) -> DataFrame:
+    """Exact first ``n`` rows per group by ``value`` DESC (NULL last), then ``tie`` ASC.
+
+    A plain rank window ships up to ``n`` rows per group from every map task, so with a
+    large ``n`` and many tasks one group's final task would receive tasks * n rows.  So
+    a first pass computes, per group, a mergeable quantile sketch (``percentile_approx``,
+    rank error at most ``rows / accuracy``) and picks the highest quantile that still
+    leaves at least ``n`` rows above it even after twice that error.  Only rows at or
+    above it survive (a few times ``n`` per group) and the exact window runs on them.
+    Every true top-``n`` row survives: at least ``n`` rows are >= the threshold, so the
+    n-th best value is too.  Groups too small for a safe threshold keep all rows.
+    """
+    groups = list(groups)
+    v = F.col(value)
+    stats = df.groupBy(*groups).agg(
+        F.count(v).alias("_n_values"),
+        F.percentile_approx(v, _LEVELS, accuracy).alias("_q"))
+    err = 2.0 / accuracy
+    picks = [F.when(F.col("_n_values") * (2.0 ** -k - err) >= n, F.col("_q")[k - 1])
+             for k in range(len(_LEVELS), 0, -1)]
+    thresholds = stats.select(*[F.col(g).alias("_g_" + g) for g in groups],
+                              F.coalesce(*picks).alias("_threshold"))
+    from snaplake.operators.joins import broadcast_if_small  # one row per group
+    on = [F.col(g).eqNullSafe(F.col("_g_" + g)) for g in groups]
+    kept = df.join(broadcast_if_small(thresholds), on, "left") \
+        .where(F.col("_threshold").isNull() | (v >= F.col("_threshold"))) \
+        .drop("_threshold", *["_g_" + g for g in groups])
+    order = [v.desc_nulls_last(), F.col(tie).asc()]
+    return top_n_per_group(kept, groups, order, n)

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.operators.dedupe import top_n_per_group
+from snaplake.operators.dedupe import top_n_by_value
 
 # The API serves at most 500 pages of discover results per query.
 MAX_PAGES = 500
@@ -36,13 +36,14 @@ def details_for(ids: DataFrame, docs: DataFrame, keys: Sequence[str] = ("id",))
 
 
 def discover_top(df: DataFrame, max_pages: int = MAX_PAGES, page_size: int = PAGE_SIZE,
-                 year_col: str = "release_year") -> DataFrame:
-    """ING-03: what a discover query returns per release year -- popularity descending,
-    at most ``max_pages * page_size`` rows.  Ties go to the smaller id; unknown
-    popularity ranks last.  Planned as a partial top-n per map task, so a year holding
-    most rows ships at most ``n`` of them per task."""
-    order = [F.col("popularity").desc_nulls_last(), F.col("id").asc()]
-    return top_n_per_group(df, [year_col], order, max_pages * page_size)
+                 year_col: str = "release_year",
+                 request_cols: Sequence[str] = ()) -> DataFrame:
+    """ING-03: what a discover query returns per release year (and per request, e.g.
+    snapshot date) -- popularity descending, at most ``max_pages * page_size`` rows.
+    Ties go to the smaller id; unknown popularity ranks last.  A quantile pre-filter
+    keeps the final per-year window small however many rows a year holds."""
+    return top_n_by_value(df, [year_col, *request_cols], "popularity", "id",
+                          max_pages * page_size)
 
 
 def shape_discover(movies: DataFrame, year_col: str = "release_year") -> DataFrame:

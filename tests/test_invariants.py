@@ -196,3 +196,19 @@ def test_discover_top_matches_brute_force(spark, sf_dir):
 def test_layer_name():
     assert layer_name("  core ", "public") == "core"
     assert layer_name(None, "public") == "public"
+
+
+@pytest.mark.parametrize("n", [1, 7, 150])
+def test_top_n_by_value_prefilter_is_exact(spark, n):
+    from snaplake.operators.dedupe import top_n_by_value
+    df = spark.range(0, 20000).selectExpr(
+        "id", "id % 3 AS g",
+        "CASE WHEN id % 97 = 0 THEN NULL ELSE (id * 7919) % 1000 END AS v")
+    got = {(r.g, r.id) for r in top_n_by_value(df, ["g"], "v", "id", n).collect()}
+    rows = df.collect()
+    want = set()
+    for g in range(3):
+        rs = sorted((r for r in rows if r.g == g),
+                    key=lambda r: (r.v is None, -(r.v or 0), r.id))
+        want |= {(g, r.id) for r in rs[:n]}
+    assert got == want
