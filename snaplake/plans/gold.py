@@ -16,6 +16,23 @@ from snaplake.operators.joins import broadcast_if_small
 TOP_N = 20
 HISTORY_FROM = "2000-01-01"
 
+# Declared row order of the stored models (the reference's ORDER BY).  A stored table
+# has no row order in Spark, so the models are written unsorted (no range-partitioning
+# pass) and readers that need the order apply it with ``ordered`` (trap T7).
+ORDER = {  # (column, descending); every DESC puts NULL first (T1)
+    "historical_genre_distribution": [("movie_count", True), ("genre_name", False)],
+    "agg_genre_trends": [("snapshot_date", True), ("avg_popularity", True),
+                         ("genre", False)],
+    "agg_historical_analysis": [("release_year", True), ("genre_market_share", True),
+                                ("genre_name", False)],
+}
+
+
+def ordered(df: DataFrame, model: str) -> DataFrame:
+    """A stored model read back in its declared order."""
+    return df.orderBy(*[F.col(c).desc_nulls_first() if desc else F.col(c).asc()
+                        for c, desc in ORDER[model]])
+
 
 def latest(df: DataFrame, date_col: str = "snapshot_date") -> DataFrame:
     """FLT-05/AGG-05: rows of the latest snapshot, via an uncorrelated scalar subquery.
@@ -66,8 +83,7 @@ def _movie_genres(core: DataFrame, stg_genres: DataFrame, *cols: str) -> DataFra
 def historical_genre_distribution(core: DataFrame, stg_genres: DataFrame) -> DataFrame:
     """MOD-08: distinct movies per genre over all snapshots."""
     pairs = _movie_genres(core, stg_genres, "movie_id")
-    return pairs.groupBy("genre_name").agg(F.count_distinct("movie_id").alias("movie_count")) \
-        .orderBy(F.col("movie_count").desc_nulls_first(), F.col("genre_name"))
+    return pairs.groupBy("genre_name").agg(F.count_distinct("movie_id").alias("movie_count"))
 
 
 def agg_genre_trends(core: DataFrame, stg_discover: DataFrame,
@@ -87,9 +103,7 @@ def agg_genre_trends(core: DataFrame, stg_discover: DataFrame,
     return both.groupBy("genre_name", "snapshot_date").agg(
         F.avg("popularity").alias("avg_popularity"), F.count(F.lit(1)).alias("movie_count"),
     ).select(F.col("genre_name").alias("genre"), "snapshot_date", "avg_popularity",
-             "movie_count") \
-        .orderBy(F.col("snapshot_date").desc_nulls_first(),
-                 F.col("avg_popularity").desc_nulls_first(), F.col("genre"))
+             "movie_count")
 
 
 def agg_historical_analysis(core: DataFrame, stg_genres: DataFrame) -> DataFrame:
@@ -115,8 +129,7 @@ def agg_historical_analysis(core: DataFrame, stg_genres: DataFrame) -> DataFrame
         F.coalesce(F.col("avg_rating"), F.lit(0.0)).alias("avg_rating"),
         total.alias("total_movies_per_year"),
         fn.share_percent(F.col("movie_count"), total).alias("genre_market_share"))
-    return out.orderBy(F.col("release_year").desc_nulls_first(),
-                       F.col("genre_market_share").desc_nulls_first(), F.col("genre_name"))
+    return out
 
 
 def fact_movie_popularity(core: DataFrame) -> DataFrame:
