@@ -52,18 +52,40 @@ def load_dataset(spark: SparkSession, root: str, dataset: str, date: str,
     return load.insert_if_absent(df, lake_sink.raw_path(root, dataset))
 
 
+SILVER = ("stg_genres", "stg_movie_details", "stg_discover", "core_movies")
+# Gold models over the whole history, rebuilt from the stored silver on every run.
+WHOLE_HISTORY_GOLD = {
+    "daily_total_movies": lambda s: gold.daily_total_movies(s["core_movies"]),
+    "daily_top_rated_movies": lambda s: gold.daily_top_rated_movies(s["core_movies"]),
+    "daily_most_popular_movies": lambda s: gold.daily_most_popular_movies(s["core_movies"]),
+    "historical_genre_distribution":
+        lambda s: gold.historical_genre_distribution(s["core_movies"], s["stg_genres"]),
+    "agg_historical_analysis":
+        lambda s: gold.agg_historical_analysis(s["core_movies"], s["stg_genres"]),
+    "dim_movies": lambda s: gold.dim_movies(s["core_movies"]),
+}
+# Gold models whose rows of a day depend only on that day's silver rows: a run refreshes
+# just its days (the fact table alone is as large as core).
+PER_DAY_GOLD = {
+    "agg_genre_trends": lambda s: gold.agg_genre_trends(s["core_movies"], s["stg_discover"],
+                                                        s["stg_genres"]),
+    "fact_movie_popularity": lambda s: gold.fact_movie_popularity(s["core_movies"]),
+}
+
+
 def build_models(spark: SparkSession, root: str,
                  days: Iterable[str] | None = None) -> dict[str, DataFrame]:
     """All silver and gold models, each materialised and read back, then the DQ suite.
 
     Silver rows of a day depend only on that day's raw rows (every dedupe key holds
     ``snapshot_date``), so with ``days`` only those day partitions of silver are
-    recomputed (raw scans pruned to them) and replaced; gold is rebuilt from the whole
-    materialised silver, as the reference rebuilds its gold tables.
+    recomputed (raw scans pruned to them) and replaced.  The same holds for the per-day
+    gold models; the others are rebuilt from the whole stored silver, as the reference
+    rebuilds its gold tables.
     """
     raw = lake_source.register_sources(spark, root)
+    wanted = [F.lit(d).cast("date") for d in days or ()]
     if days is not None:
-        wanted = [F.lit(d).cast("date") for d in days]
         raw = {k: v.where(F.col("snapshot_date").isin(wanted)) for k, v in raw.items()}
     s = silver.build_silver(raw)
     daily = dict(partition_by=["snapshot_date"], only_present_partitions=days is not None)
@@ -77,9 +99,14 @@ def build_models(spark: SparkSession, root: str,
     core = silver.core_movies(details, disc)
     mat["core_movies"] = lake_sink.materialise(core, root, LAYERS["silver"], "core_movies",
                                                **daily)
-    g = gold.build_gold(mat)
+    whole = {name: build(mat) for name, build in WHOLE_HISTORY_GOLD.items()}
     mat.update(_each(lambda name, df: lake_sink.materialise(df, root, LAYERS["gold"], name),
-                     g))
+                     whole))
+    scope = mat if days is None else {
+        k: mat[k].where(F.col("snapshot_date").isin(wanted)) for k in SILVER}
+    per_day = {name: build(scope) for name, build in PER_DAY_GOLD.items()}
+    mat.update(_each(lambda name, df: lake_sink.materialise(df, root, LAYERS["gold"], name,
+                                                            **daily), per_day))
     mat["dq_results"] = lake_sink.materialise(quality.run_suite(mat), root, LAYERS["tests"],
                                               "dq_results")
     return mat
