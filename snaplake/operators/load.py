@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DateType, MapType, StructType
+from pyspark.sql.types import ArrayType, DateType, MapType, StringType, StructType
 from pyspark.errors import AnalysisException
 
 from snaplake import schemas
@@ -36,16 +36,22 @@ def default_source(df: DataFrame, source: str = "api") -> DataFrame:
 
 
 def align(df: DataFrame, target: StructType,
-          json_columns: Sequence[str] = tuple(schemas.JSON_COLUMNS)) -> DataFrame:
+          json_columns: Sequence[str] = tuple(schemas.JSON_COLUMNS),
+          json_as_variant: bool = False) -> DataFrame:
     """LOAD-04: reconcile to the target schema -- unknown columns dropped, missing ones
-    NULL, DATE columns cast, JSON columns kept as JSON text, others cast by assignment."""
+    NULL, DATE columns cast, JSON columns kept as JSON text, others cast by assignment.
+
+    CST-05: with ``json_as_variant`` the JSON columns become VARIANT (``try_parse_json``:
+    text that is not JSON gives NULL instead of failing the load)."""
     have = {f.name: f.dataType for f in df.schema.fields}
     cols: list[Column] = []
     for f in target.fields:
         if f.name not in have:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif f.name in json_columns and not isinstance(have[f.name], type(f.dataType)):
-            cols.append(F.to_json(F.col(f.name)).alias(f.name))
+        elif f.name in json_columns:
+            text = F.col(f.name) if isinstance(have[f.name], StringType) \
+                else F.to_json(F.col(f.name))
+            cols.append((F.try_parse_json(text) if json_as_variant else text).alias(f.name))
         elif isinstance(f.dataType, DateType):
             cols.append(F.to_date(F.col(f.name)).alias(f.name))
         else:

@@ -212,3 +212,12 @@ def test_top_n_by_value_prefilter_is_exact(spark, n):
                     key=lambda r: (r.v is None, -(r.v or 0), r.id))
         want |= {(g, r.id) for r in rs[:n]}
     assert got == want
+
+
+def test_align_json_as_variant(spark):
+    df = spark.createDataFrame([(1, '[{"id": 28, "name": "Action"}]'), (2, "not json")],
+                               "id long, genres string")
+    out = load.align(df, schemas.MOVIE_DETAILS, json_as_variant=True)
+    rows = {r.id: r.g for r in out.selectExpr(
+        "id", "variant_get(genres, '$[0].name', 'string') AS g").collect()}
+    assert rows == {1: "Action", 2: None}
