@@ -60,16 +60,16 @@ def q_src_genre_doc(spark, sf_dir):
 def _land_discover(spark, sf_dir):
     raw = layers(spark, sf_dir)["discover"].where(F.col("data_source") == "discover")
     path = scratch_path(spark, "landing-discover")
-    fixtures.land_pages(fixtures.landing_movies(raw), path,
-                        groups=("snapshot_date", "release_year"), beyond_last=True)
+    fixtures.land_discover_pages(fixtures.landing_movies(raw), path, beyond_last=True)
     return path
 
 
 @check("src_discover_pages", """
 SELECT id, title, genre_ids, popularity, vote_average, vote_count, release_date, release_year,
-       snapshot_date FROM raw_discover WHERE data_source = 'discover'""")
+       snapshot_date FROM discover_served""")
 def q_src_discover_pages(spark, sf_dir):
-    """Pages past ``total_pages`` are landed too and must not be read."""
+    """The discover endpoint serves the top 500 pages of 20 per (date, year); a page past
+    ``total_pages`` is landed too and must not be read."""
     rows = landing.read_discover_pages(spark, _land_discover(spark, sf_dir))
     return _json_arrays(rows, "genre_ids").select(*_RAW_DISCOVER_COLS[:-1])
 
@@ -226,8 +226,8 @@ def q_ing_jsonify(spark, sf_dir):
 
 
 @check("ing_backfill_years", f"""
-SELECT {', '.join(_RAW_DISCOVER_COLS)} FROM raw_discover
-WHERE data_source = 'discover' AND release_year BETWEEN 2000 AND 2024""")
+SELECT {', '.join(_RAW_DISCOVER_COLS)} FROM discover_served
+WHERE release_year BETWEEN 2000 AND 2024""")
 def q_ing_backfill_years(spark, sf_dir):
     """ING-05: each landed run date backfills all years 2000..2024 in one job."""
     pages = _land_discover(spark, sf_dir)
@@ -358,8 +358,7 @@ def _land_day(spark, sf_dir, root):
     fixtures.land_genre_docs(s["genres"], f"{root}/genres")
     fixtures.land_detail_docs(s["movie_details"], f"{root}/movie_details")
     disc = s["discover"].where(F.col("data_source") == "discover")
-    fixtures.land_pages(fixtures.landing_movies(disc), f"{root}/discover",
-                        groups=("snapshot_date", "release_year"))
+    fixtures.land_discover_pages(fixtures.landing_movies(disc), f"{root}/discover")
 
 
 _PIPE_DAILY_SQL = "WITH " + """
@@ -386,7 +385,8 @@ def q_pipe_daily(spark, sf_dir):
 
 
 @check("pipe_backfill", """
-SELECT movie_id, snapshot_date, popularity, vote_average, vote_count FROM stg_discover
+SELECT id AS movie_id, snapshot_date, popularity, vote_average, vote_count
+FROM discover_served
 WHERE snapshot_date = DATE '2024-01-03' AND release_year BETWEEN 2000 AND 2024""")
 def q_pipe_backfill(spark, sf_dir):
     """PIPE-02: backfill of years 2000..2024 on the last day, then models and tests.

@@ -98,6 +98,12 @@ SELECT CAST(n_nationkey AS INTEGER) AS id, n_name AS name,
        DATE '2024-01-01' + d.day AS snapshot_date, 'api' AS data_source
 FROM nation CROSS JOIN fx_days d WHERE n_nationkey < 18""")
 
+_cte("discover_served", """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY release_year, snapshot_date
+                               ORDER BY popularity DESC NULLS LAST, id) AS rn
+  FROM raw_discover WHERE data_source = 'discover') WHERE rn <= 10000""")
+
 # ---- silver -------------------------------------------------------------------------
 _cte("stg_genres", """
 SELECT id AS genre_id, name AS genre_name, snapshot_date FROM (

@@ -8,7 +8,7 @@ derives the same rows in ``snaplake.checks.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pyspark.sql.types import DateType, IntegerType, StructField, StructType
@@ -173,30 +173,52 @@ def _write_docs(docs: DataFrame, path: str) -> str:
     return path
 
 
-def land_pages(movies: DataFrame, path: str, groups=("snapshot_date",),
-               page_size: int = PAGE_SIZE, beyond_last: bool = False) -> str:
-    """Group movies into page documents ``{page, total_pages, results}`` per group.
+def land_pages(movies: DataFrame, path: str, page_size: int = PAGE_SIZE) -> str:
+    """Movie-list responses: page documents ``{page, total_pages, results}`` per day.
 
     A movie's page is a hash bucket of its id among ``ceil(n / page_size)`` pages of its
-    group (no ordering window over a whole group).  ``beyond_last`` adds one page past
-    ``total_pages`` per group, which a reader must ignore."""
-    groups = list(groups)
+    day, so no window orders a whole day; list readers take every landed page."""
+    groups = ["snapshot_date"]
     counts = movies.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
     counts = counts.withColumn("total_pages", F.greatest(
         F.lit(1), F.ceil(F.col("n") / page_size).cast("int")))
-    m = movies.join(broadcast_if_small(counts), groups)  # one row per day x year
+    m = movies.join(broadcast_if_small(counts), groups)  # one row per day
     m = m.withColumn("page", (F.pmod(F.xxhash64("id"), F.col("total_pages")) + 1).cast("int"))
     fields = [c for c in _LANDING_MOVIE_FIELDS if c in movies.columns]
     pages = m.groupBy(*groups, "page", "total_pages").agg(
         F.collect_list(F.struct(*fields)).alias("results"))
+    docs = pages.select("snapshot_date", F.to_json(F.struct(
+        "page", "total_pages", "results")).alias("value"))
+    return _write_docs(docs, path)
+
+
+def land_discover_pages(movies: DataFrame, path: str, max_pages: int = 500,
+                        page_size: int = PAGE_SIZE, beyond_last: bool = False) -> str:
+    """What the discover endpoint serves per (request date, release year): the top
+    ``max_pages * page_size`` movies by popularity, ``page_size`` per page in that order.
+
+    The rank window runs on at most ``max_pages * page_size`` rows per group, because
+    the exact top-n (ING-03) has cut each group to that size first."""
+    from snaplake.operators.ingest import discover_top
+    groups = ["snapshot_date", "release_year"]
+    top = discover_top(movies, max_pages, page_size, request_cols=["snapshot_date"])
+    rank = F.row_number().over(Window.partitionBy(*groups).orderBy(
+        F.col("popularity").desc_nulls_last(), F.col("id").asc()))
+    counts = broadcast_if_small(top.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")))
+    paged = top.join(counts, groups) \
+        .withColumn("page", ((rank - 1) / page_size).cast("int") + 1) \
+        .withColumn("total_pages", F.ceil(F.col("n") / page_size).cast("int"))
+    fields = [c for c in _LANDING_MOVIE_FIELDS if c in movies.columns]
+    pages = paged.groupBy(*groups, "page", "total_pages").agg(
+        F.collect_list(F.struct(*fields)).alias("results"))
     if beyond_last:
         extra = pages.where(F.col("page") == 1).select(
             *groups, (F.col("total_pages") + 1).alias("page"), "total_pages",
             F.transform("results", lambda r: r.withField("popularity", F.lit(-1.0)))
              .alias("results"))
         pages = pages.unionByName(extra)
-    doc_cols = [c for c in groups if c != "snapshot_date"] + ["page", "total_pages", "results"]
-    docs = pages.select("snapshot_date", F.to_json(F.struct(*doc_cols)).alias("value"))
+    docs = pages.select("snapshot_date", F.to_json(F.struct(
+        "release_year", "page", "total_pages", "results")).alias("value"))
     return _write_docs(docs, path)
 
 
