@@ -322,6 +322,20 @@ def q_dq_suite(spark, sf_dir):
     return quality.run_suite(_dq_models(spark, sf_dir))
 
 
+@check("dq_bad_json", """
+SELECT 'movie_details' AS source_table, count(*) AS failures FROM raw_movie_details
+WHERE genres IS NOT NULL AND NOT json_valid(genres)
+UNION ALL
+SELECT 'discover', count(*) FROM raw_discover
+WHERE genre_ids IS NOT NULL AND NOT json_valid(genre_ids)""")
+def q_dq_bad_json(spark, sf_dir):
+    s = layers(spark, sf_dir)
+    a = quality.bad_json(s["movie_details"], "genres", schemas.GENRE_OBJECTS)
+    b = quality.bad_json(s["discover"], "genre_ids", schemas.GENRE_IDS)
+    return a.select(F.lit("movie_details").alias("source_table"), "failures").unionByName(
+        b.select(F.lit("discover").alias("source_table"), "failures"))
+
+
 # ---- ST-01 --------------------------------------------------------------------------
 
 @check("stream_insert_if_absent", """

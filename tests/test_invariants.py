@@ -221,3 +221,23 @@ def test_align_json_as_variant(spark):
     rows = {r.id: r.g for r in out.selectExpr(
         "id", "variant_get(genres, '$[0].name', 'string') AS g").collect()}
     assert rows == {1: "Action", 2: None}
+
+
+def test_bad_json_counted(spark):
+    df = spark.createDataFrame([("[1,2]",), ("[1,",), (None,), ('["x"]',)], "g string")
+    assert quality.bad_json(df, "g", schemas.GENRE_IDS).first().failures == 2
+
+
+def test_list_reader_multi_line_documents(spark):
+    import os
+    path = scratch_path(spark, "t-multiline")
+    local = path.replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    for p in (1, 2):
+        doc = {"page": p, "total_pages": 2,
+               "results": [{"id": 10 * p + i, "title": "t", "genre_ids": [i]} for i in range(3)]}
+        with open(os.path.join(local, f"page{p}.json"), "w") as fh:
+            json.dump(doc, fh, indent=2)
+    rows = landing.read_list_pages(spark, path, "popular", multi_line=True).collect()
+    assert sorted(r.id for r in rows) == [10, 11, 12, 20, 21, 22]
+    assert all(r.data_source == "api" for r in rows)
