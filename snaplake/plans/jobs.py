@@ -92,11 +92,12 @@ def build_models(spark: SparkSession, root: str,
     staging = {k: s[k] for k in ("stg_genres", "stg_movie_details", "stg_discover")}
     mat = _each(lambda name, df: lake_sink.materialise(df, root, LAYERS["silver"], name,
                                                        **daily), staging)
-    if days is None:
-        details, disc = mat["stg_movie_details"], mat["stg_discover"]
-    else:
-        details, disc = s["stg_movie_details"], s["stg_discover"]
-    core = silver.core_movies(details, disc)
+    # core from the stored staging (read back, pruned to the run's days): the staging
+    # windows are not computed a second time.
+    def staged(name):
+        df = mat[name]
+        return df if days is None else df.where(F.col("snapshot_date").isin(wanted))
+    core = silver.core_movies(staged("stg_movie_details"), staged("stg_discover"))
     mat["core_movies"] = lake_sink.materialise(core, root, LAYERS["silver"], "core_movies",
                                                **daily)
     whole = {name: build(mat) for name, build in WHOLE_HISTORY_GOLD.items()}
