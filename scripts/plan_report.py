@@ -42,8 +42,9 @@ def main():
     spark = get_session("local[8]", shuffle_partitions=16)
     root = scratch_path(spark, "plan-report")
     s = silver.build_silver(fixtures.raw_tables(spark, a.sf))
-    stored = {k: lake.materialise(v, root, "core", k, partition_by=["snapshot_date"])
-              for k, v in s.items()}
+    stored = {k: lake.materialise(v, root, "core", k, partition_by=(
+        ["snapshot_date", "source"] if k == "core_movies" else ["snapshot_date"]))
+        for k, v in s.items()}
     for name, df in gold.build_gold(stored).items():
         text = plan_text(df)
         print(f"## {name}\n{summary(text)}\n")

@@ -53,6 +53,7 @@ def load_dataset(spark: SparkSession, root: str, dataset: str, date: str,
 
 
 SILVER = ("stg_genres", "stg_movie_details", "stg_discover", "core_movies")
+CORE_PARTITIONS = ("snapshot_date", "source")
 # Gold models over the whole history, rebuilt from the stored silver on every run.
 WHOLE_HISTORY_GOLD = {
     "daily_total_movies": lambda s: gold.daily_total_movies(s["core_movies"]),
@@ -98,8 +99,11 @@ def build_models(spark: SparkSession, root: str,
         df = mat[name]
         return df if days is None else df.where(F.col("snapshot_date").isin(wanted))
     core = silver.core_movies(staged("stg_movie_details"), staged("stg_discover"))
-    mat["core_movies"] = lake_sink.materialise(core, root, LAYERS["silver"], "core_movies",
-                                               **daily)
+    # core is laid out by (day, source): "latest api snapshot" (MOD-06/07) is then
+    # answered from directory names, and the api-only reads prune to api directories.
+    mat["core_movies"] = lake_sink.materialise(
+        core, root, LAYERS["silver"], "core_movies",
+        **{**daily, "partition_by": list(CORE_PARTITIONS)})
     whole = {name: build(mat) for name, build in WHOLE_HISTORY_GOLD.items()}
     mat.update(_each(lambda name, df: lake_sink.materialise(df, root, LAYERS["gold"], name),
                      whole))

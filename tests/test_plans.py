@@ -29,8 +29,9 @@ def tree(text: str) -> str:
 def stored(spark, sf_dir):
     root = scratch_path(spark, "plans")
     s = silver.build_silver(fixtures.raw_tables(spark, sf_dir))
-    return {k: lake.materialise(v, root, "core", k, partition_by=["snapshot_date"])
-            for k, v in s.items()}
+    return {k: lake.materialise(v, root, "core", k, partition_by=(
+        ["snapshot_date", "source"] if k == "core_movies" else ["snapshot_date"]))
+        for k, v in s.items()}
 
 
 def test_dedupe_limits_rows_before_the_shuffle(spark, sf_dir):
