@@ -10,9 +10,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from snaplake import fixtures, schemas
-from snaplake.checks.catalog import check, layers
+from snaplake.checks.catalog import _HIST_SQL, check, hist_for_check, layers
 from snaplake.operators import ingest, load
-from snaplake.plans import gold, jobs, quality
+from snaplake.plans import gold, history, jobs, quality
 from snaplake.session import scratch_path
 from snaplake.sinks import catalog as ddl
 from snaplake.sinks import lake as lake_sink
@@ -336,6 +336,39 @@ def q_dq_bad_json(spark, sf_dir):
         b.select(F.lit("discover").alias("source_table"), "failures"))
 
 
+# ---- whole-history gold kept per day (plans.history) ----------------------------------
+
+def _history(spark, sf_dir, name):
+    """Three daily refreshes of the state, one per fixture day, then the model."""
+    s = layers(spark, sf_dir)
+    root = scratch_path(spark, "history")
+    core = lake_sink.materialise(s["core_movies"], root, "core", "core_movies",
+                                 partition_by=["snapshot_date"])
+    for d in DAY:
+        history.refresh(history.days_of(core, [d]), root)
+    build = {"daily_total_movies": lambda: history.daily_total_movies(spark, root),
+             "historical_genre_distribution":
+                 lambda: history.historical_genre_distribution(spark, root, s["stg_genres"]),
+             "agg_historical_analysis":
+                 lambda: history.agg_historical_analysis(spark, root, s["stg_genres"])}
+    return build[name]()
+
+
+@check("history_total_movies", "SELECT * FROM gold_daily_total_movies")
+def q_history_total_movies(spark, sf_dir):
+    return _history(spark, sf_dir, "daily_total_movies")
+
+
+@check("history_genre_distribution", "SELECT * FROM gold_historical_genre_distribution")
+def q_history_genre_distribution(spark, sf_dir):
+    return _history(spark, sf_dir, "historical_genre_distribution")
+
+
+@check("history_agg_historical_analysis", _HIST_SQL)
+def q_history_agg_historical_analysis(spark, sf_dir):
+    return hist_for_check(_history(spark, sf_dir, "agg_historical_analysis"))
+
+
 # ---- ST-01 --------------------------------------------------------------------------
 
 @check("stream_insert_if_absent", """

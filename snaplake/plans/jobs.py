@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from snaplake import schemas
 from snaplake.operators import ingest, load
-from snaplake.plans import gold, quality, silver
+from snaplake.plans import gold, history, quality, silver
 from snaplake.sinks import lake as lake_sink
 from snaplake.sources import landing, lake as lake_source
 
@@ -54,15 +54,10 @@ def load_dataset(spark: SparkSession, root: str, dataset: str, date: str,
 
 SILVER = ("stg_genres", "stg_movie_details", "stg_discover", "core_movies")
 CORE_PARTITIONS = ("snapshot_date", "source")
-# Gold models over the whole history, rebuilt from the stored silver on every run.
-WHOLE_HISTORY_GOLD = {
-    "daily_total_movies": lambda s: gold.daily_total_movies(s["core_movies"]),
+# Gold models on the latest snapshot: read from stored silver, pruned to one day.
+LATEST_GOLD = {
     "daily_top_rated_movies": lambda s: gold.daily_top_rated_movies(s["core_movies"]),
     "daily_most_popular_movies": lambda s: gold.daily_most_popular_movies(s["core_movies"]),
-    "historical_genre_distribution":
-        lambda s: gold.historical_genre_distribution(s["core_movies"], s["stg_genres"]),
-    "agg_historical_analysis":
-        lambda s: gold.agg_historical_analysis(s["core_movies"], s["stg_genres"]),
     "dim_movies": lambda s: gold.dim_movies(s["core_movies"]),
 }
 # Gold models whose rows of a day depend only on that day's silver rows: a run refreshes
@@ -81,8 +76,8 @@ def build_models(spark: SparkSession, root: str,
     Silver rows of a day depend only on that day's raw rows (every dedupe key holds
     ``snapshot_date``), so with ``days`` only those day partitions of silver are
     recomputed (raw scans pruned to them) and replaced.  The same holds for the per-day
-    gold models; the others are rebuilt from the whole stored silver, as the reference
-    rebuilds its gold tables.
+    gold models; the whole-history ones (MOD-05/08/10) extend their state with these
+    days only (``plans.history``); the latest-snapshot ones read one stored day.
     """
     raw = lake_source.register_sources(spark, root)
     wanted = [F.lit(d).cast("date") for d in days or ()]
@@ -104,11 +99,13 @@ def build_models(spark: SparkSession, root: str,
     mat["core_movies"] = lake_sink.materialise(
         core, root, LAYERS["silver"], "core_movies",
         **{**daily, "partition_by": list(CORE_PARTITIONS)})
-    whole = {name: build(mat) for name, build in WHOLE_HISTORY_GOLD.items()}
-    mat.update(_each(lambda name, df: lake_sink.materialise(df, root, LAYERS["gold"], name),
-                     whole))
     scope = mat if days is None else {
         k: mat[k].where(F.col("snapshot_date").isin(wanted)) for k in SILVER}
+    # MOD-05/08/10 from per-day state (plans.history), the rest from stored silver.
+    whole = history.build(spark, root, scope["core_movies"], mat["stg_genres"])
+    whole.update({name: build(mat) for name, build in LATEST_GOLD.items()})
+    mat.update(_each(lambda name, df: lake_sink.materialise(df, root, LAYERS["gold"], name),
+                     whole))
     per_day = {name: build(scope) for name, build in PER_DAY_GOLD.items()}
     mat.update(_each(lambda name, df: lake_sink.materialise(df, root, LAYERS["gold"], name,
                                                             **daily), per_day))
