@@ -4,6 +4,7 @@
     python -m snaplake backfill --landing DIR --root DIR --date YYYY-MM-DD [--from 2000 --to Y]
     python -m snaplake models   --root DIR
     python -m snaplake show     --root DIR --table gold/agg_historical_analysis [--rows 20]
+    python -m snaplake compact  --root DIR --table raw/discover --date YYYY-MM-DD
 
 ``--master`` defaults to whatever ``spark-submit`` or the environment provides.
 """
@@ -29,7 +30,7 @@ CARDS = {
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="snaplake")
-    ap.add_argument("command", choices=["daily", "backfill", "models", "show", "card"])
+    ap.add_argument("command", choices=["daily", "backfill", "models", "show", "card", "compact"])
     ap.add_argument("--master")
     ap.add_argument("--landing")
     ap.add_argument("--root", required=True)
@@ -54,6 +55,12 @@ def main(argv: list[str] | None = None) -> None:
         df = spark.read.parquet(f"{a.root.rstrip('/')}/{a.table}")
         name = a.table.rsplit("/", 1)[-1]
         (gold.ordered(df, name) if name in gold.ORDER else df).show(a.rows, truncate=False)
+    elif a.command == "compact":
+        from snaplake.sinks.lake import compact
+        path = f"{a.root.rstrip('/')}/{a.table}"
+        schema = spark.read.parquet(path).schema
+        n = compact(spark, path, "snapshot_date", dt.date.fromisoformat(a.date), schema)
+        print(f"{a.table} snapshot_date={a.date}: {n} file(s)")
     elif a.command == "card":
         model, card = CARDS[a.name]
         card(spark.read.parquet(f"{a.root.rstrip('/')}/gold/{model}")).show(a.rows,

@@ -69,3 +69,23 @@ def raw_path(root: str, dataset: str) -> str:
     if dataset not in schemas.RAW_TABLES:
         raise ValueError(f"unknown raw table: {dataset}")
     return f"{root.rstrip('/')}/raw/{dataset}"
+
+
+def compact(spark, path: str, partition_col: str, value, schema,
+            rows_per_file: int = 5_000_000) -> int:
+    """Rewrite one partition of an append-only table (raw tables, history state) into
+    ``ceil(rows / rows_per_file)`` files.
+
+    The partition is first copied to a fresh folder of the shared scratch root and then
+    written back from that copy with dynamic partition overwrite, so the job never reads
+    the directory it replaces and a copy survives a failure during the swap.  Run it as
+    the table's single writer (as for loads).  Returns the number of files written.
+    """
+    from snaplake.session import scratch_path
+    part = spark.read.schema(schema).parquet(path).where(F.col(partition_col) == F.lit(value))
+    n = max(1, -(-part.count() // rows_per_file))
+    staged = scratch_path(spark, "compact")
+    part.repartition(n).write.mode("overwrite").partitionBy(partition_col).parquet(staged)
+    spark.read.schema(schema).parquet(staged).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
+    return n

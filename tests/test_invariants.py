@@ -271,3 +271,22 @@ def test_daily_runs_keep_history_models_equal_to_full_rebuild(spark, sf_dir):
     assert rows(out["historical_genre_distribution"], "genre_name", "movie_count") == \
         rows(gold.historical_genre_distribution(core, genres), "genre_name", "movie_count")
     assert out["daily_total_movies"].first()[0] == gold.daily_total_movies(core).first()[0]
+
+
+def test_compact_one_partition(spark):
+    import datetime as dt
+    import glob
+    from snaplake.sinks.lake import compact
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    path = scratch_path(spark, "t-compact")
+    for i in range(3):  # three loads -> several files in day 1
+        load.insert_if_absent(_batch(spark, [(i, "a", d1, "api"), (i, "b", d2, "api")]), path)
+    schema = spark.read.parquet(path).schema
+    before = sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).collect())
+    local = path.replace("file:", "")
+    assert len(glob.glob(f"{local}/snapshot_date=2024-01-01/*.parquet")) >= 3
+    assert compact(spark, path, "snapshot_date", d1, schema) == 1
+    assert len(glob.glob(f"{local}/snapshot_date=2024-01-01/*.parquet")) == 1
+    assert len(glob.glob(f"{local}/snapshot_date=2024-01-02/*.parquet")) >= 3
+    after = sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).collect())
+    assert before == after
