@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaplake.llm import chat_format, mixing, order_minhash, url_filter
+from snaplake.llm import (chat_format, language_id, mixing, order_minhash, packing, quality,
+                          simhash, topk_search, toxicity, url_filter)
 from snaplake.llm.common import cut, table
 
 #: The URL rules of op4: (host, path, action).
@@ -17,6 +18,14 @@ URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"),
              ("com", "/de/", "block"))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -26,6 +35,10 @@ def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     says = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)],
@@ -43,16 +56,41 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op7_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk_search.top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.predictions(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_toxicity": op1_toxicity,
+        "op2_simhash_near_dedup": op2_simhash_near_dedup,
         "op3_document_fingerprints": op3_document_fingerprints,
         "op4_url_filters": op4_url_filters,
+        "op5_packing": op5_packing,
         "op6_chat_formatting": op6_chat_formatting,
+        "op7_exact_topk_search": op7_exact_topk_search,
+        "op8_language_id": op8_language_id,
         "op9_mixing_sources": op9_mixing_sources,
+        "op10_quality_classifier": op10_quality_classifier,
+        "pipeline": pipeline,
     }
 
 
