@@ -14,7 +14,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from snaplake.plans import cards, gold, jobs
+from snaplake.plans import cards, gold, jobs, quality
 from snaplake.session import get_session
 
 CARDS = {
@@ -28,6 +28,15 @@ CARDS = {
 }
 
 
+def _tested(run) -> None:
+    """Show the run's test results; failing ones end the command with an error status."""
+    try:
+        run()["dq_results"].show(100, truncate=False)
+    except quality.DataTestsFailed as e:
+        e.results.show(100, truncate=False)
+        raise SystemExit(str(e)) from e
+
+
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="snaplake")
     ap.add_argument("command", choices=["daily", "backfill", "models", "show", "card", "compact"])
@@ -43,14 +52,13 @@ def main(argv: list[str] | None = None) -> None:
     a = ap.parse_args(argv)
     spark = get_session(a.master)
     if a.command == "daily":
-        out = jobs.run_daily(spark, a.landing, a.root, a.date)
-        out["dq_results"].show(truncate=False)
+        _tested(lambda: jobs.run_daily(spark, a.landing, a.root, a.date))
     elif a.command == "backfill":
         to = a.year_to or int(a.date[:4])
-        out = jobs.run_backfill(spark, a.landing, a.root, range(a.year_from, to + 1), a.date)
-        out["dq_results"].show(truncate=False)
+        _tested(lambda: jobs.run_backfill(spark, a.landing, a.root,
+                                          range(a.year_from, to + 1), a.date))
     elif a.command == "models":
-        jobs.build_models(spark, a.root)["dq_results"].show(truncate=False)
+        _tested(lambda: jobs.build_models(spark, a.root))
     elif a.command == "show":
         df = spark.read.parquet(f"{a.root.rstrip('/')}/{a.table}")
         name = a.table.rsplit("/", 1)[-1]
@@ -59,7 +67,7 @@ def main(argv: list[str] | None = None) -> None:
         from snaplake.sinks.lake import compact
         path = f"{a.root.rstrip('/')}/{a.table}"
         schema = spark.read.parquet(path).schema
-        n = compact(spark, path, "snapshot_date", dt.date.fromisoformat(a.date), schema)
+        n = compact(spark, path, dt.date.fromisoformat(a.date), schema)
         print(f"{a.table} snapshot_date={a.date}: {n} file(s)")
     elif a.command == "card":
         model, card = CARDS[a.name]

@@ -43,16 +43,19 @@ def layers(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 def gold_model(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     s = layers(spark, sf_dir)
     core, genres, disc = s["core_movies"], s["stg_genres"], s["stg_discover"]
+    # The latest day from the raw rows: staging and core needn't be computed for it.
+    api_days = s["movie_details"].select("snapshot_date")
+    days = api_days.unionByName(s["discover"].select("snapshot_date"))
     build = {
         "daily_total_movies": lambda: gold.daily_total_movies(core),
-        "daily_top_rated_movies": lambda: gold.daily_top_rated_movies(core),
-        "daily_most_popular_movies": lambda: gold.daily_most_popular_movies(core),
+        "daily_top_rated_movies": lambda: gold.daily_top_rated_movies(core, api_days),
+        "daily_most_popular_movies": lambda: gold.daily_most_popular_movies(core, api_days),
         "historical_genre_distribution":
             lambda: gold.historical_genre_distribution(core, genres),
         "agg_genre_trends": lambda: gold.agg_genre_trends(core, disc, genres),
         "agg_historical_analysis": lambda: gold.agg_historical_analysis(core, genres),
         "fact_movie_popularity": lambda: gold.fact_movie_popularity(core),
-        "dim_movies": lambda: gold.dim_movies(core),
+        "dim_movies": lambda: gold.dim_movies(core, days),
     }
     return build[name]()
 

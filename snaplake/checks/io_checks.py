@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from snaplake import fixtures, schemas
-from snaplake.checks.catalog import _HIST_SQL, check, hist_for_check, layers
+from snaplake.checks.catalog import _HIST_SQL, check, gold_model, hist_for_check, layers
+from snaplake.checks.oracle import r4 as sql_r4
 from snaplake.operators import ingest, load
-from snaplake.plans import gold, history, jobs, quality
+from snaplake.plans import cards, gold, history, jobs, quality
 from snaplake.session import scratch_path
 from snaplake.sinks import catalog as ddl
 from snaplake.sinks import lake as lake_sink
@@ -68,12 +69,20 @@ def _land_discover(spark, sf_dir):
 SELECT id, title, genre_ids, popularity, vote_average, vote_count, release_date, release_year,
        snapshot_date FROM discover_served""")
 def q_src_discover_pages(spark, sf_dir):
-    """The discover endpoint serves the top 500 pages of 20 per (date, year); a page past
-    ``total_pages`` is landed too and must not be read."""
+    """Every landed page is read; a page past ``total_pages`` is landed too and must not be."""
     rows = landing.read_discover_pages(spark, _land_discover(spark, sf_dir))
     return _json_arrays(rows, "genre_ids").select(*_RAW_DISCOVER_COLS[:-1])
 
 
+@check("src_discover_pages_limit", """
+SELECT id, title, genre_ids, popularity, vote_average, vote_count, release_date, release_year,
+       snapshot_date FROM discover_served_5""")
+def q_src_discover_pages_limit(spark, sf_dir):
+    """The same landing for a client with a limit of five pages of 20."""
+    rows = landing.read_discover_pages(spark, _land_discover(spark, sf_dir), max_page=5)
+    return _json_arrays(rows, "genre_ids").select(*_RAW_DISCOVER_COLS[:-1])
+
+
 _DETAIL_COLS = ("id", "title", "original_title", "overview", "status", "runtime", "budget",
                 "revenue", "popularity", "vote_average", "vote_count", "release_date",
                 "poster_path", "snapshot_date")
@@ -89,15 +98,18 @@ def _land_details(spark, sf_dir):
 SELECT {', '.join(_DETAIL_COLS)}, genres FROM raw_movie_details WHERE id % 997 <> 0""")
 def q_src_detail_docs(spark, sf_dir):
     good, _ = landing.read_detail_docs(spark, _land_details(spark, sf_dir))
-    return _json_arrays(good, "genres").select(*_DETAIL_COLS, "genres")
+    return good.select(*_DETAIL_COLS, "genres")
 
 
-@check("src_detail_docs_failed", """
-SELECT snapshot_date, CAST(NULL AS BIGINT) AS id FROM raw_movie_details WHERE id % 997 = 0""")
+@check("src_detail_docs_failed", f"""
+SELECT snapshot_date, CAST(NULL AS BIGINT) AS id,
+       substr('{{"id":' || id || ',"title":"Movie ' || id || '"', 1, {fixtures.CORRUPT_LENGTH})
+           AS document
+FROM raw_movie_details WHERE id % 997 = 0""")
 def q_src_detail_docs_failed(spark, sf_dir):
-    """Every cut-short document is set aside (its id could not be parsed)."""
+    """Every cut-short document is set aside with its text (its id could not be parsed)."""
     _, bad = landing.read_detail_docs(spark, _land_details(spark, sf_dir))
-    return bad.select("snapshot_date", "id")
+    return bad.select("snapshot_date", "id", "document")
 
 
 def _lake_details(spark, sf_dir):
@@ -199,30 +211,62 @@ def q_snk_view(spark, sf_dir):
                                  "stg_genres_view", kind="view")
 
 
-@check("ddl_raw_tables", "SELECT * FROM raw_genres")
+@check("ddl_raw_tables", " UNION ALL ".join(
+    f"SELECT '{t}' AS source_table, id, snapshot_date, data_source FROM raw_{t}"
+    for t in schemas.RAW_TABLES))
 def q_ddl_raw_tables(spark, sf_dir):
-    """SNK-06/07: layers and raw tables created idempotently (twice), genres loaded into
-    the catalog table's location, read back through the catalog."""
+    """SNK-06/07: layers and raw tables created idempotently (twice), all six loaded into
+    the catalog tables' locations and read back by name."""
     root = scratch_path(spark, "warehouse")
     suffix = root.rsplit("-", 1)[-1]
     db = ddl.layer_name(f"  raw_{suffix} ", "raw")
     for _ in range(2):
         ddl.create_layers(spark, root, layers=(db,))
         ddl.create_raw_tables(spark, root, db=db)
-    load.insert_if_absent(layers(spark, sf_dir)["genres"], f"{root}/raw/genres")
-    spark.catalog.recoverPartitions(f"`{db}`.`genres`")
-    return spark.table(f"`{db}`.`genres`").select(*schemas.GENRES.fieldNames())
+    derived = layers(spark, sf_dir)
+    for name in schemas.RAW_TABLES:
+        load.insert_if_absent(derived[name], lake_sink.raw_path(root, name))
+        spark.catalog.recoverPartitions(f"`{db}`.`{name}`")
+    return spark.sql(" UNION ALL ".join(
+        f"SELECT '{t}' AS source_table, CAST(id AS BIGINT) AS id, snapshot_date, data_source "
+        f"FROM `{db}`.`{t}`" for t in schemas.RAW_TABLES))
+
+
+@check("card_by_name", """
+SELECT release_year AS year, CAST(sum(movie_count) AS BIGINT) AS movies_produced
+FROM gold_agg_historical_analysis GROUP BY release_year""")
+def q_card_by_name(spark, sf_dir):
+    """A card over a stored gold table, read from the catalog by name."""
+    root = scratch_path(spark, "warehouse")
+    db = "gold_" + root.rsplit("-", 1)[-1]
+    stored = lake_sink.materialise(gold_model(spark, sf_dir, "agg_historical_analysis"), root,
+                                   "gold", "agg_historical_analysis")
+    ddl.create_layers(spark, root, layers=(db,))
+    ddl.register(spark, db, "agg_historical_analysis", stored.schema,
+                 f"{root}/gold/agg_historical_analysis")
+    return cards.movies_by_year(spark.sql(f"SELECT * FROM {db}.agg_historical_analysis"))
 
 
 # ---- ING over landed documents ------------------------------------------------------
 
-@check("ing_jsonify", """
-SELECT id, snapshot_date, coalesce(genres, '[]') AS genres, '[]' AS production_companies,
-       '[]' AS production_countries, '[]' AS spoken_languages
+def _nested_sql(column: str, absent: str) -> str:
+    every, text = fixtures.NESTED_TEXTS[column]
+    return (f"CASE WHEN id % {every} = 0 THEN replace('{text}', '#', CAST(id AS VARCHAR)) "
+            f"ELSE {absent} END AS {column}")
+
+
+@check("ing_jsonify", f"""
+SELECT id, snapshot_date, coalesce(genres, '[]') AS genres,
+       {_nested_sql('production_companies', "'[]'")},
+       {_nested_sql('production_countries', "'[]'")},
+       {_nested_sql('spoken_languages', "'[]'")},
+       {_nested_sql('belongs_to_collection', 'NULL')}
 FROM raw_movie_details WHERE id % 997 <> 0""")
 def q_ing_jsonify(spark, sf_dir):
+    """Nested values arrive whole, whatever fields they have."""
     good, _ = landing.read_detail_docs(spark, _land_details(spark, sf_dir))
-    return ingest.jsonify(good).select("id", "snapshot_date", *ingest.DETAIL_NESTED)
+    return ingest.jsonify(good).select("id", "snapshot_date", *ingest.DETAIL_NESTED,
+                                       "belongs_to_collection")
 
 
 @check("ing_backfill_years", f"""
@@ -268,12 +312,13 @@ UNION ALL
 SELECT * FROM raw_discover_batch2 WHERE snapshot_date = DATE '2024-01-04'""")
 def q_load_insert_if_absent(spark, sf_dir):
     """First batch, then a second one whose day-2 keys exist already (skipped) and whose
-    day-3 keys are new (added); then the second batch once more (adds nothing)."""
+    day-3 keys are new (added, the first to arrive where a key comes twice); then the second
+    batch once more (adds nothing)."""
     path = scratch_path(spark, "raw-discover")
     load.insert_if_absent(layers(spark, sf_dir)["discover"], path)
     second = fixtures.second_discover_batch(spark, sf_dir)
-    load.insert_if_absent(second, path)
-    load.insert_if_absent(second, path)
+    load.insert_if_absent(second, path, arrival="arrival")
+    load.insert_if_absent(second, path, arrival="arrival")
     return spark.read.schema(schemas.DISCOVER).parquet(path)
 
 
@@ -345,7 +390,7 @@ def _history(spark, sf_dir, name):
     core = lake_sink.materialise(s["core_movies"], root, "core", "core_movies",
                                  partition_by=["snapshot_date"])
     for d in DAY:
-        history.refresh(history.days_of(core, [d]), root)
+        history.refresh(core, root, [d])
     build = {"daily_total_movies": lambda: history.daily_total_movies(spark, root),
              "historical_genre_distribution":
                  lambda: history.historical_genre_distribution(spark, root, s["stg_genres"]),
@@ -375,24 +420,25 @@ def q_history_agg_historical_analysis(spark, sf_dir):
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, CAST(ts AS DATE) AS event_date,
          row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE), event_type
-                            ORDER BY event_id) AS rn
+                            ORDER BY event_id % 2, event_id) AS rn
   FROM events) WHERE rn = 1""")
 def q_stream_insert_if_absent(spark, sf_dir):
-    """Events land as four files in event_id order; the stream loads them one file per
-    micro-batch, and the first row per (user, day, event type) wins across batches."""
+    """Events land in two deliveries (even ids, then odd ones), each as several files dealt
+    by key; the stream is run after each, two files a micro-batch.  The first row per (user,
+    day, event type) wins: within a batch by id, across batches by what is stored already."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     src, table = scratch_path(spark, "events-landing"), scratch_path(spark, "events-table")
-    lo, hi = events.agg(F.min("event_id"), F.max("event_id")).first()
-    step = (hi - lo) // 4 + 1
-    for i in range(4):  # four separate writes -> four files with rising mtimes
-        part = events.where(F.col("event_id").between(lo + i * step, lo + (i + 1) * step - 1))
-        part.coalesce(1).write.mode("append").parquet(src)
-    ingest_available(
-        spark, src, events.schema, table, scratch_path(spark, "events-ckpt"),
-        keys=("user_id", "event_date", "event_type"), partition_col="event_date",
-        order=[F.col("event_id").asc()],
-        prepare=lambda b: b.withColumn("event_date", F.to_date("ts")),
-        max_files_per_trigger=1)
+    ckpt = scratch_path(spark, "events-ckpt")
+    for delivery in (0, 1):
+        events.where(F.col("event_id") % 2 == delivery) \
+            .repartition(4, "user_id", F.to_date("ts"), "event_type") \
+            .write.mode("append").parquet(src)
+        ingest_available(
+            spark, src, events.schema, table, ckpt,
+            keys=("user_id", "event_date", "event_type"), partition_col="event_date",
+            order=[F.col("event_id").asc()],
+            prepare=lambda b: b.withColumn("event_date", F.to_date("ts")),
+            max_files_per_trigger=2)
     return spark.read.parquet(table)
 
 
@@ -412,22 +458,26 @@ _PIPE_DAILY_SQL = "WITH " + """
 pd_details AS (
   SELECT * FROM raw_movie_details
   WHERE id % 997 <> 0 AND (id % 7 = 0 OR id % 10 = 0 OR id % 15 = 0)),
-pd_fact AS (SELECT id AS movie_id, snapshot_date, popularity FROM pd_details),
+pd_fact AS (SELECT id AS movie_id, snapshot_date, popularity FROM pd_details
+            WHERE snapshot_date = (SELECT max(snapshot_date) FROM pd_details)),
 pd_dim AS (SELECT id AS movie_id, title FROM pd_details
            WHERE snapshot_date = (SELECT max(snapshot_date) FROM pd_details))
-""" + _suite_sql({"fact_movie_popularity": "pd_fact", "dim_movies": "pd_dim"})
+""" + _suite_sql({"fact_movie_popularity": "pd_fact", "dim_movies": "pd_dim"}) + "".join(f"""
+UNION ALL SELECT 'raw_{table}', '{column}', '{test}', CAST(0 AS BIGINT), 'pass'"""
+                        for table, column, test in quality.RAW_SUITE)
 
 
 @check("pipe_daily", _PIPE_DAILY_SQL)
 def q_pipe_daily(spark, sf_dir):
     """PIPE-01 for every landed day in turn, then the DQ results of the last run.
     Details are loaded only for ids on one of the three lists, minus the documents
-    that failed to parse; no discover rows are loaded by a daily run."""
+    that failed to parse; no discover rows are loaded by a daily run.  The planted NULL
+    popularities fail a test, so the runs are told to go on."""
     landing_root, root = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
     _land_day(spark, sf_dir, landing_root)
     out = None
     for d in DAY:
-        out = jobs.run_daily(spark, landing_root, root, d)
+        out = jobs.run_daily(spark, landing_root, root, d, require_pass=False)
     return out["dq_results"]
 
 
@@ -441,6 +491,98 @@ def q_pipe_backfill(spark, sf_dir):
     reference); the popularity fact holds every backfilled movie."""
     landing_root, root = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
     _land_day(spark, sf_dir, landing_root)
-    out = jobs.run_backfill(spark, landing_root, root, range(2000, 2025), DAY[2])
+    out = jobs.run_backfill(spark, landing_root, root, range(2000, 2025), DAY[2],
+                            require_pass=False)
     return out["fact_movie_popularity"]
 
+
+# Days loaded again: DAY[1] by a backfill; DAY[2] by a backfill and two daily runs, whose
+# details cover every discover movie of the day, with other genres and a later year.
+
+_RERUN = f"""
+rr_rows AS (
+  SELECT id, snapshot_date, popularity, vote_average, 'api' AS source,
+         list_transform(genre_list, lambda g: (g + 1) % 19) AS genre_ids,
+         CASE WHEN release_date <> '' THEN CAST(release_date AS DATE) + INTERVAL 1 YEAR END
+             AS release_date
+  FROM fx_rows WHERE (id + day) % 2 = 0 AND day = 2
+  UNION ALL
+  SELECT id, snapshot_date, popularity, vote_average, 'discover', genre_list,
+         TRY_CAST(release_date AS DATE)
+  FROM fx_rows WHERE (id + day) % 2 = 0 AND day = 1 AND release_year BETWEEN 2000 AND 2024),
+rr_pairs AS (
+  SELECT r.*, g.name AS genre_name
+  FROM (SELECT *, unnest(genre_ids) AS genre_id FROM rr_rows) r
+  JOIN raw_genres g ON g.id = r.genre_id AND g.snapshot_date = DATE '{DAY[2]}'),
+rr_years AS (
+  SELECT CAST(year(release_date) AS INTEGER) AS release_year, genre_name,
+         count(DISTINCT id) AS movie_count, avg(popularity) AS avg_popularity,
+         coalesce(avg(vote_average), 0) AS avg_rating
+  FROM rr_pairs WHERE release_date >= DATE '2000-01-01' GROUP BY ALL)"""
+
+
+def _rerun(spark, sf_dir, runs):
+    """The models after ``runs`` (of 'backfill' and 'daily') on one day."""
+    landing_root, root = scratch_path(spark, "landing"), scratch_path(spark, "warehouse")
+    rows = fixtures.movie_rows(spark, sf_dir, days=(1, 2))
+    rows = rows.where((F.col("id") + F.col("day")) % fixtures.DISCOVER_EVERY == 0)
+    disc = fixtures.raw_discover(rows).where(F.col("data_source") == "discover")
+    fixtures.land_discover_pages(fixtures.landing_movies(disc), f"{landing_root}/discover")
+    last = rows.where(F.col("day") == 2)
+    year_on = F.when(F.col("release_date") != "", F.date_format(
+        F.add_months(F.to_date("release_date"), 12), "yyyy-MM-dd"))
+    other = last.withColumn("release_date", year_on).withColumn("genre_list", F.transform(
+        "genre_list", lambda g: ((g + 1) % fixtures.GENRE_MODULUS).cast("int")))
+    details = other.withColumn("genres", F.to_json(fixtures.genre_objects(F.col("genre_list")))) \
+        .withColumn("data_source", F.lit("api"))
+    details = details.select([(F.col(f.name) if f.name in details.columns else F.lit(None))
+                              .cast(f.dataType).alias(f.name)
+                              for f in schemas.MOVIE_DETAILS.fields])
+    fixtures.land_detail_docs(details, f"{landing_root}/movie_details", corrupt=False)
+    for name in landing.LIST_DATASETS:
+        fixtures.land_pages(fixtures.landing_movies(disc.where(
+            F.col("snapshot_date") == F.lit(DAY[2]).cast("date"))), f"{landing_root}/{name}")
+    fixtures.land_genre_docs(fixtures.raw_genres(spark, sf_dir), f"{landing_root}/genres")
+    years, out = range(2000, 2025), None
+    jobs.run_backfill(spark, landing_root, root, years, DAY[1], require_pass=False)
+    for kind in runs:
+        out = jobs.run_daily(spark, landing_root, root, DAY[2], require_pass=False) \
+            if kind == "daily" else jobs.run_backfill(spark, landing_root, root, years, DAY[2],
+                                                      require_pass=False)
+    return out
+
+
+@check("pipe_rerun_core", f"""
+WITH {_RERUN.strip()}
+SELECT o.run_order, id AS movie_id, snapshot_date, source, CAST(release_date AS DATE)
+       AS release_date, CAST(to_json(genre_ids) AS VARCHAR) AS raw_genre_ids
+FROM rr_rows CROSS JOIN (VALUES ('backfill first'), ('daily first')) o(run_order)""")
+def q_pipe_rerun_core(spark, sf_dir):
+    """Core holds each movie of the day once, whichever run came first."""
+    both = None
+    for order, runs in (("backfill first", ("backfill", "daily", "daily")),
+                        ("daily first", ("daily", "backfill", "daily"))):
+        core = _rerun(spark, sf_dir, runs)["core_movies"].select(
+            F.lit(order).alias("run_order"), "movie_id", "snapshot_date", "source",
+            "release_date", F.to_json("raw_genre_ids").alias("raw_genre_ids"))
+        both = core if both is None else both.unionByName(core)
+    return both
+
+
+@check("pipe_rerun_genre_distribution", f"""
+WITH {_RERUN.strip()}
+SELECT genre_name, count(DISTINCT id) AS movie_count FROM rr_pairs GROUP BY genre_name""")
+def q_pipe_rerun_genre_distribution(spark, sf_dir):
+    return _rerun(spark, sf_dir, ("backfill", "daily", "daily"))["historical_genre_distribution"]
+
+
+@check("pipe_rerun_historical", f"""
+WITH {_RERUN.strip()}
+SELECT release_year, genre_name, movie_count, {sql_r4('avg_popularity')} AS avg_popularity,
+       {sql_r4('avg_rating')} AS avg_rating,
+       CAST(sum(movie_count) OVER (PARTITION BY release_year) AS BIGINT) AS total_movies_per_year
+FROM rr_years""")
+def q_pipe_rerun_historical(spark, sf_dir):
+    out = _rerun(spark, sf_dir, ("daily", "backfill", "daily"))["agg_historical_analysis"]
+    return hist_for_check(out).drop("genre_market_share")
+

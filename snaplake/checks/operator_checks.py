@@ -11,7 +11,6 @@ from snaplake.checks.oracle import r4 as sql_r4
 from snaplake.functions import scalar as fn
 from snaplake.operators import ingest
 from snaplake.operators.dedupe import first_per_key
-from snaplake.operators.joins import broadcast_if_small
 from snaplake.plans import gold
 
 
@@ -126,7 +125,7 @@ FROM stg_discover d, unnest(d.raw_genre_ids) AS u(gid)
 JOIN stg_genres g ON u.gid = g.genre_id AND d.snapshot_date = g.snapshot_date""")
 def q_join_genre_by_snapshot(spark, sf_dir):
     s = layers(spark, sf_dir)
-    names = broadcast_if_small(s["stg_genres"])
+    names = s["stg_genres"]
     return s["stg_discover"].select("movie_id", "snapshot_date",
                                     F.explode("raw_genre_ids").alias("genre_id")) \
         .join(names, ["genre_id", "snapshot_date"]) \
@@ -176,7 +175,7 @@ def q_join_left_to_inner(spark, sf_dir):
     s = layers(spark, sf_dir)
     g = gold.latest(s["stg_genres"]).select("genre_id", "genre_name")
     ids = s["core_movies"].select("movie_id", F.explode("raw_genre_ids").alias("genre_id"))
-    return ids.join(broadcast_if_small(g), "genre_id").select("movie_id", "genre_id",
+    return ids.join(g, "genre_id").select("movie_id", "genre_id",
                                                               "genre_name")
 
 
@@ -226,7 +225,7 @@ def q_set_union_all_genres(spark, sf_dir):
     api = s["core_movies"].where(F.col("source") == "api").select(
         F.explode("raw_genres").alias("g"), "snapshot_date", "popularity") \
         .select(F.col("g.name").alias("genre_name"), "snapshot_date", "popularity")
-    names = broadcast_if_small(s["stg_genres"])
+    names = s["stg_genres"]
     disc = s["stg_discover"].select("snapshot_date", "popularity",
                                     F.explode("raw_genre_ids").alias("genre_id")) \
         .join(names, ["genre_id", "snapshot_date"]) \
@@ -263,14 +262,25 @@ def q_ing_details_for(spark, sf_dir):
 SELECT id, release_year, snapshot_date, popularity FROM (
   SELECT *, row_number() OVER (PARTITION BY release_year, snapshot_date
                                ORDER BY popularity DESC NULLS LAST, id) AS rn
-  FROM raw_discover WHERE data_source = 'discover') WHERE rn <= 10000""")
+  FROM raw_discover WHERE data_source = 'discover') WHERE rn <= 100""")
 def q_ing_discover_top(spark, sf_dir):
-    """ING-03 with the API's own limits (500 pages of 20) per (year, request date)."""
+    """ING-03 for a client with a limit of 5 pages of 20 per (year, request date)."""
     raw = layers(spark, sf_dir)["discover"].where(F.col("data_source") == "discover")
-    return ingest.discover_top(raw, request_cols=["snapshot_date"]) \
+    return ingest.discover_top(raw, max_pages=5, request_cols=["snapshot_date"]) \
         .select("id", "release_year", "snapshot_date", "popularity")
 
 
+@check("win_priority_dedupe", """
+SELECT movie_id, snapshot_date, source FROM core_movies""")
+def q_win_priority_dedupe(spark, sf_dir):
+    """WIN-02/CAS-03: the first row per (movie, snapshot) by a CASE over the source."""
+    s = layers(spark, sf_dir)
+    keys = ["movie_id", "snapshot_date"]
+    both = s["stg_movie_details"].select(*keys, F.lit("api").alias("source")).unionByName(
+        s["stg_discover"].select(*keys, F.lit("discover").alias("source")))
+    return first_per_key(both, keys, [fn.source_priority("source")])
+
+
 @check("ing_shape_discover", """
 SELECT id, title, genre_ids, popularity, vote_average, vote_count, release_date,
        release_year, data_source

@@ -96,13 +96,19 @@ _cte("raw_top_rated", _LIST_SELECT.format(media="", every=15))
 _cte("raw_genres", """
 SELECT CAST(n_nationkey AS INTEGER) AS id, n_name AS name,
        DATE '2024-01-01' + d.day AS snapshot_date, 'api' AS data_source
-FROM nation CROSS JOIN fx_days d WHERE n_nationkey < 18""")
+FROM nation CROSS JOIN fx_days d WHERE n_nationkey <> 18""")
 
 _cte("discover_served", """
 SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY release_year, snapshot_date
                                ORDER BY popularity DESC NULLS LAST, id) AS rn
-  FROM raw_discover WHERE data_source = 'discover') WHERE rn <= 10000""")
+  FROM raw_discover WHERE data_source = 'discover')""")
+# What a client with a limit of five pages of 20 is served.
+_cte("discover_served_5", """
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY release_year, snapshot_date
+                               ORDER BY popularity DESC NULLS LAST, id) AS rn
+  FROM raw_discover WHERE data_source = 'discover') WHERE rn <= 100""")
 
 # ---- silver -------------------------------------------------------------------------
 _cte("stg_genres", """

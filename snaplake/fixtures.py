@@ -14,18 +14,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 from snaplake import schemas
-from snaplake.operators.joins import broadcast_if_small
 
 # Fixed values of the derivation (FIXTURES.md section 4).
 DAYS = (0, 1, 2)
 FIRST_SNAPSHOT = "2024-01-01"
 GENRE_MODULUS = 19
-GENRE_ROWS_BELOW = 18            # nation keys 0..17 become genre rows; 18 stays unknown
+UNKNOWN_GENRE = 18               # the one nation key that becomes no genre row
 NULL_POPULARITY_EVERY = 1499
 EMPTY_DATE_EVERY = 89
 NULL_POSTER_EVERY = 5
 LIST_EVERY = {"trending": 7, "popular": 10, "top_rated": 15}
 DETAILS_EVERY, DISCOVER_EVERY, MANUAL_EVERY = 3, 2, 11
+ARRIVES_TWICE_EVERY = 5
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -123,7 +123,7 @@ def raw_list(rows: DataFrame, dataset: str) -> DataFrame:
 
 
 def raw_genres(spark: SparkSession, sf_dir: str, days=DAYS) -> DataFrame:
-    n = table(spark, sf_dir, "nation").where(F.col("n_nationkey") < GENRE_ROWS_BELOW)
+    n = table(spark, sf_dir, "nation").where(F.col("n_nationkey") != UNKNOWN_GENRE)
     n = n.withColumn("day", F.explode(F.array(*[F.lit(d) for d in days])))
     return n.select(
         F.col("n_nationkey").cast("int").alias("id"), F.col("n_name").alias("name"),
@@ -133,10 +133,16 @@ def raw_genres(spark: SparkSession, sf_dir: str, days=DAYS) -> DataFrame:
 
 def second_discover_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Second load batch: day-2 discover rows again with doubled popularity (keys already
-    stored, so insert-if-absent must skip them) plus day 3 (new keys)."""
+    stored, so insert-if-absent must skip them) plus day 3 (new keys).  Every 5th movie
+    arrives twice (``arrival`` 1 and 2), the second time with another popularity."""
     d = raw_discover(movie_rows(spark, sf_dir, days=(2, 3)))
     day2 = F.col("snapshot_date") == F.date_add(F.lit(FIRST_SNAPSHOT).cast("date"), 2)
-    return d.withColumn("popularity", F.when(day2, F.col("popularity") * 2)
+    d = d.withColumn("popularity", F.when(day2, F.col("popularity") * 2)
+                                    .otherwise(F.col("popularity")))
+    again = F.when(F.col("id") % ARRIVES_TWICE_EVERY == 0, F.array(F.lit(2), F.lit(1))) \
+        .otherwise(F.array(F.lit(1)))
+    d = d.withColumn("arrival", F.explode(again))
+    return d.withColumn("popularity", F.when(F.col("arrival") == 2, F.col("popularity") - 1000)
                                         .otherwise(F.col("popularity")))
 
 
@@ -155,6 +161,22 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 PAGE_SIZE = 20
 CORRUPT_DETAIL_EVERY = 997
+CORRUPT_LENGTH = 25
+#: Nested detail values by column: a JSON text in which ``#`` stands for the movie's id, and
+#: the movies that have it (every so-manieth).
+NESTED_TEXTS = {
+    "production_companies": (2, '[{"id":#,"logo_path":"/l#.png","name":"Studio #",'
+                                '"origin_country":"US"},{"id":7,"logo_path":null,"name":"B"}]'),
+    "production_countries": (3, '[{"iso_3166_1":"FR","name":"France","since":#}]'),
+    "spoken_languages": (4, '[{"english_name":"German","iso_639_1":"de","name":"D #"}]'),
+    "belongs_to_collection": (6, '{"id":#,"name":"C #","poster_path":"/c#.jpg"}'),
+}
+
+
+def nested_text(column: str) -> Column:
+    every, text = NESTED_TEXTS[column]
+    return F.when(F.col("id") % every == 0, F.replace(
+        F.lit(text), F.lit("#"), F.col("id").cast("string")))
 _LANDING_MOVIE_FIELDS = ("id", "title", "original_title", "overview", "poster_path",
                          "media_type", "adult", "original_language", "genre_ids",
                          "popularity", "release_date", "video", "vote_average", "vote_count")
@@ -182,7 +204,7 @@ def land_pages(movies: DataFrame, path: str, page_size: int = PAGE_SIZE) -> str:
     counts = movies.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
     counts = counts.withColumn("total_pages", F.greatest(
         F.lit(1), F.ceil(F.col("n") / page_size).cast("int")))
-    m = movies.join(broadcast_if_small(counts), groups)  # one row per day
+    m = movies.join(counts, groups)  # one row per day
     m = m.withColumn("page", (F.pmod(F.xxhash64("id"), F.col("total_pages")) + 1).cast("int"))
     fields = [c for c in _LANDING_MOVIE_FIELDS if c in movies.columns]
     pages = m.groupBy(*groups, "page", "total_pages").agg(
@@ -192,19 +214,17 @@ def land_pages(movies: DataFrame, path: str, page_size: int = PAGE_SIZE) -> str:
     return _write_docs(docs, path)
 
 
-def land_discover_pages(movies: DataFrame, path: str, max_pages: int = 500,
+def land_discover_pages(movies: DataFrame, path: str, max_pages: int | None = None,
                         page_size: int = PAGE_SIZE, beyond_last: bool = False) -> str:
-    """What the discover endpoint serves per (request date, release year): the top
-    ``max_pages * page_size`` movies by popularity, ``page_size`` per page in that order.
-
-    The rank window runs on at most ``max_pages * page_size`` rows per group, because
-    the exact top-n (ING-03) has cut each group to that size first."""
+    """What the discover endpoint serves per (request date, release year): movies by
+    popularity, ``page_size`` per page in that order; with ``max_pages`` no more pages than
+    that (the exact top-n, ING-03, then cuts each group before the rank window)."""
     from snaplake.operators.ingest import discover_top
     groups = ["snapshot_date", "release_year"]
     top = discover_top(movies, max_pages, page_size, request_cols=["snapshot_date"])
     rank = F.row_number().over(Window.partitionBy(*groups).orderBy(
         F.col("popularity").desc_nulls_last(), F.col("id").asc()))
-    counts = broadcast_if_small(top.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")))
+    counts = top.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
     paged = top.join(counts, groups) \
         .withColumn("page", ((rank - 1) / page_size).cast("int") + 1) \
         .withColumn("total_pages", F.ceil(F.col("n") / page_size).cast("int"))
@@ -230,15 +250,17 @@ def land_genre_docs(genres: DataFrame, path: str) -> str:
                                    F.to_json(F.struct("genres")).alias("value")), path)
 
 
-def land_detail_docs(details: DataFrame, path: str) -> str:
-    """One detail document per movie and day; every 997th is cut short (a failed fetch)."""
-    d = details.withColumn("genres", F.from_json("genres", schemas.GENRE_OBJECTS))
-    fields = [f.name for f in schemas.DETAIL_DOC.fields
-              if f.name in d.columns and f.name not in
-              ("production_companies", "production_countries", "spoken_languages",
-               "belongs_to_collection")]
-    text = F.to_json(F.struct(*fields))
-    bad = F.col("id") % CORRUPT_DETAIL_EVERY == 0
-    docs = d.select("snapshot_date", F.when(bad, F.substring(text, 1, 25))
+def land_detail_docs(details: DataFrame, path: str, corrupt: bool = True) -> str:
+    """One detail document per movie and day; every 997th is cut short (a failed fetch).
+    Nested values are written as the JSON they are, with fields that no model reads."""
+    d = details.withColumns({c: nested_text(c) for c in NESTED_TEXTS})
+    nested = ["genres", *NESTED_TEXTS]
+    plain = [f.name for f in schemas.DETAIL_DOC.fields
+             if f.name in d.columns and f.name not in nested]
+    d = d.withColumn("_plain", F.to_json(F.struct(*plain)))
+    more = [F.coalesce(F.concat(F.lit(f',"{c}":'), F.col(c)), F.lit("")) for c in nested]
+    text = F.concat(F.substr("_plain", F.lit(1), F.length("_plain") - 1), *more, F.lit("}"))
+    bad = (F.col("id") % CORRUPT_DETAIL_EVERY == 0) & F.lit(corrupt)
+    docs = d.select("snapshot_date", F.when(bad, F.substring(text, 1, CORRUPT_LENGTH))
                     .otherwise(text).alias("value"))
     return _write_docs(docs, path)

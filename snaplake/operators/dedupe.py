@@ -55,9 +55,8 @@ def top_n_by_value(df: DataFrame, groups: Sequence[str], value: str, tie: str, n
              for k in range(len(_LEVELS), 0, -1)]
     thresholds = stats.select(*[F.col(g).alias("_g_" + g) for g in groups],
                               F.coalesce(*picks).alias("_threshold"))
-    from snaplake.operators.joins import broadcast_if_small  # one row per group
     on = [F.col(g).eqNullSafe(F.col("_g_" + g)) for g in groups]
-    kept = df.join(broadcast_if_small(thresholds), on, "left") \
+    kept = df.join(thresholds, on, "left") \
         .where(F.col("_threshold").isNull() | (v >= F.col("_threshold"))) \
         .drop("_threshold", *["_g_" + g for g in groups])
     order = [v.desc_nulls_last(), F.col(tie).asc()]

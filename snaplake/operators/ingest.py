@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 
 from snaplake.operators.dedupe import top_n_by_value
 
-# The API serves at most 500 pages of discover results per query.
-MAX_PAGES = 500
 PAGE_SIZE = 20
 DETAIL_NESTED = ("genres", "production_companies", "production_countries", "spoken_languages")
 DISCOVER_FIELDS = ("id", "title", "genre_ids", "popularity", "vote_average", "vote_count",
@@ -35,13 +33,16 @@ def details_for(ids: DataFrame, docs: DataFrame, keys: Sequence[str] = ("id",))
     return docs.join(ids, list(keys), "left_semi")
 
 
-def discover_top(df: DataFrame, max_pages: int = MAX_PAGES, page_size: int = PAGE_SIZE,
+def discover_top(df: DataFrame, max_pages: int | None = None, page_size: int = PAGE_SIZE,
                  year_col: str = "release_year",
                  request_cols: Sequence[str] = ()) -> DataFrame:
     """ING-03: what a discover query returns per release year (and per request, e.g.
-    snapshot date) -- popularity descending, at most ``max_pages * page_size`` rows.
+    snapshot date) -- popularity descending, at most ``max_pages * page_size`` rows if
+    the API's client was given a page limit, all rows otherwise.
     Ties go to the smaller id; unknown popularity ranks last.  A quantile pre-filter
     keeps the final per-year window small however many rows a year holds."""
+    if max_pages is None:
+        return df
     return top_n_by_value(df, [year_col, *request_cols], "popularity", "id",
                           max_pages * page_size)
 
@@ -56,13 +57,13 @@ def shape_discover(movies: DataFrame, year_col: str = "release_year") -> DataFra
 
 
 def jsonify(df: DataFrame, cols: Sequence[str] = DETAIL_NESTED) -> DataFrame:
-    """ING-06/JSN-06: nested detail fields become JSON text; an absent value gives '[]'."""
-    out = df
+    """ING-06/JSN-06: nested detail fields become JSON text; an absent value gives '[]'.
+    Fields that the reader kept as text already are JSON."""
+    out, types = df, dict(df.dtypes)
     for c in cols:
-        if c in df.columns:
-            out = out.withColumn(c, F.coalesce(F.to_json(F.col(c)), F.lit("[]")))
-        else:
-            out = out.withColumn(c, F.lit("[]"))
+        text = F.lit(None) if c not in types else \
+            F.col(c) if types[c] == "string" else F.to_json(F.col(c))
+        out = out.withColumn(c, F.coalesce(text, F.lit("[]")))
     return out
 
 

@@ -7,19 +7,17 @@ safe: every row it would add is already present, so it adds nothing.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, MapType, StringType, StructType
-from pyspark.errors import AnalysisException
 
 from snaplake import schemas
 from snaplake.operators.dedupe import first_per_key
-
-# A load batch that touches more days than this is checked against the whole table
-# instead of a literal partition list.
-MAX_LITERAL_PARTITIONS = 1000
+from snaplake.session import scratch_path
+from snaplake.sinks.lake import delete_path
+from snaplake.sources.lake import read_or_none
 
 
 def normalise_nested(df: DataFrame) -> DataFrame:
@@ -40,6 +38,7 @@ def align(df: DataFrame, target: StructType,
           json_as_variant: bool = False) -> DataFrame:
     """LOAD-04: reconcile to the target schema -- unknown columns dropped, missing ones
     NULL, DATE columns cast, JSON columns kept as JSON text, others cast by assignment.
+    Text that is not JSON in a JSON column fails the load.
 
     CST-05: with ``json_as_variant`` the JSON columns become VARIANT (``try_parse_json``:
     text that is not JSON gives NULL instead of failing the load)."""
@@ -51,7 +50,11 @@ def align(df: DataFrame, target: StructType,
         elif f.name in json_columns:
             text = F.col(f.name) if isinstance(have[f.name], StringType) \
                 else F.to_json(F.col(f.name))
-            cols.append((F.try_parse_json(text) if json_as_variant else text).alias(f.name))
+            parsed = F.try_parse_json(text)
+            checked = F.when(text.isNotNull() & parsed.isNull(), F.raise_error(F.concat(
+                F.lit(f"column '{f.name}' is not JSON: "), F.substring(text, 1, 100)))) \
+                .otherwise(text)
+            cols.append((parsed if json_as_variant else checked).alias(f.name))
         elif isinstance(f.dataType, DateType):
             cols.append(F.to_date(F.col(f.name)).alias(f.name))
         else:
@@ -68,39 +71,44 @@ def _reject_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         for c in df.columns])
 
 
-def _stored(df: DataFrame, path: str) -> DataFrame | None:
-    try:
-        return df.sparkSession.read.schema(df.schema).parquet(path)
-    except AnalysisException:
-        return None
-
-
 def insert_if_absent(batch: DataFrame, path: str,
                      keys: Sequence[str] = schemas.RAW_KEYS,
                      partition_col: str = schemas.PARTITION_COLUMN,
-                     order: Sequence[Column] | None = None) -> str:
+                     order: Sequence[Column] | None = None, arrival: str | None = None,
+                     days: Iterable | None = None) -> str:
     """LOAD-05/SNK-03/JN-06: keyed append that never overwrites.
 
     1. NULL keys abort the job.
-    2. Inside the batch the first row per key wins (``order``; by default the non-key
-       columns, which makes the choice deterministic).
+    2. Inside the batch the first row per key wins: by ``order``, or by the column
+       ``arrival``, which is not stored; without either, rows of one key are taken to be
+       alike and any one stays.
     3. Against stored rows: a left-anti join with only the day partitions the batch
-       touches (their few distinct values are read first, so the scan is pruned).
+       touches.  A load that knows its ``days`` names them; else the deduplicated batch is
+       staged in the scratch folder first and its directories tell.  Either way the batch is
+       computed once.
     4. The rest is appended, one directory per day made on demand (SNK-08).
     """
-    keys = list(keys)
-    if order is None:
-        order = [F.col(f.name).asc_nulls_last() for f in batch.schema.fields
-                 if f.name not in keys and not isinstance(f.dataType, MapType)]
+    spark, keys = batch.sparkSession, list(keys)
+    if arrival is not None:
+        order = [F.col(arrival).asc_nulls_last()]
     guarded = _reject_null_keys(batch, keys)
     first = first_per_key(guarded, keys, order) if order else guarded.dropDuplicates(keys)
-    stored = _stored(batch, path)
+    if arrival is not None:
+        first = first.drop(arrival)
+    stored = read_or_none(spark, path, first.schema)
+    staged = None
     if stored is not None:
-        # Distinct days of the batch: a one-column partial aggregate, a handful of values.
-        days = [r[0] for r in batch.select(partition_col).distinct()
-                .limit(MAX_LITERAL_PARTITIONS + 1).collect()]
-        if len(days) <= MAX_LITERAL_PARTITIONS:
-            stored = stored.where(F.col(partition_col).isin(days))
+        if days is None:
+            staged = scratch_path(spark, "load")
+            first.write.partitionBy(partition_col).parquet(staged)
+            first = spark.read.schema(first.schema).parquet(staged).select(first.columns)
+            # Answered from the directories' names, one per day.
+            days = [r[0] for r in first.select(partition_col).distinct().collect()]
+        stored = stored.where(F.col(partition_col).isin(
+            [F.lit(d).cast(first.schema[partition_col].dataType) for d in days]))
         first = first.join(stored.select(*keys), keys, "left_anti")
-    first.write.mode("append").partitionBy(partition_col).parquet(path)
+    first.hint("rebalance", partition_col).write.mode("append") \
+        .partitionBy(partition_col).parquet(path)
+    if staged is not None:
+        delete_path(spark, staged)
     return path

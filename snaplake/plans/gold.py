@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from snaplake.functions import scalar as fn
-from snaplake.operators.joins import broadcast_if_small
 
 TOP_N = 20
 HISTORY_FROM = "2000-01-01"
@@ -34,20 +33,25 @@ def ordered(df: DataFrame, model: str) -> DataFrame:
                         for c, desc in ORDER[model]])
 
 
-def latest(df: DataFrame, date_col: str = "snapshot_date") -> DataFrame:
+def latest(df: DataFrame, date_col: str = "snapshot_date",
+           days: DataFrame | None = None) -> DataFrame:
     """FLT-05/AGG-05: rows of the latest snapshot, via an uncorrelated scalar subquery.
-    On a table partitioned by ``date_col`` the subquery result prunes partitions."""
-    return df.where(F.col(date_col) == df.agg(F.max(date_col)).scalar())
+    On a table partitioned by ``date_col`` the subquery result prunes partitions.  ``days``:
+    a table with the same days that is cheaper to look at (the input of a plan not stored
+    yet: dedupe never removes a day)."""
+    days = df if days is None else days
+    return df.where(F.col(date_col) == days.agg(F.max(date_col)).scalar())
 
 
-def latest_api(core: DataFrame) -> DataFrame:
-    return latest(core.where(F.col("source") == "api"))
+def latest_api(core: DataFrame, days: DataFrame | None = None) -> DataFrame:
+    return latest(core.where(F.col("source") == "api"), days=days)
 
 
 def latest_genres(stg_genres: DataFrame) -> DataFrame:
-    """Genre names of the latest genre snapshot, NULL names dropped, size-checked."""
+    """Genre names of the latest genre snapshot, NULL names dropped.  Whether a join with it
+    broadcasts it is left to Spark, which knows its size at run time."""
     g = latest(stg_genres).where(F.col("genre_name").isNotNull())
-    return broadcast_if_small(g.select("genre_id", "genre_name"))
+    return g.select("genre_id", "genre_name")
 
 
 def daily_total_movies(core: DataFrame) -> DataFrame:
@@ -55,9 +59,9 @@ def daily_total_movies(core: DataFrame) -> DataFrame:
     return core.agg(F.count_distinct("movie_id").alias("total_movies_in_db"))
 
 
-def daily_top_rated_movies(core: DataFrame) -> DataFrame:
+def daily_top_rated_movies(core: DataFrame, api_days: DataFrame | None = None) -> DataFrame:
     """MOD-06: latest api snapshot, > 100 votes, top 20 by rating then votes."""
-    d = latest_api(core).where(F.col("vote_count") > 100)
+    d = latest_api(core, api_days).where(F.col("vote_count") > 100)
     return d.select(
         "movie_id", "title", "vote_average", "vote_count", "popularity", "release_date",
         fn.poster_url("poster_path").alias("poster_url"),
@@ -65,9 +69,9 @@ def daily_top_rated_movies(core: DataFrame) -> DataFrame:
               F.col("movie_id").asc()).limit(TOP_N)
 
 
-def daily_most_popular_movies(core: DataFrame) -> DataFrame:
+def daily_most_popular_movies(core: DataFrame, api_days: DataFrame | None = None) -> DataFrame:
     """MOD-07: latest api snapshot, top 20 by popularity (NULL first, as the reference)."""
-    return latest_api(core).select(
+    return latest_api(core, api_days).select(
         "movie_id", "title", "popularity", "vote_average", "vote_count", "release_date",
         fn.poster_url("poster_path").alias("poster_url"),
     ).orderBy(F.col("popularity").desc_nulls_first(), F.col("movie_id").asc()).limit(TOP_N)
@@ -94,7 +98,7 @@ def agg_genre_trends(core: DataFrame, stg_discover: DataFrame,
     api = core.where(F.col("source") == "api").select(
         "snapshot_date", "popularity", F.explode("raw_genres").alias("g")) \
         .select(F.col("g.name").alias("genre_name"), "snapshot_date", "popularity")
-    names = broadcast_if_small(stg_genres.select("genre_id", "genre_name", "snapshot_date"))
+    names = stg_genres.select("genre_id", "genre_name", "snapshot_date")
     disc = stg_discover.select("snapshot_date", "popularity",
                                F.explode("raw_genre_ids").alias("genre_id")) \
         .join(names, ["genre_id", "snapshot_date"]) \
@@ -138,13 +142,13 @@ def fact_movie_popularity(core: DataFrame) -> DataFrame:
                        "vote_count")
 
 
-def dim_movies(core: DataFrame) -> DataFrame:
+def dim_movies(core: DataFrame, days: DataFrame | None = None) -> DataFrame:
     """MOD-12: latest snapshot of every source, genre names joined by ', '.
 
     core is unique on (movie_id, snapshot_date), so the reference's group-by + left join
     back collapses into a per-row array expression: no shuffle at all.
     """
-    return latest(core).select(
+    return latest(core, days=days).select(
         "movie_id", "title", fn.genre_names_joined("raw_genres").alias("genres"),
         "release_date", "runtime", "snapshot_date")
 

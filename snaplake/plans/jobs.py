@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from snaplake import schemas
 from snaplake.operators import ingest, load
 from snaplake.plans import gold, history, quality, silver
+from snaplake.sinks import catalog
 from snaplake.sinks import lake as lake_sink
 from snaplake.sources import landing, lake as lake_source
 
@@ -49,7 +50,7 @@ def load_dataset(spark: SparkSession, root: str, dataset: str, date: str,
     df = ingest.stamp(df, date=date)
     df = load.default_source(df)
     df = load.align(df, schemas.RAW_TABLES[dataset])
-    return load.insert_if_absent(df, lake_sink.raw_path(root, dataset))
+    return load.insert_if_absent(df, lake_sink.raw_path(root, dataset), days=[date])
 
 
 SILVER = ("stg_genres", "stg_movie_details", "stg_discover", "core_movies")
@@ -69,53 +70,68 @@ PER_DAY_GOLD = {
 }
 
 
-def build_models(spark: SparkSession, root: str,
-                 days: Iterable[str] | None = None) -> dict[str, DataFrame]:
-    """All silver and gold models, each materialised and read back, then the DQ suite.
+def build_models(spark: SparkSession, root: str, days: Iterable[str] | None = None,
+                 require_pass: bool = True) -> dict[str, DataFrame]:
+    """All silver and gold models, each materialised and read back, then the tests.
 
     Silver rows of a day depend only on that day's raw rows (every dedupe key holds
-    ``snapshot_date``), so with ``days`` only those day partitions of silver are
-    recomputed (raw scans pruned to them) and replaced.  The same holds for the per-day
-    gold models; the whole-history ones (MOD-05/08/10) extend their state with these
-    days only (``plans.history``); the latest-snapshot ones read one stored day.
+    ``snapshot_date``), so with ``days`` only those days of silver are recomputed (raw scans
+    pruned to them) and replaced, each as a whole.  The same holds for the per-day gold
+    models and for the state of the whole-history ones (MOD-05/08/10, ``plans.history``);
+    the latest-snapshot ones read one stored day.  Without ``days`` everything is rebuilt
+    from raw.  Raw, core and gold tables are registered in the catalog.  A failing test
+    raises ``quality.DataTestsFailed`` once all results are stored (``require_pass``).
     """
+    days = None if days is None else list(days)
     raw = lake_source.register_sources(spark, root)
-    wanted = [F.lit(d).cast("date") for d in days or ()]
-    if days is not None:
-        raw = {k: v.where(F.col("snapshot_date").isin(wanted)) for k, v in raw.items()}
+    in_scope = (lambda df: df) if days is None else (lambda df: history.days_of(df, days))
+    raw = {k: in_scope(v) for k, v in raw.items()}
     s = silver.build_silver(raw)
-    daily = dict(partition_by=["snapshot_date"], only_present_partitions=days is not None)
+    daily = dict(partition_by=["snapshot_date"], days=days)
     staging = {k: s[k] for k in ("stg_genres", "stg_movie_details", "stg_discover")}
     mat = _each(lambda name, df: lake_sink.materialise(df, root, LAYERS["silver"], name,
                                                        **daily), staging)
     # core from the stored staging (read back, pruned to the run's days): the staging
     # windows are not computed a second time.
-    def staged(name):
-        df = mat[name]
-        return df if days is None else df.where(F.col("snapshot_date").isin(wanted))
-    core = silver.core_movies(staged("stg_movie_details"), staged("stg_discover"))
+    core = silver.core_movies(in_scope(mat["stg_movie_details"]), in_scope(mat["stg_discover"]))
     # core is laid out by (day, source): "latest api snapshot" (MOD-06/07) is then
     # answered from directory names, and the api-only reads prune to api directories.
     mat["core_movies"] = lake_sink.materialise(
         core, root, LAYERS["silver"], "core_movies",
         **{**daily, "partition_by": list(CORE_PARTITIONS)})
-    scope = mat if days is None else {
-        k: mat[k].where(F.col("snapshot_date").isin(wanted)) for k in SILVER}
+    scope = {k: in_scope(mat[k]) for k in SILVER}
     # MOD-05/08/10 from per-day state (plans.history), the rest from stored silver.
-    whole = history.build(spark, root, scope["core_movies"], mat["stg_genres"])
+    whole = history.build(spark, root, mat["core_movies"], mat["stg_genres"], days)
     whole.update({name: build(mat) for name, build in LATEST_GOLD.items()})
     mat.update(_each(lambda name, df: lake_sink.materialise(df, root, LAYERS["gold"], name),
                      whole))
     per_day = {name: build(scope) for name, build in PER_DAY_GOLD.items()}
     mat.update(_each(lambda name, df: lake_sink.materialise(df, root, LAYERS["gold"], name,
                                                             **daily), per_day))
-    mat["dq_results"] = lake_sink.materialise(quality.run_suite(mat), root, LAYERS["tests"],
-                                              "dq_results")
+    # The fact table is tested for the run's days; earlier ones were tested by their runs.
+    tested = {**mat, "fact_movie_popularity": in_scope(mat["fact_movie_popularity"])}
+    results = quality.run_suite(tested).unionByName(quality.run_raw_suite(raw))
+    mat["dq_results"] = lake_sink.materialise(results, root, LAYERS["tests"], "dq_results")
+    _register(spark, root, mat)
+    if require_pass:
+        quality.require_pass(mat["dq_results"])
     return mat
 
 
+def _register(spark: SparkSession, root: str, models: dict[str, DataFrame]) -> None:
+    """SNK-04/06/07: layers and tables of this root, readable by name (``gold.dim_movies``)."""
+    catalog.create_layers(spark, root)
+    catalog.create_raw_tables(spark, root)
+    for name, df in models.items():
+        layer = LAYERS["silver"] if name in SILVER else LAYERS["gold"]
+        partitions = list(CORE_PARTITIONS) if name == "core_movies" else \
+            ["snapshot_date"] if name in SILVER or name in PER_DAY_GOLD else []
+        catalog.register(spark, layer, name, df.schema, f"{root.rstrip('/')}/{layer}/{name}",
+                         partitions)
+
+
 def run_daily(spark: SparkSession, landing_root: str, root: str, date: str,
-              multi_line: bool = False) -> dict[str, DataFrame]:
+              multi_line: bool = False, require_pass: bool = True) -> dict[str, DataFrame]:
     """PIPE-01: three lists -> candidate ids -> their details; genres; each to the lake
     (day overwrite), each lake snapshot into raw (insert-if-absent), then models, tests."""
     lists = {d: landing.read_list_pages(spark, _landing_day(landing_root, d, date), d,
@@ -129,21 +145,21 @@ def run_daily(spark: SparkSession, landing_root: str, root: str, date: str,
     extracted = {**lists, "movie_details": details, "genres": genres}
     _each(lambda name, df: lake_sink.write_snapshot(df, _lake(root), name, date), extracted)
     _each(lambda name, _: load_dataset(spark, root, name, date), extracted)
-    return build_models(spark, root, days=[date])
+    return build_models(spark, root, days=[date], require_pass=require_pass)
 
 
 def backfill(spark: SparkSession, landing_dir: str, lake_root: str, years: Iterable[int],
-             date: str, max_pages: int = ingest.MAX_PAGES) -> str:
+             date: str, max_pages: int | None = None) -> str:
     """ING-05: every year of the range in one job -- read all landed pages, keep the
-    requested years, shape, and write ``year=Y/snapshot_date=D`` with day overwrite."""
+    requested years, shape, and replace each year's ``year=Y/snapshot_date=D``."""
     years = list(years)
     movies = landing.read_discover_pages(spark, landing_dir, max_page=max_pages) \
         .where(F.col("release_year").isin(years))
-    return lake_sink.write_discover(ingest.shape_discover(movies), lake_root, date)
+    return lake_sink.write_discover(ingest.shape_discover(movies), lake_root, date, years)
 
 
 def run_backfill(spark: SparkSession, landing_root: str, root: str, years: Iterable[int],
-                 date: str) -> dict[str, DataFrame]:
+                 date: str, require_pass: bool = True) -> dict[str, DataFrame]:
     """PIPE-02: backfill all years -> raw discover -> models -> tests."""
     years = list(years)
     backfill(spark, _landing_day(landing_root, "discover", date), _lake(root), years, date)
@@ -151,4 +167,4 @@ def run_backfill(spark: SparkSession, landing_root: str, root: str, years: Itera
         .where((F.col("snapshot_date") == F.lit(date).cast("date"))
                & F.col("year").isin(years)).drop("year")
     load_dataset(spark, root, "discover", date, snapshot=snap)
-    return build_models(spark, root, days=[date])
+    return build_models(spark, root, days=[date], require_pass=require_pass)

@@ -64,8 +64,9 @@ def core_movies(details: DataFrame, discover: DataFrame) -> DataFrame:
     """MOD-04: both staging tables in one 18-column schema; per (movie, snapshot) the api
     row beats the discover row.  Every snapshot is kept.
 
-    Both inputs come out of a window hash-partitioned on (movie_id, snapshot_date), so
-    the union keeps that partitioning and this second window needs no further shuffle.
+    Staging is unique on (movie_id, snapshot_date), so the winner is: every api row, and the
+    discover rows whose key no api row has.  Api rows never move; the anti-join shuffles
+    discover rows and the api side's keys only.
     """
     null = lambda t: F.lit(None).cast(t)
     api = details.select(
@@ -82,9 +83,8 @@ def core_movies(details: DataFrame, discover: DataFrame) -> DataFrame:
         null(schemas.GENRE_OBJECTS).alias("raw_genres"), "raw_genre_ids",
         null("string").alias("poster_path"), "snapshot_date",
         F.lit("discover").alias("source"))
-    both = api.unionByName(disc)
-    return first_per_key(both, CORE_KEYS, [fn.source_priority("source")]) \
-        .select(*CORE_COLUMNS)
+    disc = disc.join(details.select(*CORE_KEYS), list(CORE_KEYS), "left_anti")
+    return api.select(*CORE_COLUMNS).unionByName(disc.select(*CORE_COLUMNS))
 
 
 def build_silver(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:

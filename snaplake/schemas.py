@@ -73,7 +73,6 @@ GENRE_IDS = ArrayType(I)
 
 # ---- landing documents (what the API returned, kept as JSON files) ----------------
 
-NAMED_OBJ = _struct(("id", L), ("name", S))
 LANDING_MOVIE = _struct(
     ("id", L), ("title", S), ("original_title", S), ("overview", S), ("poster_path", S),
     ("media_type", S), ("adult", B), ("original_language", S), ("genre_ids", ArrayType(I)),
@@ -88,10 +87,10 @@ DETAIL_DOC = _struct(
     ("id", L), ("imdb_id", S), ("title", S), ("original_title", S), ("overview", S),
     ("status", S), ("tagline", S), ("runtime", I), ("budget", L), ("revenue", L),
     ("popularity", D), ("vote_average", D), ("vote_count", L), ("release_date", S),
-    ("genres", ArrayType(_struct(("id", I), ("name", S)))),
-    ("production_companies", ArrayType(NAMED_OBJ)),
-    ("production_countries", ArrayType(_struct(("iso_3166_1", S), ("name", S)))),
-    ("spoken_languages", ArrayType(_struct(("iso_639_1", S), ("name", S)))),
+    # Nested values stay raw JSON text: the JSON reader hands a string column the value's
+    # text as it is, so no field of it is cut.
+    ("genres", S), ("production_companies", S), ("production_countries", S),
+    ("spoken_languages", S),
     ("homepage", S), ("backdrop_path", S), ("poster_path", S), ("adult", B), ("video", B),
-    ("original_language", S), ("belongs_to_collection", NAMED_OBJ),
+    ("original_language", S), ("belongs_to_collection", S),
 )

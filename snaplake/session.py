@@ -1,12 +1,15 @@
 """Session settings and the shared scratch location.
 
 Every job reads its scratch root from ``spark.checkpoint.dir`` (the shared folder a
-cluster names there).  Only when that is unset -- as in local tests -- do we pick a
-private temporary folder and register it as the checkpoint directory.
+cluster names there).  Only with a local master, and only when that is unset, do we pick a
+private temporary folder and register it as the checkpoint directory; on a cluster an unset
+root is an error, because executors don't see each other's disks.  A session's scratch folder
+is deleted when its JVM ends.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -23,6 +26,10 @@ DEFAULT_CONF = {
 }
 
 
+#: Scratch folders that this process has made and marked for deletion.
+_HOMES: set[str] = set()
+
+
 def get_session(master: str | None = None, app: str = "snaplake",
                 shuffle_partitions: int | None = None,
                 extra: dict[str, str] | None = None) -> SparkSession:
@@ -48,6 +55,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         # Unset (local tests only): register a private folder once.
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="snaplake-ckpt-"))
         root = spark.sparkContext.getCheckpointDir()
@@ -55,5 +64,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused folder under the shared scratch root."""
-    return f"{checkpoint_root(spark)}/snaplake/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never reused folder under the session's part of the shared scratch root."""
+    sc = spark.sparkContext
+    home = f"{checkpoint_root(spark)}/snaplake/{sc.applicationId}"
+    if home not in _HOMES:
+        path = sc._jvm.org.apache.hadoop.fs.Path(home)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _HOMES.add(home)
+    return f"{home}/{name}-{uuid.uuid4().hex[:12]}"

@@ -1,18 +1,21 @@
 """Lake and layer writes (SNK-01, SNK-02, SNK-04, SNK-05).
 
-Day partitions are written with dynamic partition overwrite: a re-run of a day replaces
-that day's directory only and leaves every other day alone.
+A day is always replaced as a whole: its directory is overwritten statically, whatever
+partitions below it the new rows have, so a re-run leaves nothing of the earlier one --
+not even when it has no rows for that day.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaplake import schemas
 
+DAY = "snapshot_date"
+
 
 def dataset_path(root: str, dataset: str) -> str:
     return f"{root.rstrip('/')}/{dataset}"
@@ -22,46 +25,71 @@ def discover_path(root: str) -> str:
     return f"{root.rstrip('/')}/discover_by_year"
 
 
-def _overwrite_days(df: DataFrame, path: str, partition_cols: Sequence[str]) -> str:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(*partition_cols).parquet(path)
+def delete_path(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _static_overwrite(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
+    """Rows of one directory are brought together first, so a task writes few files; AQE
+    splits directories above its advisory size."""
+    if partition_cols:
+        df = df.hint("rebalance", *partition_cols)
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (w.partitionBy(*partition_cols) if partition_cols else w).parquet(path)
+
+
+def replace_days(df: DataFrame, path: str, days: Iterable[str],
+                 partition_cols: Sequence[str] = (DAY,)) -> str:
+    """Overwrite the directories ``<path>/snapshot_date=D`` of ``days`` with the rows of
+    ``df`` for those days; every other day stays as it is."""
+    below = [c for c in partition_cols if c != DAY]
+    for d in days:
+        rows = df.where(F.col(DAY) == F.lit(d).cast("date")).drop(DAY)
+        _static_overwrite(rows, f"{path}/{DAY}={d}", below)
     return path
 
 
 def write_snapshot(df: DataFrame, root: str, dataset: str, date: str) -> str:
     """SNK-01: stamp the run date, write ``<root>/<dataset>/snapshot_date=D/``."""
-    stamped = df.withColumn("snapshot_date", F.lit(date).cast("date"))
-    return _overwrite_days(stamped, dataset_path(root, dataset), ["snapshot_date"])
+    stamped = df.withColumn(DAY, F.lit(date).cast("date"))
+    return replace_days(stamped, dataset_path(root, dataset), [date])
 
 
-def write_discover(df: DataFrame, root: str, date: str) -> str:
+def write_discover(df: DataFrame, root: str, date: str,
+                   years: Iterable[int] | None = None) -> str:
     """SNK-02: backfill layout ``year=Y/snapshot_date=D``; ``release_year`` stays a data
-    column, ``year`` is its copy in the path."""
-    stamped = df.withColumn("snapshot_date", F.lit(date).cast("date")) \
+    column, ``year`` is its copy in the path.  The (year, day) directories of ``years``
+    (default: the years that ``df`` has) are replaced as a whole."""
+    path = discover_path(root)
+    for y in years or ():
+        delete_path(df.sparkSession, f"{path}/year={y}/{DAY}={date}")
+    stamped = df.withColumn(DAY, F.lit(date).cast("date")) \
                 .withColumn("year", F.col("release_year"))
-    return _overwrite_days(stamped, discover_path(root), ["year", "snapshot_date"])
+    stamped.hint("rebalance", "year").write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("year", DAY).parquet(path)
+    return path
 
 
 def materialise(df: DataFrame, root: str, layer: str, name: str, kind: str = "table",
-                partition_by: Sequence[str] = (), only_present_partitions: bool = False
+                partition_by: Sequence[str] = (), days: Iterable[str] | None = None
                 ) -> DataFrame:
     """SNK-04/SNK-05: rebuild of a model.
 
     ``table``: overwrite ``<root>/<layer>/<name>`` and return a DataFrame reading it
     back -- downstream models start from the written files, which also cuts lineage.
-    With ``only_present_partitions`` only the partitions ``df`` holds are replaced
-    (a model whose rows for a day depend only on that day's input, refreshed per day).
+    With ``days`` only those days are replaced, each as a whole (a model whose rows for a
+    day depend only on that day's input, refreshed per day).
     ``view``: a temporary view ``<layer>__<name>`` over the plan, nothing written.
     """
     if kind == "view":
         df.createOrReplaceTempView(f"{layer}__{name}")
         return df.sparkSession.table(f"{layer}__{name}")
     path = f"{root.rstrip('/')}/{layer}/{name}"
-    mode = "dynamic" if only_present_partitions and partition_by else "static"
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    if days is None:
+        _static_overwrite(df, path, partition_by)
+    else:
+        replace_days(df, path, days, partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
@@ -71,21 +99,34 @@ def raw_path(root: str, dataset: str) -> str:
     return f"{root.rstrip('/')}/raw/{dataset}"
 
 
-def compact(spark, path: str, partition_col: str, value, schema,
-            rows_per_file: int = 5_000_000) -> int:
-    """Rewrite one partition of an append-only table (raw tables, history state) into
-    ``ceil(rows / rows_per_file)`` files.
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The partition columns of a stored table, from its files' paths."""
+    files = spark.read.parquet(path).inputFiles()
+    below = files[0].split(path.rstrip("/").split(":")[-1], 1)[-1] if files else ""
+    return [d.split("=", 1)[0] for d in below.split("/") if "=" in d]
+
+
+def compact(spark: SparkSession, path: str, date, schema, rows_per_file: int = 5_000_000) -> int:
+    """Rewrite one day of a table partitioned by day (and maybe further columns below it)
+    into ``ceil(rows / rows_per_file)`` files a directory at most; all partition columns stay.
 
-    The partition is first copied to a fresh folder of the shared scratch root and then
-    written back from that copy with dynamic partition overwrite, so the job never reads
-    the directory it replaces and a copy survives a failure during the swap.  Run it as
-    the table's single writer (as for loads).  Returns the number of files written.
+    The day is first copied to a fresh folder of the shared scratch root and then written
+    back from that copy, so the job never reads the directory it replaces and a copy survives
+    a failure during the swap.  Run it as the table's single writer (as for loads).  Returns
+    the number of files that hold the day now.
     """
     from snaplake.session import scratch_path
-    part = spark.read.schema(schema).parquet(path).where(F.col(partition_col) == F.lit(value))
-    n = max(1, -(-part.count() // rows_per_file))
+    columns = partition_columns(spark, path)
+    part = spark.read.schema(schema).parquet(path) \
+        .where(F.col(DAY) == F.lit(str(date)).cast("date"))
     staged = scratch_path(spark, "compact")
-    part.repartition(n).write.mode("overwrite").partitionBy(partition_col).parquet(staged)
-    spark.read.schema(schema).parquet(staged).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path)
-    return n
+    part.write.parquet(staged)
+    copy = spark.read.schema(schema).parquet(staged)
+    n = max(1, -(-copy.count() // rows_per_file))
+    below = [c for c in columns if c != DAY]
+    target = f"{path.rstrip('/')}/{DAY}={date}"
+    w = copy.drop(DAY).repartition(n).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "static")
+    (w.partitionBy(*below) if below else w).parquet(target)
+    delete_path(spark, staged)
+    return len(spark.read.schema(schema).parquet(target).inputFiles())

@@ -10,6 +10,21 @@ from snaplake import schemas
 from snaplake.sinks.lake import dataset_path, raw_path
 
 
+def read_or_none(spark: SparkSession, path: str, schema) -> DataFrame | None:
+    """A stored table, or None if nothing was ever written there; any other failure is one."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    df = read_or_none(spark, path, schema)
+    return spark.createDataFrame([], schema) if df is None else df
+
+
 def read_snapshot(spark: SparkSession, root: str, dataset: str, date: str,
                   schema=None) -> DataFrame:
     """SRC-05: one day of one lake dataset; the day filter prunes to one directory."""
@@ -26,10 +41,6 @@ def register_sources(spark: SparkSession, root: str,
     loaded yet (genres before the first daily run) is registered empty."""
     out = {}
     for name, schema in schemas.RAW_TABLES.items():
-        try:
-            df = spark.read.schema(schema).parquet(raw_path(root, name))
-        except AnalysisException:
-            df = spark.createDataFrame([], schema)
-        df.createOrReplaceTempView(prefix + name)
+        read_or_empty(spark, raw_path(root, name), schema).createOrReplaceTempView(prefix + name)
         out[name] = spark.table(prefix + name)
     return out

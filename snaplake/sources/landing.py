@@ -7,13 +7,12 @@ explicit; nothing is inferred.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from snaplake import schemas
-from snaplake.operators.ingest import MAX_PAGES
-from snaplake.operators.joins import broadcast_if_small
+from snaplake.operators.dedupe import first_per_key
 
 LIST_DATASETS = ("trending", "popular", "top_rated")
 CORRUPT = "_corrupt_record"
@@ -30,13 +29,21 @@ def _with_day(schema: StructType) -> StructType:
 
 
 def _json(spark: SparkSession, path: str, schema: StructType, multi_line: bool) -> DataFrame:
-    return spark.read.schema(_with_day(schema)).option("mode", "PERMISSIVE") \
-        .json(path, multiLine=multi_line)
+    """Documents of ``path``; one that does not parse fails the query that reads it."""
+    fields = _with_day(schema).fields + [StructField(CORRUPT, StringType())]
+    docs = spark.read.schema(StructType(fields)).option("mode", "PERMISSIVE") \
+        .option("columnNameOfCorruptRecord", CORRUPT).json(path, multiLine=multi_line)
+    failed = F.raise_error(F.concat(F.lit("document does not parse: "),
+                                    F.substring(CORRUPT, 1, 100)))
+    # Whatever field a reader looks at, it meets the check.
+    return docs.select(*[F.when(F.col(CORRUPT).isNotNull(), failed).otherwise(F.col(c)).alias(c)
+                         for c in schema.fieldNames()], DAY.name)
 
 
 def read_list_pages(spark: SparkSession, path: str, dataset: str,
                     multi_line: bool = False) -> DataFrame:
-    """SRC-01: rows under ``results`` of every page; provenance ``data_source='api'``."""
+    """SRC-01: rows under ``results`` of every page; provenance ``data_source='api'``.
+    A page that does not parse is an error, as a failed fetch is."""
     if dataset not in LIST_DATASETS:
         raise ValueError(f"Unknown dataset type: {dataset}")
     pages = _json(spark, path, schemas.LIST_PAGE, multi_line)
@@ -54,36 +61,40 @@ def read_genre_doc(spark: SparkSession, path: str, multi_line: bool = False) ->
         .select("g.id", "g.name", "snapshot_date").withColumn("data_source", F.lit("api"))
 
 
-def read_discover_pages(spark: SparkSession, path: str, max_page: int = MAX_PAGES,
+def read_discover_pages(spark: SparkSession, path: str, max_page: int | None = None,
                         multi_line: bool = False) -> DataFrame:
-    """SRC-03: all results of each year's pages, read the way the paging loop stops:
-    at the first empty or missing page, after the page that reaches ``total_pages``,
-    and after page ``max_page``.
+    """SRC-03: all results of each year's pages, read the way the paging loop stops: at the
+    first page without results, after the page that reaches ``total_pages``, and -- if the
+    client had a page limit -- after page ``max_page``.
 
-    The stop point is found on page metadata only (one small row per page, at most a few
-    hundred per year) and joined back; the results arrays never leave their task
-    except as exploded rows.
+    A page landed twice counts once.  A page that does not parse, or that is missing before
+    the loop's end, is an error.  The stop point is found on page metadata only (one small
+    row per page) and joined back.
     """
     pages = _json(spark, path, schemas.DISCOVER_PAGE, multi_line)
     request = ["snapshot_date", "release_year"]  # one paging loop per request
-    meta = pages.select(*request, "page", "total_pages",
-                        F.size("results").alias("n")).where(F.col("page") >= 1)
-    w = Window.partitionBy(*request).orderBy("page")
-    meta = meta.withColumn("seq", F.row_number().over(w))
-    # A page is readable when every page before it exists, is non-empty and did not
-    # end the loop.  Stop pages: first gap or empty page (excluded) and the first page
-    # that ends the loop (included).
-    ends = F.col("page") >= F.least(F.col("total_pages"), F.lit(max_page))
-    stop = meta.groupBy(*request).agg(
-        F.min(F.when((F.col("page") != F.col("seq")) | (F.col("n") <= 0), F.col("seq") - 1))
-         .alias("before_gap"),
-        F.min(F.when(ends, F.col("page"))).alias("last_page"))
-    limit = F.least(F.coalesce("before_gap", F.lit(max_page)),
-                    F.coalesce("last_page", F.lit(max_page)), F.lit(max_page))
-    keep = stop.select(*[F.col(c).alias("k_" + c) for c in request], limit.alias("keep_to"))
+    pages = first_per_key(pages.where(F.col("page") >= 1), [*request, "page"],
+                          [F.coalesce(F.size("results"), F.lit(0)).desc(), F.xxhash64("results")])
+    n = F.coalesce(F.size("results"), F.lit(0))
+    end = F.col("total_pages") if max_page is None else \
+        F.least(F.col("total_pages"), F.lit(max_page))
+    meta = pages.select(*request, "page", "total_pages", n.alias("n"), end.alias("end"))
+    empty = F.min(F.when(F.col("n") <= 0, F.col("page")))
+    ends = F.min(F.when((F.col("n") > 0) & (F.col("page") >= F.col("end")), F.col("page")))
+    stops = meta.groupBy(*request).agg(
+        empty.alias("empty"), ends.alias("ends"), F.max("end").alias("end"),
+        F.collect_set("page").alias("landed"))
+    # The last page of the loop, and whether all pages up to it have landed.
+    last = F.least(F.coalesce("empty", "ends", "end"), F.coalesce("ends", "empty", "end"))
+    landed = F.size(F.filter("landed", lambda p: p <= F.col("last")))
+    stops = stops.withColumn("last", last).select(
+        *[F.col(c).alias("k_" + c) for c in request],
+        F.when(landed < F.col("last"), F.raise_error(F.concat(
+            F.lit("pages are missing: year "), F.col("release_year").cast("string"),
+            F.lit(" has "), landed.cast("string"), F.lit(" of "), F.col("last").cast("string"))))
+        .otherwise(F.col("last")).alias("keep_to"))
     on = [F.col(c).eqNullSafe(F.col("k_" + c)) for c in request]
-    kept = pages.join(broadcast_if_small(keep), on) \
-        .where(F.col("page").between(1, F.col("keep_to")))
+    kept = pages.join(stops, on).where(F.col("page") <= F.col("keep_to"))
     return kept.select(*request, F.explode("results").alias("r")).select("r.*", *request)
 
 

@@ -2,11 +2,11 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from snaplake.checks.catalog import oracle_queries, spark_queries
 from snaplake.checks.compare import compare
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = spark_queries()
+SQL = oracle_queries()
 
 
 def test_every_query_has_sql():
