@@ -1,5 +1,7 @@
 """The command line runs a daily run end to end and reads cards back."""
 
+import pytest
+
 from snaplake.__main__ import main
 from snaplake.checks.io_checks import _land_day
 from snaplake.session import scratch_path
@@ -14,6 +16,10 @@ def test_daily_then_cards(spark, sf_dir, capsys):
     out = capsys.readouterr().out
     assert "fact_movie_popularity" in out and "share_percent" in out
     assert "genre_market_share" in out
+    # A planted NULL popularity fails a test, so the command ends with an error.
+    with pytest.raises(SystemExit, match="popularity not_null"):
+        main(["backfill", "--landing", landing, "--root", root, "--date", "2024-01-03",
+              "--from", "1990"])
 
 
 def test_compact_command(spark, sf_dir, capsys):
@@ -23,4 +29,4 @@ def test_compact_command(spark, sf_dir, capsys):
     load.insert_if_absent(layers(spark, sf_dir)["genres"], f"{root}/raw/genres")
     main(["compact", "--root", root, "--table", "raw/genres", "--date", "2024-01-02"])
     assert "1 file(s)" in capsys.readouterr().out
-    assert spark.read.parquet(f"{root}/raw/genres").count() == 54
+    assert spark.read.parquet(f"{root}/raw/genres").count() == 72

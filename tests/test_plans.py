@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from snaplake import fixtures
-from snaplake.operators import joins
 from snaplake.plans import gold, silver
 from snaplake.session import scratch_path
 from snaplake.sinks import lake
@@ -41,13 +40,13 @@ def test_dedupe_limits_rows_before_the_shuffle(spark, sf_dir):
     assert re.search(r"WindowGroupLimit \(\d+\)\n\s*\+- Sort \(\d+\)\n\s*\+- Exchange", tree(text))
 
 
-def test_core_priority_window_adds_no_shuffle(spark, sf_dir):
-    s = silver.build_silver(fixtures.raw_tables(spark, sf_dir))
-    t = tree(plan(s["core_movies"]))
-    top = t.split("Union")[0]          # everything above the union of the two stagings
-    assert "Exchange" not in top
-    branches = t.split("Union")[1]
-    assert branches.count("WindowGroupLimit") >= 4   # partial + final in both stagings
+def test_core_api_rows_never_move(stored):
+    """On stored staging the api branch is a scan; only discover rows and keys shuffle."""
+    t = tree(plan(silver.core_movies(stored["stg_movie_details"], stored["stg_discover"])))
+    api = t.split("Union")[1].split(":- ", 1)[1].split("+- Project", 1)[0]
+    assert "Scan parquet" in t and "Window" not in t
+    first_branch = re.split(r"\n\s*\+- ", t.split("Union", 1)[1], maxsplit=1)[0]
+    assert "Exchange" not in first_branch and api
 
 
 def test_latest_snapshot_prunes_partitions(stored):
@@ -63,12 +62,16 @@ def test_gold_scans_read_only_needed_columns(stored):
     assert core_scan and all("title" not in s and "overview" not in s for s in core_scan)
 
 
-def test_genre_dimension_broadcast_only_when_small(spark, stored, monkeypatch):
-    text = plan(gold.historical_genre_distribution(stored["core_movies"],
-                                                   stored["stg_genres"]))
-    assert "BroadcastHashJoin" in text
-    monkeypatch.setattr(gold, "broadcast_if_small",
-                        lambda d: joins.broadcast_if_small(d, max_rows=0))
+def test_the_join_with_genres_is_left_to_spark(spark, stored):
+    """No hint and no count of our own: the plan follows Spark's sizes, and building a model
+    starts no job."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    model = gold.historical_genre_distribution(stored["core_movies"], stored["stg_genres"])
+    gold.agg_genre_trends(stored["core_movies"], stored["stg_discover"], stored["stg_genres"])
+    assert not tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("", "")
+    assert "BroadcastHashJoin" in plan(model)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         text = plan(gold.historical_genre_distribution(stored["core_movies"],
@@ -83,10 +86,29 @@ def test_top20_is_take_ordered(stored):
     assert "TakeOrderedAndProject" in text
 
 
-def test_insert_if_absent_prunes_stored_days(spark, sf_dir):
+def test_insert_if_absent_computes_its_batch_once(spark, sf_dir):
+    """Loading with and without known days reads each batch row once."""
     from snaplake.operators import load
+    raw = fixtures.raw_tables(spark, sf_dir)["genres"]
+    n = raw.count()
+    for days in (None, ["2024-01-01", "2024-01-02", "2024-01-03"]):
+        path = scratch_path(spark, "plans-load")
+        load.insert_if_absent(raw, path, days=days)
+        seen = spark.sparkContext.accumulator(0)
+
+        def count(rows, seen=seen):
+            for b in rows:
+                seen.add(b.num_rows)
+                yield b
+        load.insert_if_absent(raw.mapInArrow(count, raw.schema), path, days=days)
+        assert seen.value == n
+        assert spark.read.parquet(path).count() == n
+
+
+def test_insert_if_absent_prunes_stored_days(spark, sf_dir):
     path = scratch_path(spark, "plans-load")
     raw = fixtures.raw_tables(spark, sf_dir)["genres"]
+    from snaplake.operators import load
     load.insert_if_absent(raw, path)
     stored_days = spark.read.schema(raw.schema).parquet(path).where(
         F.col("snapshot_date").isin([F.lit("2024-01-02").cast("date")]))
