@@ -1,7 +1,8 @@
 """Explicit schemas: the six raw snapshot tables, the landing documents, silver arrays.
 
 Raw tables keep nested API values as JSON text; staging parses them once into the
-typed arrays below.  Every read in the library passes a schema; nothing is inferred.
+typed arrays below.  Landing, raw and state reads pass a schema; lake snapshots, whose columns
+vary, are read with the schema their files have.
 """
 
 from __future__ import annotations
