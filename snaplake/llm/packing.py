@@ -19,7 +19,9 @@ long documents are cut into as many windows as they need; an empty table gives a
 
 from __future__ import annotations
 
+import json
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -36,7 +38,7 @@ END_ID = 0
 SHALLOW = 8
 #: Words whose ids a task keeps at hand.
 KNOWN_WORDS = 200_000
-_PIECES = ("doc_id long, task int, start long, length int, ids_crc32 long, doc_tokens long, "
+_PIECES = ("doc_id string, task int, start long, length int, ids_crc32 long, doc_tokens long, "
            "nth long, ids binary")
 
 
@@ -45,39 +47,72 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class Encoder:
+# How a byte-level vocabulary writes bytes as characters (the printable ones as
+# they are, the others from U+0100 on), and the pattern that cuts texts before merging.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_OF = {chr(b): b for b in _PRINTABLE} | {
+    chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Below this character all libraries agree on what is a letter, a number or a blank.
+_PLAIN_BELOW = "\u0250"
+
+
+def _by_rank(path: str):
+    """The vocabulary as a merger by rank, which gives the same ids several times faster; None
+    if the file's merges aren't in the order of their ids."""
+    import tiktoken
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    vocabulary = model["vocab"]
+    pairs = [m if isinstance(m, list) else m.split(" ") for m in model.get("merges", [])]
+    if any(vocabulary.get(a + b) != 256 + i for i, (a, b) in enumerate(pairs)):
+        return None
+    ranks = {bytes(_BYTE_OF[c] for c in token): i for token, i in vocabulary.items()
+             if i < 256 + len(pairs)}
+    return tiktoken.Encoding("ranks", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+class Encoder(dict):
     """Texts to little-endian 32-bit ids, word by word.
 
     The vocabulary's rule never joins what stands before a single blank to what follows it, so
     a text in which no two white-space characters meet is the sum of its parts, each with its
-    leading blank; parts met before need no second look.  Other texts are encoded whole.
+    leading blank.  The dictionary holds the ids of such parts, without their blank, and is
+    emptied when it has ``KNOWN_WORDS``.  Other texts are encoded whole.
     """
 
     _adjacent = re.compile(r"\s\s|\s\Z")
 
     def __init__(self, path: str):
+        super().__init__()
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        out = self._tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in out]
+        self._ranks = _by_rank(path)
+
+    def whole(self, text: str) -> bytes:
+        if self._ranks is not None and max(text, default="") < _PLAIN_BELOW:
+            ids = self._ranks.encode_ordinary(text)
+        else:
+            ids = self._tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.whole(" " + word)
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        self[word] = ids
+        return ids
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        known = self._known
-        if len(known) > KNOWN_WORDS:
-            known.clear()
-        parts = [None if self._adjacent.search(t) else t.split(" ") for t in texts]
-        for p in parts:
-            if p is not None and len(p) > 1:
-                p[1:] = [" " + w for w in p[1:]]
-        unknown = list({w for p in parts if p is not None for w in p if w not in known})
-        known.update(zip(unknown, self._encode(unknown)))
-        get = known.__getitem__
-        return [self._encode([t])[0] if p is None else b"".join(map(get, p))
-                for t, p in zip(texts, parts)]
+        out = []
+        for t in texts:
+            if self._adjacent.search(t):
+                out.append(self.whole(t))
+            else:
+                first, *words = t.split(" ")
+                out.append(self.whole(first) + b"".join(map(self.__getitem__, words)))
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -109,8 +144,7 @@ def _pieces(batches: Iterator[pd.DataFrame], path: str, window: int) -> Iterator
                     out.append((doc_id, task, start, length, zlib.crc32(piece), n, seen[length],
                                 piece if length < window else None))
                     seen[length] += 1
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in _PIECES.split(", ")]) \
-            .astype({"doc_id": "Int64"})
+        yield pd.DataFrame(out, columns=[c.split()[0] for c in _PIECES.split(", ")])
 
 
 def _two(have: np.ndarray, total: int, most: int) -> np.ndarray:
@@ -232,7 +266,7 @@ def _cut_tail(batches: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataF
                             (r.token + at) % window))
                 at += len(part) // 4
         yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens",
-                                         "sequence_id", "offset"]).astype({"doc_id": "Int64"})
+                                         "sequence_id", "offset"])
 
 
 def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> DataFrame:
@@ -240,7 +274,8 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> Data
     sequence_id, offset."""
     spark = docs.sparkSession
     path = path or tokenizer_path()
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # Ids travel through pandas as text: a null beside them would make them floats.
+    d = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     pieces = cut(d.mapInPandas(lambda bs: _pieces(bs, path, window), _PIECES), "packing-pieces")
     # Ranks among all pieces of a length: the tasks' counts are summed in order of task.
     per_task = pieces.groupBy("length", "task").agg(F.count("*").alias("n"))
@@ -260,7 +295,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> Data
     nth = F.col("rank") - F.col("s_rank")
     whole = ranked.join(places, (F.col("length") == F.col("s_length")) & (nth >= 0)
                         & (nth < F.col("s_pieces"))).select(
-        "doc_id", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "doc_tokens",
+        F.col("doc_id").cast("long").alias("doc_id"), "start", F.col("length").cast("long").alias("length"), "ids_crc32", "doc_tokens",
         (F.col("s_first") + F.floor(nth / F.col("s_per"))).cast("long").alias("sequence_id"),
         (F.col("s_offset") + nth % F.col("s_per") * F.col("length")).cast("long").alias("offset"))
     if not tails:
@@ -273,6 +308,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> Data
     tail = pieces.join(late, same).filter(rank >= F.col("r_rank")).select(
         "doc_id", "start", "length", "doc_tokens", "ids", F.lit(first).alias("first"),
         (F.col("r_token") + (rank - F.col("r_rank")) * F.col("length")).alias("token"))
-    return whole.unionByName(tail.mapInPandas(
-        lambda bs: _cut_tail(bs, window), "doc_id long, start long, length long, ids_crc32 long, "
-        "doc_tokens long, sequence_id long, offset long"))
+    tail = tail.mapInPandas(
+        lambda bs: _cut_tail(bs, window), "doc_id string, start long, length long, ids_crc32 long, "
+        "doc_tokens long, sequence_id long, offset long")
+    return whole.unionByName(tail.withColumn("doc_id", F.col("doc_id").cast("long")))

@@ -63,6 +63,8 @@ def test_repeated_rows_small_and_empty_tables(spark):
     n = len(ids_of("same text here"))
     assert sum(p.length for p in out) == 400 * n
     assert packing.pack(docs(spark, [])).count() == 0
+    big = packing.pack(docs(spark, ["a", "b b b"], ids=[(1 << 60) + 1, None])).collect()
+    assert {p.doc_id for p in big} == {(1 << 60) + 1, None}
     check(packing.pack(docs(spark, ["one"])).collect(), {0: "one"})
 
 
