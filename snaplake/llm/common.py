@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaplake.session import scratch_path
+from snaplake.sinks.lake import delete_path
 
 #: A word: a run of anything but ASCII white space (as ``bytes.split()`` in Python).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -19,21 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def drop_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: the plan starts anew at
-    files that survive lost executors.  The folder goes when the session's JVM ends."""
+    files that survive lost executors.  The folder goes when the session ends."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
     out = spark.read.schema(df.schema).parquet(path)
     out.cut_path = path
     return out
@@ -41,7 +31,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 def release(df: DataFrame) -> None:
     """Delete what ``cut`` wrote, once nothing reads it any more."""
-    drop_path(df.sparkSession, df.cut_path)
+    delete_path(df.sparkSession, df.cut_path)
 
 
 def fold(doc_id: Column, n: int) -> Column:
@@ -65,16 +55,6 @@ def mod_sample(df: DataFrame, key: Column, bound: int, seed: int) -> DataFrame:
                      < int((1 << 32) * bound / n))
 
 
-def map_texts(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
-              schema: str) -> DataFrame:
-    """``fn`` over Arrow batches of ``df``; empty batches are skipped."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if len(b):
-                yield fn(b)
-    return df.mapInPandas(run, schema)
-
-
 def own_columns(df: DataFrame, prefix: str, *taken: str) -> list[str]:
     """Names starting with ``prefix`` that none of ``df``'s columns has (case ignored)."""
     have = {c.lower() for c in df.columns}

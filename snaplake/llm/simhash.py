@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.llm.common import cut, map_texts, own_columns
+from snaplake.llm.common import cut, own_columns
 from snaplake.llm.components import components
 
 SHINGLE = 3
@@ -59,11 +59,11 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, text) -> (doc_id, fp): the fingerprint as a signed long."""
-    def batch(b: pd.DataFrame) -> pd.DataFrame:
-        fp = np.array([fingerprint(t, shingle) for t in b["text"]], np.uint64).view(np.int64)
-        return pd.DataFrame({"doc_id": b["doc_id"], "fp": fp})
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_texts(d, batch, "doc_id long, fp long")
+    @F.pandas_udf("long")
+    def of(texts: pd.Series) -> pd.Series:
+        fps = np.array([fingerprint(t, shingle) for t in texts], np.uint64)
+        return pd.Series(fps.view(np.int64))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), of("text").alias("fp"))
 
 
 def masks(radius: int = RADIUS) -> list[int]:
