@@ -11,7 +11,8 @@ SF = os.environ.get("SNAPLAKE_TEST_SF", "/root/testdata/sf0.001")
 @pytest.fixture(scope="session")
 def spark():
     from snaplake.session import get_session
-    s = get_session("local[4]", shuffle_partitions=8)
+    s = get_session("local[8]", shuffle_partitions=4,
+                    extra={"spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1"})
     yield s
     s.stop()
 
