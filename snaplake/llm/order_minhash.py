@@ -163,36 +163,43 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     one whose text has the smallest XXH64.
     """
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    d = d.withColumn("n_chars", F.length("text").cast("long")) \
-        .withColumn("order", F.xxhash64("text"))
-    ids = cut(d.groupBy("doc_id").agg(F.max(F.floor(F.col("n_chars") / 2)).alias("need"),
-                                      F.min("order").alias("order")), "omh-needs")
+    order = F.xxhash64("text")
+    half = F.floor(F.length("text") / 2).cast("int")
+    ids = cut(d.groupBy("doc_id").agg(F.max(half).alias("need"), F.min(order).alias("order")),
+              "omh-needs")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     follows = successors(ids, partitions)
     nexts = ids.select(F.col("doc_id").alias("n_id"), F.col("order").alias("next_order"))
     follows = follows.join(nexts, F.col("next_id").eqNullSafe(F.col("n_id"))).drop("n_id")
     follows = follows.join(ids.select(F.col("doc_id").alias("m_id"), "need"),
                            F.col("doc_id").eqNullSafe(F.col("m_id")))
-    follows = cut(follows.select(F.col("doc_id").alias("to_id"), "next_id", "next_order", "need"),
-                  "omh-next")
+    # A null id is a key like any other: every id is a pair of a number and "it is null".
+    pair = lambda c, name: [F.coalesce(c, F.lit(0)).alias(name),
+                            c.isNull().alias(f"{name}_null")]
+    follows = cut(follows.select(*pair(F.col("doc_id"), "to"), *pair(F.col("next_id"), "next"),
+                                 "next_order", "need"), "omh-next")
+    # Both joins deal the texts out by the same key, with the same columns, so that the texts
+    # and their fingerprints are made and shuffled once.
+    d = with_fingerprint(d, "text", "signature") \
+        .select(*pair(F.col("doc_id"), "id"), "text", F.unhex("signature").alias("signature"))
+    lent = d.join(follows.hint("merge"), (F.col("id") == F.col("next"))
+                  & (F.col("id_null") == F.col("next_null"))
+                  & (order.bitwiseXOR(F.col("next_order")) == 0))
     # What each document lends to the one before it: its start, no more than that one needs.
-    lent = d.join(follows, d["doc_id"].eqNullSafe(follows["next_id"])
-                  & (d["order"] == follows["next_order"])) \
-        .select("to_id", F.substr("text", F.lit(1), F.col("need").cast("int")).alias("start")) \
-        .groupBy("to_id").agg(F.first("start").alias("start"))
-    e = d.join(lent, d["doc_id"].eqNullSafe(lent["to_id"]))
-    half = F.floor(F.col("n_chars") / 2).cast("int")
-    edited = F.concat(F.substr("text", F.lit(1), F.col("n_chars").cast("int") - half),
+    lent = lent.select("to", "to_null", F.substr("text", F.lit(1), F.col("need")).alias("start"),
+                       F.col("signature").alias("next_signature")) \
+        .groupBy("to", "to_null").agg(F.first("start").alias("start"),
+                                      F.first("next_signature").alias("next_signature"))
+    e = d.join(lent.hint("merge"), (F.col("id") == F.col("to"))
+               & (F.col("id_null") == F.col("to_null")))
+    edited = F.concat(F.substr("text", F.lit(1), F.length("text") - half),
                       F.substr("start", F.lit(1), half))
-    e = e.select("doc_id", "n_chars", "order", "text", edited.alias("edited"))
-    e = with_fingerprint(with_fingerprint(e, "text", "fingerprint"),
-                         "edited", "edited_fingerprint")
-    e = cut(e.select("doc_id", "n_chars", "order", F.sha2("edited", 256).alias("edited_sha256"),
-                     "fingerprint", "edited_fingerprint"), "omh-signatures")
-    beyond = e.join(follows, e["doc_id"].eqNullSafe(follows["next_id"])
-                    & (e["order"] == follows["next_order"])) \
-        .groupBy("to_id").agg(F.min("fingerprint").alias("next_fingerprint"))
-    e = e.join(beyond, e["doc_id"].eqNullSafe(beyond["to_id"]))
-    return e.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+    e = e.select(F.when(~F.col("id_null"), F.col("id")).alias("doc_id"),
+                 F.length("text").cast("long").alias("n_chars"),
+                 F.lower(F.hex("signature")).alias("fingerprint"),
+                 F.lower(F.hex("next_signature")).alias("next_fingerprint"), edited.alias("edited"))
+    e = with_fingerprint(e, "edited", "edited_fingerprint")
+    return e.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                    "fingerprint", "edited_fingerprint",
                     likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
                     likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
