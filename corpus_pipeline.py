@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from snaplake.llm import language_id, mixing, packing, quality, simhash
-from snaplake.llm.common import cut, table
+from snaplake.llm.common import cut, shipped, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,11 +36,11 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
-    ("quality_classifier", quality_classifier),
-    ("language_identification", language_identification),
-    ("simhash_near_dedup", near_dedup),
-    ("source_mixture", source_mixture),
-    ("packing", pack_sequences),
+    ("quality_classifier", shipped(quality_classifier)),
+    ("language_identification", shipped(language_identification)),
+    ("simhash_near_dedup", shipped(near_dedup)),
+    ("source_mixture", shipped(source_mixture)),
+    ("packing", shipped(pack_sequences)),
 ]
 
 #: The classifiers, the fingerprints and the tokenizer are beyond SQL.

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import zipfile
 import zlib
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +15,36 @@ from pyspark.sql import functions as F
 from snaplake.session import scratch_path
 from snaplake.sinks.lake import delete_path
 
+_SHIPPED: set[str] = set()
 #: A word: a run of anything but ASCII white space (as ``bytes.split()`` in Python).
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the session's Python workers, once: their tasks import it, and they
+    needn't have it installed."""
+    import snaplake
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = Path(snaplake.__file__).resolve().parent
+    to = Path(tempfile.mkdtemp(prefix="snaplake-package-")) / "snaplake_package.zip"
+    with zipfile.ZipFile(to, "w") as z:
+        for p in sorted(top.rglob("*.py")):
+            z.write(p, p.relative_to(top.parent))
+    sc.addPyFile(str(to))  # the driver serves it to the executors
+    _SHIPPED.add(sc.applicationId)
+
+
+def shipped(query: Callable) -> Callable:
+    """``query(spark, ...)`` after ``ship(spark)``."""
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args):
+        ship(spark)
+        return query(spark, *args)
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

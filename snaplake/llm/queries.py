@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from snaplake.llm import (chat_format, language_id, mixing, order_minhash, packing, quality,
                           simhash, topk_search, toxicity, url_filter)
-from snaplake.llm.common import cut, table
+from snaplake.llm.common import cut, shipped, table
 
 #: The URL rules of op4: (host, path, action).
 URL_RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"),
@@ -79,7 +79,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    queries = {
         "op1_toxicity": op1_toxicity,
         "op2_simhash_near_dedup": op2_simhash_near_dedup,
         "op3_document_fingerprints": op3_document_fingerprints,
@@ -92,6 +92,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_quality_classifier": op10_quality_classifier,
         "pipeline": pipeline,
     }
+    return {name: shipped(query) for name, query in queries.items()}
 
 
 def oracle_queries() -> dict[str, str]:

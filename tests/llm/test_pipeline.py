@@ -57,3 +57,19 @@ def test_registry():
     names = set(spark_queries())
     assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
     assert set(oracle_queries()) <= names
+
+
+def test_tasks_find_the_package_from_any_folder(tmp_path):
+    import os
+    import subprocess
+    import sys
+    home = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+    code = (f"import sys; sys.path.insert(0, {home!r})\n"
+            "from pyspark.sql import SparkSession\n"
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+            "import __spark_entry__ as e\n"
+            f"print('ROWS', e.queries()['op8_language_id'](s, {SF!r}).count())\n")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True,
+                         text=True, timeout=300)
+    assert "ROWS 200" in out.stdout, out.stderr[-2000:]
