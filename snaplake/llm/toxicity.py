@@ -37,9 +37,9 @@ THRESHOLD = 0.3
 SAMPLE = 20_000
 SEED = 1
 #: A learned entry: in so many toxic documents at least, this likelihood ratio, this precision.
-LEAST_DOCS, LEAST_G2, LEAST_PRECISION = 3, 28.0, 0.9
+LEAST_DOCS, LEAST_G2, LEAST_PRECISION = 3, 20.0, 0.95
 CANDIDATES = 50_000
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7, 8)
 NEGATED = 3
 
 # The words of the grammar.
