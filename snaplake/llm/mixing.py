@@ -147,17 +147,20 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mixture takes it (all columns kept)."""
     p = plan(docs, **options)
-    ph, pid, psrc, copies = own_columns(docs, "mix_", "h", "id", "source", "copies")
+    row, copies = own_columns(docs, "mix_", "row", "copies")
+    # A null id or source is a key like any other: a value and "it is null".
+    keys = lambda text_hash: [F.coalesce(F.col("doc_id"), F.lit(0)).alias("k1"),
+                              F.col("doc_id").isNull().alias("k2"),
+                              F.coalesce(F.col("source"), F.lit("")).alias("k3"),
+                              F.col("source").isNull().alias("k4"), text_hash.alias("k5")]
     total = (F.col("n") * F.col("epochs") + F.col("extra")).cast("int")
-    p = p.select(F.col("doc_id").alias(pid), F.col("source").alias(psrc), F.col("h").alias(ph),
-                 total.alias(copies)).filter(F.col(copies) > 0)
-    row, h = own_columns(docs, "mix_", "row", "hash")
-    # Equal rows become one before the join, so a repeated row isn't a hot join key.
-    one = docs.select(F.struct(*docs.columns).alias(row), F.col("doc_id").alias("doc_id"),
-                      F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(SEED)).alias(h),
-                      F.col("source").alias("source")) \
-        .groupBy("doc_id", "source", h).agg(F.first(row).alias(row))
-    j = one.join(p, one["doc_id"].eqNullSafe(p[pid]) & one["source"].eqNullSafe(p[psrc])
-                 & (one[h] == p[ph]))
+    p = p.select(*keys(F.col("h")), total.alias(copies)).filter(F.col(copies) > 0)
+    # Equal rows become one before the join, so a repeated row isn't a hot join key; the join
+    # has the grouping's keys and shuffles the texts no second time.
+    names = ["k1", "k2", "k3", "k4", "k5"]
+    one = docs.select(F.struct(*docs.columns).alias(row), *keys(
+        F.xxhash64(F.col("doc_id"), F.col("text"), F.lit(SEED)))) \
+        .groupBy(*names).agg(F.first(row).alias(row))
+    j = one.join(p.hint("merge"), names)
     j = j.select(row, F.explode(F.sequence(F.lit(1), F.col(copies))).alias("i"))
     return j.select(f"{row}.*")
