@@ -1,15 +1,19 @@
 """Quality classifier: random-indexing word vectors pooled per document, then a two-layer
 network with temperature-calibrated probabilities.
 
-A token's type is its lower-cased form if that is frequent, else its shape (runs of capitals,
-small letters and digits as ``A a 9``, other characters as they are, each run once); a token
-equal to the one before it has the type ``=``.  Each type has a sparse random index vector; its
-word vector adds up the index vectors of its neighbours over the learning texts, plus its own.
+A token's type is its lower-cased form if ``LEAST_DOCS`` documents have it, else its shape (runs
+of capitals, small letters and digits as ``A a 9``, other characters as they are, each run once);
+a token equal to the one before it has the type ``=``.  Each type has a sparse random index
+vector; its word vector adds up the index vectors of its neighbours over all documents, labelled
+or not, plus its own.
 A document is the mean of its tokens' vectors and its log length.  The network learns on most of
 the learning rows; one temperature, fitted on the others, makes its outputs probabilities.
 
-The learning rows are a documented sample: about ``SAMPLE`` labelled rows that aren't held out.
-Every document is scored from its whole text.
+The network's learning rows are a documented sample: about ``SAMPLE`` labelled rows that aren't
+held out.  Types are counted, and their vectors added up, over the whole text of every document,
+and every document is scored from its whole text.  Every type has a vector of its own, so driver
+and workers hold the vocabulary: a 64-bit digest, ``NONZERO`` places and ``DIM`` half-precision
+numbers for each type (144 bytes), and while the vectors are added up 4 * ``DIM`` bytes more.
 
 Defined cases: null texts are empty; an empty text is scored from the zero vector; without
 learning rows, or with one label only, every score is the smoothed share of label 1.
@@ -17,6 +21,7 @@ learning rows, or with one label only, every score is the smoothed share of labe
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -36,11 +41,13 @@ SEED = 10
 DIM = 64
 NONZERO = 8
 REACH = 2
-#: Frequent forms and shapes that get a vector of their own, and the documents each must be in.
-FORMS, SHAPES, LEAST_DOCS = 2048, 1024, 5
+#: Documents that a form or shape must be in to get a vector of its own.
+LEAST_DOCS = 5
 HIDDEN = 24
 STEPS = 400
-TASKS = 8
+#: Types whose sums travel as one row, tokens whose pairs are added up at once, and types that a
+#: task counts before it hands its counts on.
+SLICE, TOKENS, COUNTED = 1024, 1 << 16, 500_000
 AGAIN, OTHER = "=", "?"
 KNOWN_WORDS = 200_000
 
@@ -55,10 +62,37 @@ def shape(word: str) -> str:
     return "".join(out[:16])
 
 
+def digest(name: str) -> int:
+    """64 bits that stand for a type's name."""
+    return int.from_bytes(hashlib.blake2b(name.encode("utf-8", "surrogatepass"),
+                                          digest_size=8).digest(), "little", signed=True)
+
+
+class Vocabulary:
+    """Names of types -> their numbers: the places of their digests among all, sorted."""
+
+    def __init__(self, digests: np.ndarray):
+        self.digests = digests
+
+    def __len__(self) -> int:
+        return len(self.digests)
+
+    def get(self, name: str, default: int | None = None) -> int | None:
+        d = digest(name)
+        at = int(self.digests.searchsorted(np.int64(d)))
+        return at if at < len(self.digests) and self.digests[at] == d else default
+
+    def __getitem__(self, name: str) -> int:
+        at = self.get(name)
+        if at is None:
+            raise KeyError(name)
+        return at
+
+
 class Types(dict):
     """Token -> number of its type, remembered for up to ``KNOWN_WORDS`` tokens."""
 
-    def __init__(self, numbers: dict[str, int]):
+    def __init__(self, numbers: dict[str, int] | Vocabulary):
         super().__init__()
         self.numbers = numbers
 
@@ -79,68 +113,142 @@ class Types(dict):
         return ids
 
 
-def index_vectors(names: list[str]) -> np.ndarray:
-    """Sparse random vectors, drawn from a seed that is the name's checksum."""
-    out = np.zeros((len(names), DIM), np.float32)
-    for row, name in zip(out, names):
-        at = np.random.default_rng(zlib.crc32(name.encode())).choice(DIM, NONZERO, replace=False)
-        row[at[::2]], row[at[1::2]] = 1.0, -1.0
-    return out
+def index_places(digests: np.ndarray) -> np.ndarray:
+    """Sparse random index vectors, drawn from the types' digests: the places of their 1.0 and
+    -1.0 by turns."""
+    x = digests.astype(np.uint64)[:, None] + np.arange(1, DIM + 1, dtype=np.uint64) \
+        * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    x ^= x >> np.uint64(31)
+    return np.argsort(x, axis=1)[:, :NONZERO].astype(np.uint8)
+
+
+class _Digests(dict):
+    """Word -> digest of a type that ``name`` makes of it, remembered for ``KNOWN_WORDS``."""
+
+    def __init__(self, name):
+        super().__init__()
+        self.name = name
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        got = self[word] = digest(self.name(word))
+        return got
 
 
 def _type_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    seen: Counter[str] = Counter()
+    """(digest of a type, documents that have it), in parts."""
+    form, kind = _Digests(lambda w: "w" + w.lower()), _Digests(lambda w: "s" + shape(w))
+    seen: Counter[int] = Counter()
+
+    def handed_on() -> pd.DataFrame:
+        n = len(seen)
+        return pd.DataFrame({"type": np.fromiter(seen.keys(), np.int64, n),
+                             "n": np.fromiter(seen.values(), np.int64, n)})
+
     for b in batches:
         for text in b["text"]:
-            words = set(text.split())
-            seen.update({"w" + w.lower() for w in words} | {"s" + shape(w) for w in words})
-    yield pd.DataFrame({"type": list(seen), "n": list(seen.values())})
+            words = set((text or "").split())
+            seen.update(set(map(form.__getitem__, words)))
+            seen.update(set(map(kind.__getitem__, words)))
+            if len(seen) > COUNTED:
+                yield handed_on()
+                seen.clear()
+    yield handed_on()
 
 
-def vocabulary(rows: DataFrame) -> dict[str, int]:
-    """The types, numbered by name: a number that ``FORMS`` and ``SHAPES`` bound."""
-    counts = rows.select("text").mapInPandas(_type_counts, "type string, n long") \
-        .groupBy("type").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_DOCS)
-    names = {AGAIN, OTHER}
-    for kind, most in (("w", FORMS), ("s", SHAPES)):
-        top = counts.filter(F.col("type").startswith(kind)).orderBy(F.col("n").desc(), "type")
-        names.update(r["type"] for r in top.limit(most).collect())
-    return {x: i for i, x in enumerate(sorted(names))}
+def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        digests = b["type"].to_numpy(np.int64)
+        yield pd.DataFrame({"types": [digests.tobytes()],
+                            "places": [index_places(digests).tobytes()]})
 
 
-def word_vectors(rows: DataFrame, numbers: dict[str, int]) -> np.ndarray:
-    """Random indexing over the learning texts: each task adds up its part."""
-    names = sorted(numbers, key=numbers.get)
-    size = len(names)
+def vocabulary(docs: DataFrame) -> tuple[Vocabulary, np.ndarray]:
+    """The types of all documents and the places of their index vectors."""
+    counts = docs.select("text").mapInPandas(_type_counts, "type long, n long") \
+        .groupBy("type").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_DOCS)
+    got = counts.select("type").mapInPandas(_joined, "types binary, places binary").collect()
+    fixed = np.array([digest(AGAIN), digest(OTHER)], np.int64)
+    digests = np.concatenate([fixed, *(np.frombuffer(r["types"], np.int64) for r in got)])
+    places = np.concatenate([index_places(fixed), *(
+        np.frombuffer(r["places"], np.uint8).reshape(-1, NONZERO) for r in got)])
+    order = np.argsort(digests)
+    return Vocabulary(digests[order]), places[order]
+
+
+def word_vectors(docs: DataFrame, numbers: Vocabulary, places: np.ndarray) -> np.ndarray:
+    """Random indexing over all documents: each task (one for each core: it hands on a sum for
+    every type) adds up its part, whole numbers that are then added up by slices of the types."""
+    size = len(numbers)
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast((numbers, places))
 
     def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index, types = index_vectors(names), Types(numbers)
-        total = np.zeros((size, DIM), np.float32)
+        numbers, places = shared.value
+        types, total = Types(numbers), np.zeros(size * DIM, np.int32)
+
+        def add(ids: np.ndarray) -> None:
+            """``ids``: texts with ``REACH`` times -1 between them."""
+            for d in range(1, REACH + 1):
+                left, right = ids[:-d], ids[d:]
+                both = (left >= 0) & (right >= 0)
+                left, right = left[both], right[both]
+                for to, of in ((left, right), (right, left)):
+                    for k in range(0, len(to), TOKENS):
+                        at = (to[k:k + TOKENS] * DIM)[:, None] + places[of[k:k + TOKENS]]
+                        np.add.at(total, at[:, ::2].ravel(), np.int32(1))
+                        np.subtract.at(total, at[:, 1::2].ravel(), np.int32(1))
+
+        gap, held, n = np.full(REACH, -1), [], 0
         for b in batches:
-            codes = []
             for text in b["text"]:
                 ids = types.of(text)
-                for d in range(1, REACH + 1):
-                    codes += [ids[:-d] * size + ids[d:], ids[d:] * size + ids[:-d]]
-            pairs, n = np.unique(np.concatenate(codes or [np.zeros(0, np.int64)]),
-                                 return_counts=True)
-            for at in range(0, len(pairs), 1 << 16):
-                p, k = pairs[at:at + (1 << 16)], n[at:at + (1 << 16)]
-                np.add.at(total, p // size, index[p % size] * k[:, None].astype(np.float32))
-        yield pd.DataFrame({"sums": [total.tobytes()]})
-
-    context = np.zeros((size, DIM), np.float64)
-    for r in rows.select("text").repartition(TASKS).mapInPandas(add_up, "sums binary").collect():
-        context += np.frombuffer(r["sums"], np.float32).reshape(size, DIM)
-    length = np.linalg.norm(context, axis=1, keepdims=True)
-    own = index_vectors(names) / np.sqrt(NONZERO)
-    return (context / np.maximum(length, 1e-9) + own).astype(np.float32)
+                held += [ids, gap]
+                n += len(ids)
+                if n >= TOKENS:
+                    add(np.concatenate(held))
+                    held, n = [], 0
+        if held:
+            add(np.concatenate(held))
+        for at in range(0, size, SLICE):
+            part = total[at * DIM:(at + SLICE) * DIM]
+            if part.any():
+                yield pd.DataFrame({"slice": [at // SLICE],
+                                    "sums": [zlib.compress(part.tobytes(), 1)]})
+
+    def together(part: pd.DataFrame) -> pd.DataFrame:
+        total = 0
+        for sums in part["sums"]:
+            total = total + np.frombuffer(zlib.decompress(sums), np.int32).astype(np.int64)
+        context = total.reshape(-1, DIM).astype(np.float64)
+        length = np.linalg.norm(context, axis=1, keepdims=True)
+        return pd.DataFrame({"slice": part["slice"][:1], "vectors": [
+            (context / np.maximum(length, 1e-9)).astype(np.float16).tobytes()]})
+
+    slices = docs.select("text").coalesce(context.defaultParallelism) \
+        .mapInPandas(add_up, "slice int, sums binary") \
+        .groupBy("slice").applyInPandas(together, "slice int, vectors binary")
+    vectors = np.zeros((size, DIM), np.float16)
+    for r in slices.collect():
+        got = np.frombuffer(r["vectors"], np.float16).reshape(-1, DIM)
+        vectors[r["slice"] * SLICE:r["slice"] * SLICE + len(got)] = got
+    shared.destroy()
+    own = np.float16(NONZERO ** -0.5)
+    for at in range(0, size, TOKENS):
+        part, here = vectors[at:at + TOKENS], places[at:at + TOKENS]
+        rows = np.arange(len(part))[:, None]
+        part[rows, here[:, ::2]] += own
+        part[rows, here[:, 1::2]] -= own
+    return vectors
 
 
 class Pool:
     """Texts to document vectors."""
 
-    def __init__(self, numbers: dict[str, int], vectors: np.ndarray):
+    def __init__(self, numbers: Vocabulary, vectors: np.ndarray):
         self.numbers, self.vectors, self._types = numbers, vectors, None
 
     def __getstate__(self):
@@ -153,7 +261,8 @@ class Pool:
             ids = self._types.of(text)
             if len(ids):
                 kinds, n = np.unique(ids, return_counts=True)
-                row[:DIM] = (n.astype(np.float32) / len(ids)) @ self.vectors[kinds]
+                vectors = self.vectors[kinds].astype(np.float32)
+                row[:DIM] = (n.astype(np.float32) / len(ids)) @ vectors
             row[DIM] = np.log1p(len(ids)) / 8
         return out
 
@@ -217,15 +326,18 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifie
     share = (count.get(1, 0) + 1) / (sum(count.values()) + 2)
     if not count.get(0) or not count.get(1):
         return Classifier(None, None, share)
-    numbers = vocabulary(rows)
-    pool = Pool(numbers, word_vectors(rows, numbers))
+    numbers, places = vocabulary(docs)
+    pool = Pool(numbers, word_vectors(docs, numbers, places))
+    shared = docs.sparkSession.sparkContext.broadcast(pool)
 
     def pooled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pool = shared.value
         for b in batches:
             yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"],
                                 "x": [r.tobytes() for r in pool(list(b["text"]))]})
 
     got = rows.mapInPandas(pooled, "doc_id long, y int, x binary").collect()
+    shared.destroy()
     got.sort(key=lambda r: (r["doc_id"], r["x"]))  # the same order on every run
     x = np.array([np.frombuffer(r["x"], np.float32) for r in got], np.float64)
     y = np.array([r["y"] for r in got], np.float64)

@@ -71,3 +71,30 @@ def test_temperature_makes_logits_calibrated():
     for low in np.arange(0, 1, 0.2):
         some = (p >= low) & (p < low + 0.2)
         assert abs(p[some].mean() - y[some].mean()) < 0.1
+
+
+def test_every_document_and_word_counts(spark):
+    # 3,000 forms in five unlabelled documents each, none of them in a labelled one.
+    rare = [f"{'abcdefghij'[i // 300]}{i}" for i in range(3000)]
+    texts = [("plain words here" if i % 2 else "BAD!! LOUD!!") for i in range(20)] \
+        + [" ".join(rare[k::10]) for k in range(10)] * 5
+    df = docs(spark, texts)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], LABELS)
+    model = quality.learn(df, labels)
+    assert all(model.pool.numbers.get("w" + w) is not None for w in rare)
+    numbers, places = quality.vocabulary(df)
+    got = quality.word_vectors(df, numbers, places)
+    want = np.zeros((len(numbers), quality.DIM))
+    index = np.zeros((len(numbers), quality.DIM))
+    for row, at in zip(index, places):
+        row[at[::2]], row[at[1::2]] = 1.0, -1.0
+    types = quality.Types(numbers)
+    for t in texts:
+        ids = types.of(t)
+        for i, a in enumerate(ids):
+            for j in range(max(0, i - quality.REACH), min(len(ids), i + quality.REACH + 1)):
+                if i != j:
+                    want[a] += index[ids[j]]
+    want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-9)
+    assert np.allclose(got, want + index / np.sqrt(quality.NONZERO), atol=1e-3)
+    assert np.array_equal(got, model.pool.vectors)
