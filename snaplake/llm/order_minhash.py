@@ -4,17 +4,19 @@ A text is cut at its blanks into tokens; a token of more than ``TOKEN`` characte
 without blanks, long strings) is cut into single characters.  ``K`` tokens in a row are a k-mer.
 The i-th time that a k-mer occurs in a text it gets the number i, so repeats count.  The hash of
 (k-mer, number) deals the numbered k-mers into ``SKETCHES`` parts (one-permutation hashing: each
-is hashed once, not once a sketch); in each part the two with the smallest hashes are kept, put
-back into text order, and hashed as a tuple.  Moving text around changes the tuples, so two signatures
-agree in a part with a probability that falls with the edit distance, not just with the bag of
-k-mers.
+is hashed once, not once a sketch).  A part keeps the two numbered k-mers with the smallest
+hashes from its lower end on: a part with one or none borrows from the next parts, after the
+last from the first (densification by rotation), so every tuple has two k-mers if the text has.
+They are put back into text order and hashed as a tuple.  Moving text around changes the tuples,
+so two signatures agree in a part with a probability that falls with the edit distance, not just
+with the bag of k-mers.
 
 Hash and position share a long (``POSITION_BITS`` for the position), so both sorts of a text run
 over plain longs and a text of n tokens costs n log n, whatever its length.
 
 Defined cases: null text is the empty text, whose fingerprint is empty; two empty texts are
 alike with 1.0, an empty and a non-empty one with 0.0; texts shorter than a k-mer are one
-k-mer; equal texts have equal fingerprints.
+k-mer, which has no order; equal texts have equal fingerprints.
 """
 
 from __future__ import annotations
@@ -99,24 +101,34 @@ def _part(packed: Column) -> Column:
 
 
 def _parts(numbered: Column) -> Column:
-    """For every part that has k-mers, the part and the hash of its ``PICK`` (2) smallest in
-    text order, as ``HEX`` hex digits: two for the part (from 40), six for the hash."""
+    """For every part, the part and the hash of the two k-mers from its lower end on, around the
+    circle of hashes, in text order, as ``HEX`` hex digits: two for the part (from 40), six for
+    the hash."""
+    low, high = -SKETCHES // 2, SKETCHES // 2 - 1
+
     def of(s: Column) -> Column:
-        def entry(start: Column) -> Column:
-            a, b = F.get(s, start), F.get(s, start + 1)
-            alone = b.isNull() | (_part(a) != _part(b))
-            h = F.when(alone, F.xxhash64(_hash(a))) \
-                .when(_position(a) < _position(b), F.xxhash64(_hash(a), _hash(b))) \
-                .otherwise(F.xxhash64(_hash(b), _hash(a)))
-            return F.hex(F.shiftrightunsigned(h, 40) + F.shiftleft(
-                _part(a) + (SKETCHES // 2 + 64), 24))
-        return F.transform(_starts(s, _part), entry)
+        def entries(starts: Column) -> Column:
+            # Filled part j serves itself and the empty parts before it; after the last: part 0.
+            def entry(start: Column, j: Column) -> Column:
+                a, b = F.get(s, start), F.get(s, (start + 1) % F.size(s))
+                h = F.when(F.size(s) == 1, F.xxhash64(_hash(a))) \
+                    .when(_position(a) < _position(b), F.xxhash64(_hash(a), _hash(b))) \
+                    .otherwise(F.xxhash64(_hash(b), _hash(a)))
+                first = F.when(j == 0, F.lit(low)).otherwise(
+                    _part(F.get(s, F.get(starts, j - 1))) + 1)
+                last = F.when(j == F.size(starts), F.lit(high)).otherwise(_part(a))
+                return _let(F.shiftrightunsigned(h, 40), lambda digest: F.when(
+                    first <= last, F.transform(F.sequence(first, last), lambda p: F.hex(
+                        digest + F.shiftleft(p + (SKETCHES // 2 + 64), 24))))
+                    .otherwise(F.array().cast("array<string>")))
+            return F.flatten(F.transform(F.concat(starts, F.array(F.lit(0))), entry))
+        return _let(_starts(s, _part), entries)
     return _let(numbered, of)
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """``df`` with the fingerprint of the column ``text`` (no nulls) as column ``out``: a
-    string of ``HEX`` hex digits for each part that has k-mers, by rising part."""
+    string of ``HEX`` hex digits for each part, by rising part; empty for the empty text."""
     parts = _parts(_numbered(_kmers(F.col(text))))
     return df.withColumn(out, F.lower(F.coalesce(F.array_join(parts, ""), F.lit(""))))
 

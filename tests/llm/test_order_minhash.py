@@ -104,3 +104,16 @@ def test_successors_over_many_ranges(spark):
     df = spark.createDataFrame([(i,) for i in ids], "doc_id long")
     got = dict(omh.successors(df, 13).collect())
     assert got == dict(zip(ids, ids[1:] + ids[:1]))
+
+
+def test_order_matters_in_short_texts(spark):
+    sizes, rows = (10, 20, 30, 60, 120), []
+    for n in sizes:
+        for k in range(40):
+            words = [f"w{k}x{i}" for i in range(n)]
+            rows.append((n, " ".join(words), " ".join(words[n // 2:] + words[:n // 2])))
+    df = spark.createDataFrame(rows, "n int, a string, b string")
+    df = omh.with_fingerprint(omh.with_fingerprint(df, "a", "fa"), "b", "fb")
+    got = dict(df.groupBy("n").agg(F.avg(omh.likeness(F.col("fa"), F.col("fb")))).collect())
+    assert set(got) == set(sizes) and all(0.2 < x < 0.6 for x in got.values()), got
+    assert df.filter(F.length("fa") != omh.SKETCHES * omh.HEX).count() == 0
