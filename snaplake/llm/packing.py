@@ -78,7 +78,8 @@ class Encoder(dict):
     The vocabulary's rule never joins what stands before a single blank to what follows it, so
     a text in which no two white-space characters meet is the sum of its parts, each with its
     leading blank.  The dictionary holds the ids of such parts, without their blank, and is
-    emptied when it has ``KNOWN_WORDS``.  Other texts are encoded whole.
+    emptied when it has ``KNOWN_WORDS``.  Other texts are encoded whole.  A text that holds one
+    of the file's added tokens gets that token's id there, as ``tokenizers`` does by default.
     """
 
     _adjacent = re.compile(r"\s\s|\s\Z")
@@ -87,11 +88,13 @@ class Encoder(dict):
         super().__init__()
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self._ranks = _by_rank(path)
 
     def whole(self, text: str) -> bytes:
-        if self._ranks is not None and max(text, default="") < _PLAIN_BELOW:
+        if self._ranks is not None and max(text, default="") < _PLAIN_BELOW \
+                and not self._added.search(text):
             ids = self._ranks.encode_ordinary(text)
         else:
             ids = self._tokenizer.encode(text, add_special_tokens=False).ids
@@ -107,7 +110,7 @@ class Encoder(dict):
     def batch(self, texts: list[str]) -> list[bytes]:
         out = []
         for t in texts:
-            if self._adjacent.search(t):
+            if self._adjacent.search(t) or self._added.search(t):
                 out.append(self.whole(t))
             else:
                 first, *words = t.split(" ")

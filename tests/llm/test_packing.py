@@ -102,3 +102,15 @@ def test_solver_and_layout():
     assert tail_share({5: 3}) == 1.0
     x = packing.nnls([{0: 1, 1: 1}, {1: 2}], [3.0, 7.0])
     assert abs(x[0] - 3) < 0.5 and abs(x[1] - 2) < 0.5
+
+
+def test_added_tokens_as_the_file_has_them(spark):
+    tok = Tokenizer.from_file(packing.tokenizer_path())
+    enc = packing.Encoder(packing.tokenizer_path())
+    texts = ["x<|endoftext|>", "<|endoftext|>", "a b <|endoftext|> c d", "a  b<|endoftext|><|endoftext|> c",
+             "日本 <|endoftext|>é", "<|endoftext| >", "plain words"]
+    got = [np.frombuffer(g, "<u4").tolist() for g in enc.batch(texts)]
+    assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    assert got[0] == [87, 50256]
+    row = packing.pack(docs(spark, ["x<|endoftext|>"])).first()
+    assert (row.doc_tokens, row.ids_crc32) == (3, crc([87, 50256, 0]))
