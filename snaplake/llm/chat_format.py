@@ -160,12 +160,12 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
 def linear_nodes(rows: DataFrame) -> DataFrame:
     """Rows (conv_id, turn, role, text) as nodes: each row answers the one before it by
-    (turn, role, text), so a conversation is a tree with one branch."""
-    h = F.xxhash64("role", "text")
-    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(),
-                                                  "role", "tie", "h")
-    r = rows.select("conv_id", "turn", "role", "text", h.alias("h"),
-                    F.substring("text", 1, 32).alias("tie"))
+    (turn, role, text), null roles and texts being empty, so a conversation is a tree with one
+    branch."""
+    empty = F.lit("")
+    order = Window.partitionBy("conv_id").orderBy(
+        F.col("turn").asc_nulls_first(), F.coalesce("role", empty), F.coalesce("text", empty))
+    r = rows.select("conv_id", "turn", "role", "text")
     r = r.withColumn("node", F.row_number().over(order).cast("long"))
     return r.select(F.col("conv_id").alias("tree"), "node",
                     F.when(F.col("node") > 1, F.col("node") - 1).alias("parent"),

@@ -88,3 +88,14 @@ def test_query_gives_every_conversation(spark, sf_dir):
     assert len(out) == n + 1
     mine = out[out.conv_id == -7].iloc[0]
     assert (mine.n_turns, mine.loss_chars) == (2, len("</s>[INST] ok [/INST]"))
+
+
+def test_ties_are_ordered_by_the_whole_text(spark):
+    opening = "the same opening of well over thirty-two characters, then "
+    ends = ["f", "b", "e", "a", "d", "c"]
+    rows = [(1, 1, "user", opening + e) for e in ends]
+    rows += [(2, 1, None, "b"), (2, 1, "", "c"), (2, 1, None, "d"), (2, 1, "", "a")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.tree: [t.text for t in r.turns]
+           for r in chat.read_back(chat.conversations(chat.linear_nodes(df))).collect()}
+    assert got == {1: [opening + e for e in sorted(ends)], 2: ["a", "b", "c", "d"]}
