@@ -137,14 +137,21 @@ def links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> Data
         .mapInPandas(lambda bs: _links_of(bs, radius), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
-                    block: int = BLOCK) -> DataFrame:
-    """(doc_id, text) -> doc_id, fingerprint (16 hex digits), component_id; a row per row."""
+def _classes(docs: DataFrame, shingle: int, radius: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, and (fp, first, root): each distinct fingerprint's smallest
+    doc_id and its component's root."""
     fps = cut(fingerprints(docs, shingle), "simhash-fingerprints")
     classes = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
     roots = components(links(classes.select("fp"), radius, block))
     named = classes.join(roots, classes["fp"] == roots["node"], "left") \
         .select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    return fps, named
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
+                    block: int = BLOCK) -> DataFrame:
+    """(doc_id, text) -> doc_id, fingerprint (16 hex digits), component_id; a row per row."""
+    fps, named = _classes(docs, shingle, radius, block)
     ids = named.groupBy("root").agg(F.min("first").alias("component_id"))
     named = named.join(ids, "root").select(F.col("fp").alias("class_fp"), "component_id")
     return fps.join(named, fps["fp"] == named["class_fp"]).select(
@@ -155,16 +162,29 @@ def _hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` (all columns) with the smallest doc_id of each component; rows
-    that repeat that id are one document and one of them stays (rows without an id stay)."""
-    kept_id, copies = own_columns(docs, "simhash_", "id", "copies")
-    found = near_duplicates(docs, **options)
-    kept = cut(found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id")
-               .agg(F.count("*").alias("n"))
-               .select(F.col("doc_id").alias(kept_id), F.col("n").alias(copies)),
-               "simhash-kept")
-    rows = docs.join(kept, docs["doc_id"] == kept[kept_id])
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
+             block: int = BLOCK) -> DataFrame:
+    """One row of ``docs`` (all columns) of each component: that with the smallest doc_id (null
+    ids last), of several texts with that id the one with the smallest fingerprint; rows that
+    repeat both are one document."""
+    own, kept_id, kept_fp, copies = own_columns(docs, "simhash_", "fp", "id", "kept", "copies")
+    fps, named = _classes(docs, shingle, radius, block)
+    best = named.groupBy("root").agg(F.min(F.struct(
+        F.col("first").isNull().alias("none"), "first", "fp")).alias("best")) \
+        .select(F.col("best.first").alias(kept_id), F.col("best.fp").alias(kept_fp))
+    # A fingerprint is in one component, so (id, fingerprint) names a single component.
+    n = fps.groupBy("doc_id", "fp").agg(F.count("*").alias("n"))
+    kept = cut(best.join(n, (F.col(kept_fp) == n["fp"]) & F.col(kept_id).eqNullSafe(n["doc_id"]))
+               .select(kept_id, kept_fp, F.col("n").alias(copies)), "simhash-kept")
+
+    @F.pandas_udf("long")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series(np.array([fingerprint(t, shingle) for t in texts],
+                                  np.uint64).view(np.int64))
+
+    rows = docs.withColumn(own, of("text"))
+    rows = rows.join(kept, (F.col(own) == F.col(kept_fp))
+                     & F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id)))
     once = rows.filter(F.col(copies) == 1).select(docs.columns)
-    again = rows.filter(F.col(copies) > 1).dropDuplicates([kept_id]).select(docs.columns)
-    return once.unionByName(again).unionByName(docs.filter(F.col("doc_id").isNull()))
+    again = rows.filter(F.col(copies) > 1).dropDuplicates([kept_fp]).select(docs.columns)
+    return once.unionByName(again)

@@ -120,3 +120,12 @@ def test_repeats_nulls_and_empty(spark):
     assert sorted((r.doc_id is None, r.doc_id) for r in kept.collect()) == [(False, 4), (True, None)]
     assert simhash.near_duplicates(docs(spark, [])).count() == 0
     assert simhash.keep_one(docs(spark, [])).count() == 0
+
+
+def test_one_row_of_each_component_stays(spark):
+    a, b, c = "a b c d e f g", "one two three four five six", "le chat dort sur le lit bleu"
+    # One id for two texts, one of them a copy of a smaller id's; copies without an id.
+    df = docs(spark, [a, a, b, c, c, c, b], ids=[1, 4, 4, None, None, None, 9])
+    for _ in range(2):
+        kept = [(r.doc_id, r.text) for r in simhash.keep_one(with_clashes(df)).collect()]
+        assert sorted(kept, key=str) == sorted([(1, a), (4, b), (None, c)], key=str)
