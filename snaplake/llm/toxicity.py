@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snaplake.llm.common import fold
@@ -38,9 +38,10 @@ SAMPLE = 20_000
 SEED = 1
 #: A learned entry: in so many toxic documents at least, this likelihood ratio, this precision.
 LEAST_DOCS, LEAST_G2, LEAST_PRECISION = 3, 20.0, 0.95
-CANDIDATES = 50_000
 BEGINNINGS = (4, 5, 6, 7, 8)
 NEGATED = 3
+#: Features that a task hands on at once.
+_HANDED_ON = 100_000
 
 # The words of the grammar.
 INSULTS = ("idiot idiots moron morons stupid scum trash clown loser losers pathetic worthless "
@@ -161,41 +162,39 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     return tuple(float(v) for v in w)
 
 
-def _counted(rows: DataFrame, only: frozenset[str] | None = None) -> DataFrame:
-    """(feature, n): documents that have the feature."""
+def _counted(rows: DataFrame) -> DataFrame:
+    """(feature, toxic, clean): documents of either label that have the feature."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter[str] = Counter()
+        seen: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
         for b in batches:
-            for text in b["text"]:
-                f = features_of(text)
-                seen.update(f if only is None else f & only)
-        yield pd.DataFrame({"feature": list(seen), "n": list(seen.values())})
-    return rows.select("text").mapInPandas(count, "feature string, n long") \
-        .groupBy("feature").agg(F.sum("n").alias("n"))
-
-
-def _entropy(k: np.ndarray, n: np.ndarray) -> np.ndarray:
+            for y, text in zip(b["y"], b["text"]):
+                seen[int(y > 0)].update(features_of(text))
+        for y, counts in enumerate(seen):
+            names = sorted(counts)
+            for at in range(0, len(names), _HANDED_ON):
+                part = names[at:at + _HANDED_ON]
+                n = np.array([counts[f] for f in part], np.int64)
+                yield pd.DataFrame({"feature": part, "toxic": n * y, "clean": n * (1 - y)})
+    return rows.select("y", "text").mapInPandas(count, "feature string, toxic long, clean long") \
+        .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def _entropy(k: Column, n: Column) -> Column:
     """n times the binary entropy of k of n, in nats."""
-    def part(x):
-        return np.where(x > 0, x * np.log(np.maximum(x, 1) / np.maximum(n, 1)), 0.0)
+    def part(x: Column) -> Column:
+        return F.when(x > 0, x * F.log(x / n)).otherwise(0.0)
     return -(part(k) + part(n - k))
 
 
-def lexicon(toxic: dict[str, int], clean: dict[str, int], n_toxic: int, n_clean: int
-            ) -> tuple[dict[str, float], dict[str, float]]:
-    """Words and beginnings that mark toxic documents, with their log odds."""
-    names = sorted(toxic)
-    a = np.array([toxic[f] for f in names], float)
-    b = np.array([clean.get(f, 0) for f in names], float)
-    seen, every = a + b, float(n_toxic + n_clean)
-    g2 = 2 * (_entropy(np.array(float(n_toxic)), np.array(every))
-              - _entropy(a, seen) - _entropy(n_toxic - a, every - seen))
-    odds = np.log((a + 0.5) / (n_toxic + 1)) - np.log((b + 0.5) / (n_clean + 1))
-    good = (g2 >= LEAST_G2) & (a / np.maximum(seen, 1) >= LEAST_PRECISION) & (odds > 0)
-    words, beginnings = {}, {}
-    for f, w in zip((f for f, ok in zip(names, good) if ok), odds[good]):
-        (words if f[0] == "w" else beginnings)[f[1:]] = float(w)
-    return words, beginnings
+def lexicon(counts: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
+    """(feature, weight) of the words and beginnings that mark toxic documents; the weight is
+    their log odds."""
+    a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
+    seen, toxic, every = a + b, F.lit(float(n_toxic)), F.lit(float(n_toxic + n_clean))
+    g2 = 2 * (_entropy(toxic, every) - _entropy(a, seen) - _entropy(toxic - a, every - seen))
+    odds = F.log((a + 0.5) / (n_toxic + 1)) - F.log((b + 0.5) / (n_clean + 1))
+    return counts.filter((a >= LEAST_DOCS) & (g2 >= LEAST_G2) & (a >= LEAST_PRECISION * seen)
+                         & (odds > 0)).select("feature", odds.alias("weight"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
@@ -203,12 +202,9 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
     count = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not count.get(0) or not count.get(1):
         return Grammar()
-    often = _counted(rows.filter("y = 1")).filter(F.col("n") >= LEAST_DOCS) \
-        .orderBy(F.col("n").desc(), "feature").limit(CANDIDATES)
-    toxic = {r["feature"]: r["n"] for r in often.collect()}
-    clean = {r["feature"]: r["n"] for r in
-             _counted(rows.filter("y = 0"), frozenset(toxic)).collect()}
-    words, beginnings = lexicon(toxic, clean, count[1], count[0])
+    marks = lexicon(_counted(rows), count[1], count[0]).collect()
+    words, beginnings = ({r["feature"][1:]: r["weight"] for r in marks if r["feature"][0] == kind}
+                         for kind in "wb")
     grammar = Grammar(words, beginnings)
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

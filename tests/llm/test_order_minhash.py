@@ -41,13 +41,14 @@ def brute(text):
     for at, k in enumerate(kmers):
         o = seen[k] = seen.get(k, -1) + 1
         numbered.append(((k if o == 0 else h_longs([(k, 8), (o, 4)]) >> omh.POSITION_BITS), at))
-    parts = {}
-    for h, at in sorted(numbered):
-        parts.setdefault(h >> (64 - omh.POSITION_BITS - 6), []).append((at, h))
+    numbered.sort()
+    bits = 64 - omh.POSITION_BITS - 6
     out = []
-    for part in sorted(parts):
-        two = [h for at, h in sorted(parts[part][:2])]
-        digest = h_longs([(h, 8) for h in two]) & MASK
+    for part in range(-32, 32):
+        # The two smallest from the part's lower end on, around the circle.
+        start = next((i for i, (h, _) in enumerate(numbered) if h >> bits >= part), 0)
+        two = {numbered[start], numbered[(start + 1) % len(numbered)]}
+        digest = h_longs([(h, 8) for h, at in sorted(two, key=lambda x: x[1])]) & MASK
         out.append(f"{part + 96:02x}{digest >> 40:06x}")
     return "".join(out)
 

@@ -8,7 +8,6 @@ from snaplake.llm import packing
 from tests.llm.helpers import docs, with_clashes
 
 TOK = Tokenizer.from_file(packing.tokenizer_path())
-TOK.encode_special_tokens = True
 
 
 def ids_of(text):

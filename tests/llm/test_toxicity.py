@@ -63,3 +63,12 @@ def test_odd_tables(spark):
     assert toxicity.predictions(docs(spark, []), none).count() == 0
     odd = spark.createDataFrame([(0, None, None), (None, 1, 1), (1, 1, 0), (1, 1, 0)], LABELS)
     assert toxicity.predictions(df, odd).count() == 5
+
+
+def test_learning_rows_without_features_or_labels_of_one_kind(spark):
+    """Tasks without a toxic row, empty texts and words of one or two letters."""
+    rows = [(i, 1, int(i == 0)) for i in range(40)]
+    for texts in ([""] * 40, ["a bc"] * 40, ["you blorx"] + ["fine day"] * 39):
+        df = docs(spark, texts).repartitionByRange(8, "doc_id")
+        out = toxicity.predictions(df, spark.createDataFrame(rows, LABELS)).collect()
+        assert len(out) == 40 and all(0 <= r.score <= 1 for r in out)
