@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaplake.llm import (chat_format, language_id, mixing, order_minhash, packing, quality,
+from snaplake.llm import (chat_format, language_id, merkle, mixing, order_minhash, packing, quality,
                           simhash, topk_search, toxicity, url_filter)
 from snaplake.llm.common import cut, shipped, table
 
@@ -73,6 +73,12 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return merkle.verified(docs, chosen, n_chars=F.col("n_chars") + 1)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -90,6 +96,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_mixing_sources": op9_mixing_sources,
         "op10_quality_classifier": op10_quality_classifier,
+        "op13_merkle_manifest": op13_merkle_manifest,
         "pipeline": pipeline,
     }
     return {name: shipped(query) for name, query in queries.items()}
