@@ -44,6 +44,28 @@ SELECT conv_id, count(*) AS n_turns,
     CAST(sum(length(body) + length(role) + 8
              + CASE WHEN role = 'user' THEN 15 ELSE 0 END) AS BIGINT) AS formatted_chars
 FROM escaped GROUP BY conv_id""",
+    "op12_ranked_lexical_search": r"""
+WITH doc_terms AS (SELECT d, doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS d, doc_id, text FROM documents)),
+lengths AS (SELECT d, doc_id, count(*) AS n FROM doc_terms GROUP BY d, doc_id),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+measured AS (SELECT d, doc_id, 100 - 50 + (50 * n * docs) // terms AS m FROM lengths, totals),
+tfs AS (SELECT d, term, count(*) AS tf FROM doc_terms GROUP BY d, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM tfs GROUP BY term), totals),
+item_terms AS (SELECT DISTINCT i, item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT row_number() OVER () AS i, item_id, text FROM benchmark)),
+scored AS (SELECT i, item_id, d, doc_id,
+        CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+    FROM item_terms JOIN tfs USING (term) JOIN weights USING (term) JOIN measured USING (d)
+    GROUP BY i, item_id, d, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS rank
+      FROM scored WHERE score > 0) WHERE rank <= 50""",
     "op13_merkle_manifest": r"""
 WITH RECURSIVE leaves AS (SELECT *, sha256(body) AS leaf
     FROM (SELECT doc_id, lang, n_chars,

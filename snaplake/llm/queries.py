@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snaplake.llm import (chat_format, language_id, merkle, mixing, order_minhash, packing, quality,
-                          simhash, topk_search, toxicity, url_filter)
+from snaplake.llm import (chat_format, language_id, lexical_search, lsh_forest, merkle, mixing,
+                          order_minhash, packing, quality, simhash, topk_search, toxicity, url_filter)
 from snaplake.llm.common import cut, shipped, table
 
 #: The URL rules of op4: (host, path, action).
@@ -73,6 +73,15 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "benchmark"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
@@ -96,6 +105,8 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_language_id": op8_language_id,
         "op9_mixing_sources": op9_mixing_sources,
         "op10_quality_classifier": op10_quality_classifier,
+        "op11_minhash_near_dedup": op11_minhash_near_dedup,
+        "op12_ranked_lexical_search": op12_ranked_lexical_search,
         "op13_merkle_manifest": op13_merkle_manifest,
         "pipeline": pipeline,
     }
