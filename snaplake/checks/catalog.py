@@ -24,6 +24,8 @@ CHECKS: dict[str, tuple[Query, str | None]] = {}
 
 def check(name: str, sql: str | None = None):
     def deco(fn: Query) -> Query:
+        if name in CHECKS:
+            raise ValueError(f"a check named {name} is registered already")
         CHECKS[name] = (fn, with_ctes(sql) if sql else None)
         return fn
     return deco

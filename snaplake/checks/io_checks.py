@@ -18,7 +18,7 @@ from snaplake.session import scratch_path
 from snaplake.sinks import catalog as ddl
 from snaplake.sinks import lake as lake_sink
 from snaplake.sources import landing, lake as lake_source
-from snaplake.streaming.incremental import ingest_available
+from snaplake.streaming.incremental import ingest_available, ingest_lake
 
 DAY = ("2024-01-01", "2024-01-02", "2024-01-03")
 _RAW_DISCOVER_COLS = ("id", "title", "genre_ids", "popularity", "vote_average", "vote_count",
@@ -135,7 +135,8 @@ def q_src_registry(spark, sf_dir):
     root = scratch_path(spark, "warehouse")
     derived = layers(spark, sf_dir)
     for name in schemas.RAW_TABLES:
-        load.insert_if_absent(derived[name], lake_sink.raw_path(root, name))
+        load.insert_if_absent(derived[name], lake_sink.raw_path(root, name),
+                              order=load.by_value(derived[name]))
     lake_source.register_sources(spark, root)
     return spark.sql(" UNION ALL ".join(
         f"SELECT '{t}' AS source_table, count(*) AS n_rows, "
@@ -181,8 +182,8 @@ SELECT DISTINCT 'snapshot_date=' || strftime(snapshot_date, '%Y-%m-%d') AS parti
        snapshot_date FROM raw_movie_details""")
 def q_snk_partitions(spark, sf_dir):
     """SNK-08: the load makes one directory per day on demand."""
-    path = scratch_path(spark, "raw-details")
-    load.insert_if_absent(layers(spark, sf_dir)["movie_details"], path)
+    path, rows = scratch_path(spark, "raw-details"), layers(spark, sf_dir)["movie_details"]
+    load.insert_if_absent(rows, path, order=load.by_value(rows))
     files = spark.read.schema(schemas.MOVIE_DETAILS).parquet(path) \
         .select(F.input_file_name().alias("f")).distinct()
     d = F.regexp_extract("f", r"(snapshot_date=[0-9-]+)", 1)
@@ -211,6 +212,58 @@ def q_snk_view(spark, sf_dir):
                                  "stg_genres_view", kind="view")
 
 
+def _raw_database(spark, sf_dir, tables):
+    """A fresh layer with the raw ``tables`` loaded and registered; its name."""
+    root = scratch_path(spark, "warehouse")
+    db = "raw_" + root.rsplit("-", 1)[-1]
+    derived = layers(spark, sf_dir)
+    for name in tables:
+        load.insert_if_absent(derived[name], lake_sink.raw_path(root, name),
+                              order=load.by_value(derived[name]))
+    ddl.create_layers(spark, root, layers=(db,))
+    ddl.create_raw_tables(spark, root, db=db)
+    return db
+
+
+@check("snk_catalog_views", """
+SELECT 'details' AS feed, movie_id, title, popularity, release_date,
+       CAST(to_json(raw_genres) AS VARCHAR) AS genres, snapshot_date FROM stg_movie_details
+UNION ALL
+SELECT 'discover', movie_id, title, popularity, release_date,
+       CAST(to_json(raw_genre_ids) AS VARCHAR), snapshot_date FROM stg_discover
+UNION ALL
+SELECT 'genres', genre_id, genre_name, NULL, NULL, NULL, snapshot_date FROM stg_genres""")
+def q_snk_catalog_views(spark, sf_dir):
+    """SNK-05: the staging models as catalog views over stored raw tables, read by name from
+    another session."""
+    db = _raw_database(spark, sf_dir, ("movie_details", "discover", "genres"))
+    ddl.staging_views(spark, db)
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "UTC")
+    return other.sql(f"""
+        SELECT 'details' AS feed, movie_id, title, popularity, release_date,
+               to_json(raw_genres) AS genres, snapshot_date FROM {db}.stg_movie_details
+        UNION ALL
+        SELECT 'discover', movie_id, title, popularity, release_date, to_json(raw_genre_ids),
+               snapshot_date FROM {db}.stg_discover
+        UNION ALL
+        SELECT 'genres', genre_id, genre_name, NULL, NULL, NULL, snapshot_date
+        FROM {db}.stg_genres""")
+
+
+@check("snk_days_in_one_job", """
+SELECT * REPLACE (popularity + 100 AS popularity) FROM raw_movie_details
+WHERE snapshot_date <> DATE '2024-01-02'""")
+def q_snk_days_in_one_job(spark, sf_dir):
+    """SNK-01/SNK-04: three days replaced by one write; the second has no rows any more."""
+    path = lake_sink.dataset_path(_lake_details(spark, sf_dir), "movie_details")
+    rows = layers(spark, sf_dir)["movie_details"]
+    rows = rows.withColumn("popularity", F.col("popularity") + 100) \
+        .where(F.col("snapshot_date") != F.lit(DAY[1]).cast("date"))
+    lake_sink.replace_days(rows, path, DAY)
+    return spark.read.schema(schemas.MOVIE_DETAILS).parquet(path)
+
+
 @check("ddl_raw_tables", " UNION ALL ".join(
     f"SELECT '{t}' AS source_table, id, snapshot_date, data_source FROM raw_{t}"
     for t in schemas.RAW_TABLES))
@@ -225,7 +278,8 @@ def q_ddl_raw_tables(spark, sf_dir):
         ddl.create_raw_tables(spark, root, db=db)
     derived = layers(spark, sf_dir)
     for name in schemas.RAW_TABLES:
-        load.insert_if_absent(derived[name], lake_sink.raw_path(root, name))
+        load.insert_if_absent(derived[name], lake_sink.raw_path(root, name),
+                              order=load.by_value(derived[name]))
         spark.catalog.recoverPartitions(f"`{db}`.`{name}`")
     return spark.sql(" UNION ALL ".join(
         f"SELECT '{t}' AS source_table, CAST(id AS BIGINT) AS id, snapshot_date, data_source "
@@ -314,14 +368,66 @@ def q_load_insert_if_absent(spark, sf_dir):
     """First batch, then a second one whose day-2 keys exist already (skipped) and whose
     day-3 keys are new (added, the first to arrive where a key comes twice); then the second
     batch once more (adds nothing)."""
-    path = scratch_path(spark, "raw-discover")
-    load.insert_if_absent(layers(spark, sf_dir)["discover"], path)
+    path, rows = scratch_path(spark, "raw-discover"), layers(spark, sf_dir)["discover"]
+    load.insert_if_absent(rows, path, order=load.by_value(rows))
     second = fixtures.second_discover_batch(spark, sf_dir)
     load.insert_if_absent(second, path, arrival="arrival")
     load.insert_if_absent(second, path, arrival="arrival")
     return spark.read.schema(schemas.DISCOVER).parquet(path)
 
 
+@check("load_into_buckets", """
+SELECT * FROM raw_discover
+UNION ALL
+SELECT * FROM raw_discover_batch2 WHERE snapshot_date = DATE '2024-01-04'""")
+def q_load_into_buckets(spark, sf_dir):
+    """``load_insert_if_absent`` into a catalog table whose days lie in buckets of the id."""
+    root = scratch_path(spark, "warehouse")
+    db = "buckets_" + root.rsplit("-", 1)[-1]
+    ddl.create_layers(spark, root, layers=(db,))
+    table = ddl.register(spark, db, "discover", schemas.DISCOVER, f"{root}/discover",
+                         ["snapshot_date"], buckets=("id", 8))
+    rows = layers(spark, sf_dir)["discover"]
+    load.insert_into_buckets(rows, table, DAY, order=load.by_value(rows))
+    second = fixtures.second_discover_batch(spark, sf_dir)
+    for _ in range(2):
+        load.insert_into_buckets(second, table, ("2024-01-03", "2024-01-04"), arrival="arrival")
+    return spark.table(table)
+
+
+@check("load_variant", """
+SELECT 'details' AS feed, id, snapshot_date, CAST(g.id AS BIGINT) AS genre_id, g.name AS name
+FROM (SELECT id, snapshot_date, unnest(from_json(genres, '[{"id":"BIGINT","name":"VARCHAR"}]')) AS g
+      FROM raw_movie_details)
+UNION ALL
+SELECT 'discover', id, snapshot_date, g, NULL
+FROM (SELECT id, snapshot_date, unnest(from_json(genre_ids, '["BIGINT"]')) AS g
+      FROM raw_discover WHERE data_source = 'discover')""")
+def q_load_variant(spark, sf_dir):
+    """CST-05 with JSN-01..04: JSON columns stored as VARIANT, read back and taken apart by
+    ``variant_explode`` and ``variant_get``."""
+    s, out = layers(spark, sf_dir), None
+    for name, column in (("movie_details", "genres"), ("discover", "genre_ids")):
+        path = scratch_path(spark, f"variant-{name}")
+        rows = load.align(s[name], schemas.RAW_TABLES[name], json_as_variant=True)
+        rows = rows.where(F.col("data_source") == ("api" if name == "movie_details" else "discover"))
+        load.insert_if_absent(rows.select("id", column, "snapshot_date", "data_source"), path,
+                              order=[F.col("id")])
+        stored = spark.read.schema(f"id bigint, {column} variant, snapshot_date date, "
+                                   "data_source string").parquet(path)
+        view = f"stored_{column}"
+        stored.createOrReplaceTempView(view)
+        genre_id, genre_name = ("variant_get(value, '$.id', 'bigint')",
+                                "variant_get(value, '$.name', 'string')") \
+            if name == "movie_details" else ("CAST(value AS BIGINT)", "CAST(NULL AS STRING)")
+        part = spark.sql(f"""
+            SELECT '{"details" if name == "movie_details" else name}' AS feed, id, snapshot_date,
+                   {genre_id} AS genre_id, {genre_name} AS name
+            FROM {view}, LATERAL variant_explode({column})""")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ---- DQ -----------------------------------------------------------------------------
 
 def _dq_models(spark, sf_dir):
@@ -442,6 +548,33 @@ def q_stream_insert_if_absent(spark, sf_dir):
     return spark.read.parquet(table)
 
 
+@check("stream_lake_files", """
+SELECT * FROM raw_discover WHERE data_source = 'discover'""")
+def q_stream_lake_files(spark, sf_dir):
+    """ST-01 over LOAD-01..05: the discover lake's files stream into the raw table, reconciled to
+    its schema, the first row of a key (as the responses came) kept.  Day files land in three
+    deliveries, the third one all of them again with other popularities; the stream stops and
+    goes on from its checkpoint after each."""
+    raw = layers(spark, sf_dir)["discover"].where(F.col("data_source") == "discover")
+    lake, table = scratch_path(spark, "lake-stream"), scratch_path(spark, "raw-stream")
+    ckpt = scratch_path(spark, "raw-stream-ckpt")
+    place = F.struct(F.col("release_year").alias("year"), F.lit(0).alias("page"),
+                     F.lit("").alias("file"), F.lit(0).cast("long").alias("block"),
+                     F.col("copy").alias("pos")).alias(schemas.ARRIVAL)
+    twice = raw.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(0)))) \
+        .withColumn("popularity", F.col("popularity") + F.col("copy") * 1000)
+    rows = twice.select("*", place, F.lit(1).alias("unknown_field")) \
+        .withColumn("snapshot_date", F.col("snapshot_date").cast("string")) \
+        .withColumn("genre_ids", F.from_json("genre_ids", schemas.GENRE_IDS)).drop("copy")
+    schema = rows.schema
+    for days, shift in ((DAY[:1], 0), (DAY[1:], 0), (DAY, 5000)):
+        rows.where(F.col("snapshot_date").isin(list(days))) \
+            .withColumn("popularity", F.col("popularity") + shift) \
+            .repartition(3, "id").write.mode("append").parquet(lake)
+        ingest_lake(spark, lake, schema, "discover", table, ckpt)
+    return spark.read.schema(schemas.DISCOVER).parquet(table)
+
+
 # ---- PIPE ---------------------------------------------------------------------------
 
 def _land_day(spark, sf_dir, root):
@@ -481,6 +614,50 @@ def q_pipe_daily(spark, sf_dir):
     return out["dq_results"]
 
 
+def _first_sql(table: str, partition: str, where: str) -> str:
+    copies = f"""(SELECT r.*, copy FROM raw_{table} r CROSS JOIN (VALUES (0), (1)) c(copy)
+        WHERE snapshot_date = DATE '{DAY[1]}' AND {where})"""
+    return f"""
+SELECT '{table}' AS source_table, id,
+       CASE WHEN copy = 1 THEN title || ' again' ELSE title END AS title,
+       popularity + copy * 1000 AS popularity, snapshot_date, data_source
+FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY nth) AS first FROM (
+        SELECT *, row_number() OVER (PARTITION BY {partition}
+                                     ORDER BY {fixtures.AGAIN_ORDER}, id, copy) AS nth
+        FROM {copies})) WHERE first = 1"""
+
+
+@check("pipe_first_wins", " UNION ALL ".join(
+    [_first_sql(t, "snapshot_date", "true") for t in landing.LIST_DATASETS]
+    + [_first_sql("discover", "release_year", "data_source = 'discover' "
+                                              "AND release_year BETWEEN 2000 AND 2024")]))
+def q_pipe_first_wins(spark, sf_dir):
+    """LOAD-05/SNK-03 in whole runs: every movie comes on two places of the responses, whose pages
+    lie in any order over files; the row that the client meets first is stored.  The same day run
+    again with other responses adds nothing."""
+    s, root = layers(spark, sf_dir), scratch_path(spark, "warehouse")
+    day = F.col("snapshot_date") == F.lit(DAY[1]).cast("date")
+    for shift in (0.0, 7777.0):
+        landed = scratch_path(spark, "landing")
+        for name in landing.LIST_DATASETS:
+            fixtures.land_again(fixtures.landing_movies(s[name].where(day)), f"{landed}/{name}",
+                                shift=shift)
+        fixtures.land_genre_docs(s["genres"], f"{landed}/genres")
+        fixtures.land_detail_docs(s["movie_details"].where(day), f"{landed}/movie_details")
+        disc = s["discover"].where(day & (F.col("data_source") == "discover"))
+        fixtures.land_again(fixtures.landing_movies(disc), f"{landed}/discover", "release_year",
+                            shift=shift)
+        jobs.extract_and_load(spark, landed, root, DAY[1])
+        jobs.backfill_and_load(spark, landed, root, range(2000, 2025), DAY[1])
+    out = None
+    for name in (*landing.LIST_DATASETS, "discover"):
+        rows = spark.read.schema(schemas.RAW_TABLES[name]).parquet(lake_sink.raw_path(root, name)) \
+            .select(F.lit(name).alias("source_table"), "id", "title", "popularity",
+                    "snapshot_date", "data_source")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @check("pipe_backfill", """
 SELECT id AS movie_id, snapshot_date, popularity, vote_average, vote_count
 FROM discover_served

@@ -270,9 +270,9 @@ def q_ing_discover_top(spark, sf_dir):
         .select("id", "release_year", "snapshot_date", "popularity")
 
 
-@check("win_priority_dedupe", """
+@check("win_priority_by_case", """
 SELECT movie_id, snapshot_date, source FROM core_movies""")
-def q_win_priority_dedupe(spark, sf_dir):
+def q_win_priority_by_case(spark, sf_dir):
     """WIN-02/CAS-03: the first row per (movie, snapshot) by a CASE over the source."""
     s = layers(spark, sf_dir)
     keys = ["movie_id", "snapshot_date"]

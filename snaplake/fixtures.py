@@ -160,6 +160,8 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 # Layout: <root>/<dataset>/snapshot_date=D/part-*.json, one JSON document per line.
 
 PAGE_SIZE = 20
+#: The order of rows in ``land_again``.
+AGAIN_ORDER = "(id * 7919 + copy * 104729) % 10007"
 CORRUPT_DETAIL_EVERY = 997
 CORRUPT_LENGTH = 25
 #: Nested detail values by column: a JSON text in which ``#`` stands for the movie's id, and
@@ -242,6 +244,34 @@ def land_discover_pages(movies: DataFrame, path: str, max_pages: int | None = No
     return _write_docs(docs, path)
 
 
+def land_again(movies: DataFrame, path: str, request: str | None = None, files: int = 8,
+               page_size: int = PAGE_SIZE, shift: float = 0.0) -> str:
+    """Responses in which every movie comes twice, on pages dealt over ``files`` files: copy 1 has
+    1000 more popularity and another title.  Rows follow each other by ``AGAIN_ORDER``, within
+    their day and ``request`` column (a discover request's year).  ``shift`` is added to all
+    popularities."""
+    groups = ["snapshot_date", *([request] if request else [])]
+    copy = F.explode(F.array(F.lit(0), F.lit(1))).alias("copy")
+    m = movies.select("*", copy)
+    m = m.withColumn("popularity", F.col("popularity") + F.col("copy") * 1000 + F.lit(shift)) \
+         .withColumn("title", F.when(F.col("copy") == 1, F.concat("title", F.lit(" again")))
+                     .otherwise(F.col("title")))
+    nth = F.row_number().over(Window.partitionBy(*groups).orderBy(
+        F.expr(AGAIN_ORDER), "id", "copy"))
+    counts = m.groupBy(*groups).agg(F.ceil(F.count(F.lit(1)) / page_size).cast("int")
+                                    .alias("total_pages"))
+    m = m.withColumn("nth", nth).join(counts, groups) \
+         .withColumn("page", F.ceil(F.col("nth") / page_size).cast("int"))
+    fields = [c for c in _LANDING_MOVIE_FIELDS if c in movies.columns]
+    pages = m.groupBy(*groups, "page", "total_pages").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("nth", F.struct(*fields).alias("movie")))),
+        lambda r: r["movie"]).alias("results"))
+    body = [*groups[1:], "page", "total_pages", "results"]
+    docs = pages.repartition(files, F.xxhash64("page")).select(
+        "snapshot_date", F.to_json(F.struct(*body)).alias("value"))
+    return _write_docs(docs, path)
+
+
 def land_genre_docs(genres: DataFrame, path: str) -> str:
     """One ``{"genres": [...]}`` document per day (a genre list has tens of entries)."""
     docs = genres.groupBy("snapshot_date").agg(

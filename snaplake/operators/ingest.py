@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snaplake import schemas
 from snaplake.operators.dedupe import top_n_by_value
 
 PAGE_SIZE = 20
@@ -48,12 +49,13 @@ def discover_top(df: DataFrame, max_pages: int | None = None, page_size: int = P
 
 
 def shape_discover(movies: DataFrame, year_col: str = "release_year") -> DataFrame:
-    """ING-04/ING-07: the seven kept fields (absent ones NULL), the request's year and
-    ``data_source = 'discover'``."""
+    """ING-04/ING-07: the seven kept fields (absent ones NULL), the request's year,
+    ``data_source = 'discover'``, and the arrival if there is one."""
     have = set(movies.columns)
+    arrival = [schemas.ARRIVAL] if schemas.ARRIVAL in have else []
     cols = [F.col(c) if c in have else F.lit(None).alias(c) for c in DISCOVER_FIELDS]
     return movies.select(*cols, F.col(year_col).cast("int").alias("release_year"),
-                         F.lit("discover").alias("data_source"))
+                         F.lit("discover").alias("data_source"), *arrival)
 
 
 def jsonify(df: DataFrame, cols: Sequence[str] = DETAIL_NESTED) -> DataFrame:

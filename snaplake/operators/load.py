@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DateType, MapType, StringType, StructType
+from pyspark.sql.types import (ArrayType, DateType, MapType, StringType, StructType,
+                               VariantType)
 
 from snaplake import schemas
+from snaplake.operators import ingest
 from snaplake.operators.dedupe import first_per_key
 from snaplake.session import scratch_path
 from snaplake.sinks.lake import delete_path
@@ -21,10 +23,11 @@ from snaplake.sources.lake import read_or_none
 
 
 def normalise_nested(df: DataFrame) -> DataFrame:
-    """LOAD-01: every array/struct/map column becomes JSON text (whole column)."""
+    """LOAD-01: every array/struct/map column becomes JSON text (whole column); the arrival stays."""
     nested = (ArrayType, StructType, MapType)
     return df.select([
-        F.to_json(F.col(f.name)).alias(f.name) if isinstance(f.dataType, nested)
+        F.to_json(F.col(f.name)).alias(f.name)
+        if isinstance(f.dataType, nested) and f.name != schemas.ARRIVAL
         else F.col(f.name) for f in df.schema.fields])
 
 
@@ -38,7 +41,8 @@ def align(df: DataFrame, target: StructType,
           json_as_variant: bool = False) -> DataFrame:
     """LOAD-04: reconcile to the target schema -- unknown columns dropped, missing ones
     NULL, DATE columns cast, JSON columns kept as JSON text, others cast by assignment.
-    Text that is not JSON in a JSON column fails the load.
+    Text that is not JSON in a JSON column fails the load.  The arrival stays, for
+    ``insert_if_absent``.
 
     CST-05: with ``json_as_variant`` the JSON columns become VARIANT (``try_parse_json``:
     text that is not JSON gives NULL instead of failing the load)."""
@@ -59,9 +63,17 @@ def align(df: DataFrame, target: StructType,
             cols.append(F.to_date(F.col(f.name)).alias(f.name))
         else:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+    if schemas.ARRIVAL in have:
+        cols.append(F.col(schemas.ARRIVAL))
     return df.select(cols)
 
 
+def reconcile(df: DataFrame, dataset: str, date: str | None = None) -> DataFrame:
+    """LOAD-01..04: lake rows as rows of the raw table ``dataset``."""
+    df = ingest.stamp(normalise_nested(df), date=date)
+    return align(default_source(df), schemas.RAW_TABLES[dataset])
+
+
 def _reject_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """T13: a NULL key fails the write job (like a primary-key violation) -- checked
     inside the same pass that writes, no extra scan."""
@@ -71,6 +83,24 @@ def _reject_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         for c in df.columns])
 
 
+def by_value(df: DataFrame) -> list[Column]:
+    """An order by the rows' values alone: of unlike rows of a key, the same one every time."""
+    return [F.xxhash64(*[F.to_json(f.name) if isinstance(f.dataType, VariantType)
+                         else F.col(f.name) for f in df.schema.fields])]
+
+
+def _first_to_arrive(batch: DataFrame, keys: Sequence[str], order: Sequence[Column] | None,
+                     arrival: str | None) -> DataFrame:
+    if order is None and arrival is None and schemas.ARRIVAL in batch.columns:
+        arrival = schemas.ARRIVAL
+    if arrival is not None:
+        order = [F.col(arrival).asc_nulls_last()]
+    if not order:
+        raise ValueError("a load needs the order in which its rows arrived")
+    first = first_per_key(batch, keys, [*order, *by_value(batch)])
+    return first if arrival is None else first.drop(arrival)
+
+
 def insert_if_absent(batch: DataFrame, path: str,
                      keys: Sequence[str] = schemas.RAW_KEYS,
                      partition_col: str = schemas.PARTITION_COLUMN,
@@ -79,9 +109,9 @@ def insert_if_absent(batch: DataFrame, path: str,
     """LOAD-05/SNK-03/JN-06: keyed append that never overwrites.
 
     1. NULL keys abort the job.
-    2. Inside the batch the first row per key wins: by ``order``, or by the column
-       ``arrival``, which is not stored; without either, rows of one key are taken to be
-       alike and any one stays.
+    2. Inside the batch the first row per key wins: by the column ``arrival``, which is not
+       stored (a batch of the readers has ``schemas.ARRIVAL``), or by ``order``.  One of them
+       must be there.  Rows alike in it are ordered by their values, so re-runs agree.
     3. Against stored rows: a left-anti join with only the day partitions the batch
        touches.  A load that knows its ``days`` names them; else the deduplicated batch is
        staged in the scratch folder first and its directories tell.  Either way the batch is
@@ -89,12 +119,7 @@ def insert_if_absent(batch: DataFrame, path: str,
     4. The rest is appended, one directory per day made on demand (SNK-08).
     """
     spark, keys = batch.sparkSession, list(keys)
-    if arrival is not None:
-        order = [F.col(arrival).asc_nulls_last()]
-    guarded = _reject_null_keys(batch, keys)
-    first = first_per_key(guarded, keys, order) if order else guarded.dropDuplicates(keys)
-    if arrival is not None:
-        first = first.drop(arrival)
+    first = _first_to_arrive(_reject_null_keys(batch, keys), keys, order, arrival)
     stored = read_or_none(spark, path, first.schema)
     staged = None
     if stored is not None:
@@ -112,3 +137,41 @@ def insert_if_absent(batch: DataFrame, path: str,
     if staged is not None:
         delete_path(spark, staged)
     return path
+
+
+def conflict_free(batch: DataFrame, table: str, days: Iterable,
+                  keys: Sequence[str] = schemas.RAW_KEYS,
+                  partition_col: str = schemas.PARTITION_COLUMN,
+                  order: Sequence[Column] | None = None, arrival: str | None = None) -> DataFrame:
+    """The rows of ``batch`` that a load into the bucketed catalog table ``table`` adds.
+
+    Stored days lie in buckets of the first key, sorted by it, and the batch's first rows are dealt
+    the same way, so neither the stored rows nor the join shuffles: only the batch moves."""
+    spark, keys = batch.sparkSession, list(keys)
+    n = buckets_of(spark, table)
+    first = _first_to_arrive(_reject_null_keys(batch, keys), keys, order, arrival) \
+        .repartition(n, keys[0])
+    stored = spark.table(table).where(F.col(partition_col).isin(
+        [F.lit(d).cast(first.schema[partition_col].dataType) for d in days]))
+    # The only join key is the bucketed one: equality of the others is told as an order, which
+    # asks for no partitioning of its own.
+    rest = F.to_json(F.struct(*keys[1:])) if len(keys) > 1 else F.lit("")
+    have = stored.select(F.col(keys[0]).alias("s_key"), rest.alias("s_rest"))
+    new = first.withColumn("b_rest", rest)
+    alike = (F.col("s_rest") <= F.col("b_rest")) & (F.col("s_rest") >= F.col("b_rest"))
+    return new.join(have.hint("merge"), (F.col(keys[0]) == F.col("s_key")) & alike, "left_anti") \
+        .drop("b_rest")
+
+
+def buckets_of(spark: SparkSession, table: str) -> int:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    return int(next(r["data_type"] for r in rows if r["col_name"] == "Num Buckets"))
+
+
+def insert_into_buckets(batch: DataFrame, table: str, days: Iterable, **options) -> str:
+    """LOAD-05 into a bucketed catalog table (``catalog.register`` with ``buckets``): a file per
+    bucket and day, so the next load and the staging dedupe read them as they lie."""
+    spark = batch.sparkSession
+    new = conflict_free(batch, table, days, **options).select(spark.table(table).columns)
+    new.write.mode("append").insertInto(table)
+    return table

@@ -43,14 +43,13 @@ def _landing_day(landing_root: str, dataset: str, date: str) -> str:
 
 def load_dataset(spark: SparkSession, root: str, dataset: str, date: str,
                  snapshot: DataFrame | None = None) -> str:
-    """LOAD-01..05 for one lake snapshot into ``raw/<dataset>``."""
+    """LOAD-01..05 for one lake snapshot into ``raw/<dataset>``: the first row of a key, as the
+    responses came, stays (snapshots without an arrival: one by its values)."""
     df = snapshot if snapshot is not None else \
         lake_source.read_snapshot(spark, _lake(root), dataset, date)
-    df = load.normalise_nested(df)
-    df = ingest.stamp(df, date=date)
-    df = load.default_source(df)
-    df = load.align(df, schemas.RAW_TABLES[dataset])
-    return load.insert_if_absent(df, lake_sink.raw_path(root, dataset), days=[date])
+    df = load.reconcile(df, dataset, date)
+    order = None if schemas.ARRIVAL in df.columns else load.by_value(df)
+    return load.insert_if_absent(df, lake_sink.raw_path(root, dataset), order=order, days=[date])
 
 
 SILVER = ("stg_genres", "stg_movie_details", "stg_discover", "core_movies")
@@ -103,48 +102,60 @@ def build_models(spark: SparkSession, root: str, days: Iterable[str] | None = No
     # MOD-05/08/10 from per-day state (plans.history), the rest from stored silver.
     whole = history.build(spark, root, mat["core_movies"], mat["stg_genres"], days)
     whole.update({name: build(mat) for name, build in LATEST_GOLD.items()})
-    mat.update(_each(lambda name, df: lake_sink.materialise(df, root, LAYERS["gold"], name),
-                     whole))
+    # The declared not_null tests are counted by the writes themselves: the fact table's for the
+    # run's days (earlier ones were tested by their runs).
+    counted = {m: quality.NullCounts(m) for m in dict.fromkeys(m for m, _, _ in quality.SUITE)}
+    watch = lambda name: counted[name].watch if name in counted else None
+    mat.update(_each(lambda name, df: lake_sink.materialise(
+        df, root, LAYERS["gold"], name, watch=watch(name)), whole))
     per_day = {name: build(scope) for name, build in PER_DAY_GOLD.items()}
-    mat.update(_each(lambda name, df: lake_sink.materialise(df, root, LAYERS["gold"], name,
-                                                            **daily), per_day))
-    # The fact table is tested for the run's days; earlier ones were tested by their runs.
-    tested = {**mat, "fact_movie_popularity": in_scope(mat["fact_movie_popularity"])}
-    results = quality.run_suite(tested).unionByName(quality.run_raw_suite(raw))
+    mat.update(_each(lambda name, df: lake_sink.materialise(
+        df, root, LAYERS["gold"], name, watch=watch(name), **daily), per_day))
+    results = quality.run_suite(mat, counted=counted).unionByName(quality.run_raw_suite(raw))
     mat["dq_results"] = lake_sink.materialise(results, root, LAYERS["tests"], "dq_results")
-    _register(spark, root, mat)
+    _register(spark, root, mat, days)
     if require_pass:
         quality.require_pass(mat["dq_results"])
     return mat
 
 
-def _register(spark: SparkSession, root: str, models: dict[str, DataFrame]) -> None:
-    """SNK-04/06/07: layers and tables of this root, readable by name (``gold.dim_movies``)."""
+def _register(spark: SparkSession, root: str, models: dict[str, DataFrame],
+              days: list[str] | None) -> None:
+    """SNK-04..07: layers, tables and the staging views of this root, readable by name
+    (``gold.dim_movies``); of tables known already only the partitions of ``days`` change."""
     catalog.create_layers(spark, root)
-    catalog.create_raw_tables(spark, root)
+    catalog.create_raw_tables(spark, root, days=days)
+    catalog.staging_views(spark)
     for name, df in models.items():
         layer = LAYERS["silver"] if name in SILVER else LAYERS["gold"]
         partitions = list(CORE_PARTITIONS) if name == "core_movies" else \
             ["snapshot_date"] if name in SILVER or name in PER_DAY_GOLD else []
         catalog.register(spark, layer, name, df.schema, f"{root.rstrip('/')}/{layer}/{name}",
-                         partitions)
+                         partitions, days)
 
 
-def run_daily(spark: SparkSession, landing_root: str, root: str, date: str,
-              multi_line: bool = False, require_pass: bool = True) -> dict[str, DataFrame]:
-    """PIPE-01: three lists -> candidate ids -> their details; genres; each to the lake
-    (day overwrite), each lake snapshot into raw (insert-if-absent), then models, tests."""
+def extract_and_load(spark: SparkSession, landing_root: str, root: str, date: str,
+                     multi_line: bool = False) -> None:
+    """Three lists -> candidate ids -> their details; genres; each to the lake (day
+    overwrite), each lake snapshot into raw (insert-if-absent)."""
     lists = {d: landing.read_list_pages(spark, _landing_day(landing_root, d, date), d,
-                                        multi_line) for d in landing.LIST_DATASETS}
+                                        multi_line, arrival=True)
+             for d in landing.LIST_DATASETS}
     ids = ingest.candidate_ids(*lists.values())
     good, _bad = landing.read_detail_docs(
-        spark, _landing_day(landing_root, "movie_details", date), multi_line)
+        spark, _landing_day(landing_root, "movie_details", date), multi_line, arrival=True)
     details = ingest.stamp(ingest.jsonify(ingest.details_for(ids, good)), source="api")
     genres = landing.read_genre_doc(spark, _landing_day(landing_root, "genres", date),
-                                    multi_line)
+                                    multi_line, arrival=True)
     extracted = {**lists, "movie_details": details, "genres": genres}
     _each(lambda name, df: lake_sink.write_snapshot(df, _lake(root), name, date), extracted)
     _each(lambda name, _: load_dataset(spark, root, name, date), extracted)
+
+
+def run_daily(spark: SparkSession, landing_root: str, root: str, date: str,
+              multi_line: bool = False, require_pass: bool = True) -> dict[str, DataFrame]:
+    """PIPE-01: landed responses -> lake -> raw, then models, tests."""
+    extract_and_load(spark, landing_root, root, date, multi_line)
     return build_models(spark, root, days=[date], require_pass=require_pass)
 
 
@@ -153,18 +164,24 @@ def backfill(spark: SparkSession, landing_dir: str, lake_root: str, years: Itera
     """ING-05: every year of the range in one job -- read all landed pages, keep the
     requested years, shape, and replace each year's ``year=Y/snapshot_date=D``."""
     years = list(years)
-    movies = landing.read_discover_pages(spark, landing_dir, max_page=max_pages) \
+    movies = landing.read_discover_pages(spark, landing_dir, max_page=max_pages, arrival=True) \
         .where(F.col("release_year").isin(years))
     return lake_sink.write_discover(ingest.shape_discover(movies), lake_root, date, years)
 
 
-def run_backfill(spark: SparkSession, landing_root: str, root: str, years: Iterable[int],
-                 date: str, require_pass: bool = True) -> dict[str, DataFrame]:
-    """PIPE-02: backfill all years -> raw discover -> models -> tests."""
+def backfill_and_load(spark: SparkSession, landing_root: str, root: str, years: Iterable[int],
+                      date: str) -> None:
+    """Backfill all years, and their rows into raw discover."""
     years = list(years)
     backfill(spark, _landing_day(landing_root, "discover", date), _lake(root), years, date)
-    snap = spark.read.parquet(lake_sink.discover_path(_lake(root))) \
-        .where((F.col("snapshot_date") == F.lit(date).cast("date"))
-               & F.col("year").isin(years)).drop("year")
+    path = lake_sink.discover_path(_lake(root))
+    snap = spark.read.option("basePath", path).parquet(f"{path}/year=*/snapshot_date={date}") \
+        .where(F.col("year").isin(years)).drop("year")
     load_dataset(spark, root, "discover", date, snapshot=snap)
+
+
+def run_backfill(spark: SparkSession, landing_root: str, root: str, years: Iterable[int],
+                 date: str, require_pass: bool = True) -> dict[str, DataFrame]:
+    """PIPE-02: backfill all years -> raw discover -> models -> tests."""
+    backfill_and_load(spark, landing_root, root, years, date)
     return build_models(spark, root, days=[date], require_pass=require_pass)

@@ -17,6 +17,11 @@ RAW_KEYS = ("id", "snapshot_date", "data_source")
 PARTITION_COLUMN = "snapshot_date"
 
 
+# Where a landed row stood: it travels from the readers through the lake to the load, which keeps
+# the first row of a key, and is not stored in raw tables.  Sorts as the responses came.
+ARRIVAL = "_arrival"
+
+
 def _struct(*fields: tuple[str, object]) -> StructType:
     return StructType([StructField(n, t, True) for n, t in fields])
 

@@ -1,12 +1,15 @@
 """Lake and layer writes (SNK-01, SNK-02, SNK-04, SNK-05).
 
-A day is always replaced as a whole: its directory is overwritten statically, whatever
-partitions below it the new rows have, so a re-run leaves nothing of the earlier one --
-not even when it has no rows for that day.
+A day is always replaced as a whole: whatever partitions below it the new rows have, a re-run
+leaves nothing of the earlier one -- not even when it has no rows for that day.  New rows are
+written beside the table first, all days in one job, and the folders change places once that job
+has ended, by renames: a job that fails leaves the old rows as they were, and no reader meets a
+half-written day.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,24 +33,66 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def _static_overwrite(df: DataFrame, path: str, partition_cols: Sequence[str]) -> None:
-    """Rows of one directory are brought together first, so a task writes few files; AQE
-    splits directories above its advisory size."""
+def _staged(df: DataFrame, path: str, partition_cols: Sequence[str], watch=None) -> str:
+    """Write ``df`` to a fresh folder beside ``path``.  Rows of one directory are brought together
+    first, so a task writes few files; AQE splits directories above its advisory size.
+    ``watch``: (Observation, metrics), counted by the writing tasks themselves, behind the last
+    shuffle, so a task that runs again doesn't count twice."""
+    to = f"{path.rstrip('/').rsplit('/', 1)[0]}/_staged-{uuid.uuid4().hex[:12]}"
     if partition_cols:
         df = df.hint("rebalance", *partition_cols)
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    (w.partitionBy(*partition_cols) if partition_cols else w).parquet(path)
+    if watch is not None:
+        df = df.observe(watch[0], *watch[1])
+    w = df.write
+    (w.partitionBy(*partition_cols) if partition_cols else w).parquet(to)
+    return to
+
+
+def swap(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` (or nothing, if there is none) in the place of ``path``."""
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    target, source = jvm.Path(path), jvm.Path(new)
+    old = jvm.Path(target.getParent(), f"_old-{uuid.uuid4().hex[:12]}")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} away")
+    if fs.exists(source) and not fs.rename(source, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"cannot move {new} to {path}")
+    if had:
+        fs.delete(old, True)
+
+
+def replace_partitions(df: DataFrame, path: str, column: str, values: Iterable[str],
+                       below: Sequence[str] = (), watch=None) -> str:
+    """Replace the directories ``<path>/<column>=V`` of the dates ``values`` by the rows of ``df``
+    that have them, written in one job; every other one stays as it is."""
+    spark, values = df.sparkSession, [str(v) for v in values]
+    rows = df.where(F.col(column).isin([F.lit(v).cast("date") for v in values]))
+    staged = _staged(rows, path, [column, *below], watch)
+    for v in values:
+        swap(spark, f"{staged}/{column}={v}", f"{path}/{column}={v}")
+    delete_path(spark, staged)
+    return path
 
 
 def replace_days(df: DataFrame, path: str, days: Iterable[str],
-                 partition_cols: Sequence[str] = (DAY,)) -> str:
-    """Overwrite the directories ``<path>/snapshot_date=D`` of ``days`` with the rows of
-    ``df`` for those days; every other day stays as it is."""
-    below = [c for c in partition_cols if c != DAY]
-    for d in days:
-        rows = df.where(F.col(DAY) == F.lit(d).cast("date")).drop(DAY)
-        _static_overwrite(rows, f"{path}/{DAY}={d}", below)
-    return path
+                 partition_cols: Sequence[str] = (DAY,), watch=None) -> str:
+    """``replace_partitions`` by day."""
+    return replace_partitions(df, path, DAY, days, [c for c in partition_cols if c != DAY], watch)
+
+
+def directories(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders ``column=value`` right below ``path`` (none, if it doesn't exist)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)
+                  if s.isDirectory() and "=" in s.getPath().getName())
 
 
 def write_snapshot(df: DataFrame, root: str, dataset: str, date: str) -> str:
@@ -61,36 +106,39 @@ def write_discover(df: DataFrame, root: str, date: str,
     """SNK-02: backfill layout ``year=Y/snapshot_date=D``; ``release_year`` stays a data
     column, ``year`` is its copy in the path.  The (year, day) directories of ``years``
     (default: the years that ``df`` has) are replaced as a whole."""
-    path = discover_path(root)
-    for y in years or ():
-        delete_path(df.sparkSession, f"{path}/year={y}/{DAY}={date}")
+    path, spark = discover_path(root), df.sparkSession
     stamped = df.withColumn(DAY, F.lit(date).cast("date")) \
                 .withColumn("year", F.col("release_year"))
-    stamped.hint("rebalance", "year").write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy("year", DAY).parquet(path)
+    staged = _staged(stamped, path, ["year", DAY])
+    for year in sorted({f"year={y}" for y in years or ()} | set(directories(spark, staged))):
+        swap(spark, f"{staged}/{year}/{DAY}={date}", f"{path}/{year}/{DAY}={date}")
+    delete_path(spark, staged)
     return path
 
 
 def materialise(df: DataFrame, root: str, layer: str, name: str, kind: str = "table",
-                partition_by: Sequence[str] = (), days: Iterable[str] | None = None
-                ) -> DataFrame:
+                partition_by: Sequence[str] = (), days: Iterable[str] | None = None,
+                watch=None) -> DataFrame:
     """SNK-04/SNK-05: rebuild of a model.
 
-    ``table``: overwrite ``<root>/<layer>/<name>`` and return a DataFrame reading it
+    ``table``: replace ``<root>/<layer>/<name>`` and return a DataFrame reading it
     back -- downstream models start from the written files, which also cuts lineage.
     With ``days`` only those days are replaced, each as a whole (a model whose rows for a
     day depend only on that day's input, refreshed per day).
-    ``view``: a temporary view ``<layer>__<name>`` over the plan, nothing written.
+    ``watch``: metrics of the written rows, counted by the write (``quality.NullCounts``).
+    ``view``: a temporary view ``<layer>__<name>`` over the plan, nothing written (views that
+    outlive the session: ``catalog.create_view``).
     """
+    spark = df.sparkSession
     if kind == "view":
         df.createOrReplaceTempView(f"{layer}__{name}")
-        return df.sparkSession.table(f"{layer}__{name}")
+        return spark.table(f"{layer}__{name}")
     path = f"{root.rstrip('/')}/{layer}/{name}"
     if days is None:
-        _static_overwrite(df, path, partition_by)
+        swap(spark, _staged(df, path, partition_by, watch), path)
     else:
-        replace_days(df, path, days, partition_by)
-    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+        replace_days(df, path, days, partition_by, watch)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def raw_path(root: str, dataset: str) -> str:
@@ -110,9 +158,8 @@ def compact(spark: SparkSession, path: str, date, schema, rows_per_file: int = 5
     """Rewrite one day of a table partitioned by day (and maybe further columns below it)
     into ``ceil(rows / rows_per_file)`` files a directory at most; all partition columns stay.
 
-    The day is first copied to a fresh folder of the shared scratch root and then written
-    back from that copy, so the job never reads the directory it replaces and a copy survives
-    a failure during the swap.  Run it as the table's single writer (as for loads).  Returns
+    The day is first copied to a fresh folder of the shared scratch root and packed from that
+    copy, then the folders change places.  Run it as the table's single writer (as for loads).  Returns
     the number of files that hold the day now.
     """
     from snaplake.session import scratch_path
@@ -125,8 +172,9 @@ def compact(spark: SparkSession, path: str, date, schema, rows_per_file: int = 5
     n = max(1, -(-copy.count() // rows_per_file))
     below = [c for c in columns if c != DAY]
     target = f"{path.rstrip('/')}/{DAY}={date}"
-    w = copy.drop(DAY).repartition(n).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "static")
-    (w.partitionBy(*below) if below else w).parquet(target)
+    packed = f"{path.rstrip('/')}/_staged-{uuid.uuid4().hex[:12]}"
+    w = copy.drop(DAY).repartition(n).write
+    (w.partitionBy(*below) if below else w).parquet(packed)
+    swap(spark, packed, target)
     delete_path(spark, staged)
     return len(spark.read.schema(schema).parquet(target).inputFiles())

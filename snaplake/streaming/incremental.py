@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from snaplake.operators.load import insert_if_absent
+from snaplake import schemas
+from snaplake.operators.load import insert_if_absent, reconcile
 
 
 def ingest_available(spark: SparkSession, source_dir: str, schema: StructType,
@@ -36,3 +37,12 @@ def ingest_available(spark: SparkSession, source_dir: str, schema: StructType,
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return q
+
+
+def ingest_lake(spark: SparkSession, source_dir: str, schema: StructType, dataset: str,
+                table_path: str, checkpoint: str, **options) -> StreamingQuery:
+    """New files of the lake into the raw table ``dataset``: LOAD-01..04 on each micro-batch, then
+    the first row of a key by its arrival in the batch, and none of a key that is stored."""
+    return ingest_available(spark, source_dir, schema, table_path, checkpoint,
+                            keys=schemas.RAW_KEYS, partition_col=schemas.PARTITION_COLUMN,
+                            prepare=lambda batch: reconcile(batch, dataset), **options)

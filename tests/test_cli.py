@@ -26,7 +26,8 @@ def test_compact_command(spark, sf_dir, capsys):
     from snaplake.checks.catalog import layers
     from snaplake.operators import load
     root = scratch_path(spark, "cli-compact")
-    load.insert_if_absent(layers(spark, sf_dir)["genres"], f"{root}/raw/genres")
+    genres = layers(spark, sf_dir)["genres"]
+    load.insert_if_absent(genres, f"{root}/raw/genres", order=load.by_value(genres))
     main(["compact", "--root", root, "--table", "raw/genres", "--date", "2024-01-02"])
     assert "1 file(s)" in capsys.readouterr().out
     assert spark.read.parquet(f"{root}/raw/genres").count() == 72

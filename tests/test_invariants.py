@@ -108,7 +108,7 @@ def test_insert_if_absent_is_idempotent_and_first_wins(spark):
     load.insert_if_absent(first, path, order=[F.col("v").asc()])
     load.insert_if_absent(first, path, order=[F.col("v").asc()])
     again = _batch(spark, [(1, "z", d1, "api"), (3, "d", d2, "api"), (1, "y", d1, "manual")])
-    load.insert_if_absent(again, path)
+    load.insert_if_absent(again, path, order=[F.col("v").asc()])
     got = sorted(tuple(r) for r in spark.read.parquet(path)
                  .select("id", "v", "snapshot_date", "data_source").collect())
     assert got == [(1, "a", d1, "api"), (1, "y", d1, "manual"), (2, "c", d1, "api"),
@@ -120,7 +120,7 @@ def test_insert_if_absent_rejects_null_keys(spark):
     path = scratch_path(spark, "t-null")
     bad = _batch(spark, [(None, "a", dt.date(2024, 1, 1), "api")])
     with pytest.raises(Exception, match="NULL key"):
-        load.insert_if_absent(bad, path)
+        load.insert_if_absent(bad, path, order=[F.col("v").asc()])
 
 
 def test_align_drops_unknown_and_pads_missing(spark):
@@ -422,7 +422,7 @@ def test_daily_runs_keep_history_models_equal_to_full_rebuild(spark, sf_dir):
     # Compaction of core and of the state keeps rows, partitions and readers.
     from snaplake.sinks.lake import compact
     import datetime as dt
-    for table, name in (("core/core_movies", "core_movies"), ("state/movie_genres", None)):
+    for table, name in (("core/core_movies", "core_movies"), ("state/movie_bitmaps", None)):
         path = f"{root}/{table}"
         schema = spark.read.parquet(path).schema
         before = spark.read.parquet(path).count()
@@ -439,7 +439,8 @@ def test_compact_one_partition(spark):
     d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
     path = scratch_path(spark, "t-compact")
     for i in range(3):  # three loads -> several files in day 1
-        load.insert_if_absent(_batch(spark, [(i, "a", d1, "api"), (i, "b", d2, "api")]), path)
+        load.insert_if_absent(_batch(spark, [(i, "a", d1, "api"), (i, "b", d2, "api")]), path,
+                              order=[F.col("v").asc()])
     schema = spark.read.parquet(path).schema
     before = sorted(tuple(r) for r in spark.read.schema(schema).parquet(path).collect())
     local = path.replace("file:", "")

@@ -93,14 +93,15 @@ def test_insert_if_absent_computes_its_batch_once(spark, sf_dir):
     n = raw.count()
     for days in (None, ["2024-01-01", "2024-01-02", "2024-01-03"]):
         path = scratch_path(spark, "plans-load")
-        load.insert_if_absent(raw, path, days=days)
+        order = load.by_value(raw)
+        load.insert_if_absent(raw, path, order=order, days=days)
         seen = spark.sparkContext.accumulator(0)
 
         def count(rows, seen=seen):
             for b in rows:
                 seen.add(b.num_rows)
                 yield b
-        load.insert_if_absent(raw.mapInArrow(count, raw.schema), path, days=days)
+        load.insert_if_absent(raw.mapInArrow(count, raw.schema), path, order=order, days=days)
         assert seen.value == n
         assert spark.read.parquet(path).count() == n
 
@@ -109,9 +110,35 @@ def test_insert_if_absent_prunes_stored_days(spark, sf_dir):
     path = scratch_path(spark, "plans-load")
     raw = fixtures.raw_tables(spark, sf_dir)["genres"]
     from snaplake.operators import load
-    load.insert_if_absent(raw, path)
+    load.insert_if_absent(raw, path, order=load.by_value(raw))
     stored_days = spark.read.schema(raw.schema).parquet(path).where(
         F.col("snapshot_date").isin([F.lit("2024-01-02").cast("date")]))
     text = plan(raw.join(stored_days.select("id", "snapshot_date", "data_source"),
                          ["id", "snapshot_date", "data_source"], "left_anti"))
     assert re.search(r"PartitionFilters: \[.*snapshot_date.*2024-01-02", text)
+
+
+def test_bucketed_days_need_no_exchange(spark, sf_dir):
+    """Conflict check and staging dedupe read the stored rows as they lie: only the batch is
+    exchanged (to find its first rows, and to be dealt into buckets), and the dedupe has none."""
+    from snaplake import schemas
+    from snaplake.operators import load
+    from snaplake.plans import silver
+    from snaplake.sinks import catalog
+    root = scratch_path(spark, "plans-buckets")
+    db = "plans_" + root.rsplit("-", 1)[-1]
+    catalog.create_layers(spark, root, layers=(db,))
+    table = catalog.register(spark, db, "discover", schemas.DISCOVER, f"{root}/discover",
+                             ["snapshot_date"], buckets=("id", 4))
+    rows = fixtures.raw_tables(spark, sf_dir)["discover"]
+    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    batch = spark.createDataFrame(rows.limit(50).collect(), rows.schema)
+    load.insert_into_buckets(batch, table, days, order=load.by_value(batch))
+    n = spark.table(table).count()
+    load.insert_into_buckets(batch, table, days, order=load.by_value(batch))
+    assert spark.table(table).count() == n == 50
+    text = plan(load.conflict_free(batch, table, days, order=load.by_value(batch)))
+    shape = tree(text)
+    assert shape.count("Exchange") == 2 and "SortMergeJoin" in shape
+    assert shape.rindex("Exchange") < shape.index("Scan parquet")
+    assert "Exchange" not in plan(silver.stg_discover(spark.table(table)))
