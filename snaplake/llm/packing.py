@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import json
 import re
-import struct
 import zlib
 from collections.abc import Iterator
 
@@ -36,8 +35,6 @@ WINDOW = 1024
 END_ID = 0
 #: Combinations of three and four lengths that are tried for each longest length.
 SHALLOW = 8
-#: Words whose ids a task keeps at hand.
-KNOWN_WORDS = 200_000
 _PIECES = ("doc_id string, task int, start long, length int, ids_crc32 long, doc_tokens long, "
            "nth long, ids binary")
 
@@ -72,50 +69,32 @@ def _by_rank(path: str):
     return tiktoken.Encoding("ranks", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-class Encoder(dict):
-    """Texts to little-endian 32-bit ids, word by word.
+class Encoder:
+    """Texts to little-endian 32-bit ids.
 
-    The vocabulary's rule never joins what stands before a single blank to what follows it, so
-    a text in which no two white-space characters meet is the sum of its parts, each with its
-    leading blank.  The dictionary holds the ids of such parts, without their blank, and is
-    emptied when it has ``KNOWN_WORDS``.  Other texts are encoded whole.  A text that holds one
-    of the file's added tokens gets that token's id there, as ``tokenizers`` does by default.
+    A text whose characters are all below ``_PLAIN_BELOW`` is merged by rank; others, and those
+    that hold one of the file's added tokens (which get their own id there), go through
+    ``tokenizers`` itself.
     """
 
-    _adjacent = re.compile(r"\s\s|\s\Z")
+    _other = re.compile(f"[{_PLAIN_BELOW}-\U0010ffff]")
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
-        added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._ranks = _by_rank(path)
 
-    def whole(self, text: str) -> bytes:
-        if self._ranks is not None and max(text, default="") < _PLAIN_BELOW \
-                and not self._added.search(text):
-            ids = self._ranks.encode_ordinary(text)
+    def ids(self, text: str) -> bytes:
+        if self._ranks is not None and (text.isascii() or not self._other.search(text)) \
+                and not any(t in text for t in self._added):
+            found = self._ranks.encode_ordinary(text)
         else:
-            ids = self._tokenizer.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.whole(" " + word)
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        self[word] = ids
-        return ids
+            found = self._tokenizer.encode(text, add_special_tokens=False).ids
+        return np.array(found, "<u4").tobytes()
 
     def batch(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for t in texts:
-            if self._adjacent.search(t) or self._added.search(t):
-                out.append(self.whole(t))
-            else:
-                first, *words = t.split(" ")
-                out.append(self.whole(first) + b"".join(map(self.__getitem__, words)))
-        return out
+        return [self.ids(t) for t in texts]
 
 
 _ENCODERS: dict[str, Encoder] = {}
