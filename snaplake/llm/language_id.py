@@ -9,7 +9,7 @@ likeliest single language; the next by proportion joins while its gain in log-li
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; so is every text
 if nothing can be learned; equal proportions go to the first language by name; texts of any
-length are used whole, long ones as counts per bin.
+length are used whole, as counts per bin.
 """
 
 from __future__ import annotations
@@ -34,16 +34,21 @@ LEAST_SHARE = 0.4
 _PORTION = 1 << 20
 
 
-def grams(text: str) -> np.ndarray:
-    """Bins of the text's byte trigrams (a blank at either end)."""
-    raw = np.frombuffer(b" " + text.lower().encode("utf-8", "replace") + b" ", np.uint8)
+def grams(raw: np.ndarray) -> np.ndarray:
+    """Bins of the byte trigrams."""
     a = raw.astype(np.uint32)
     code = (a[:-2] << 16) | (a[1:-1] << 8) | a[2:]
     return ((code * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.int32)
 
 
-def _portions(text: str) -> Iterator[str]:
-    return (text[i:i + _PORTION] for i in range(0, len(text), _PORTION))
+def counted(text: str) -> np.ndarray:
+    """How often each bin is in the text (a blank at either end).  Long texts are counted in
+    portions that share two bytes, so every trigram counts once."""
+    raw = np.frombuffer(b" " + text.lower().encode("utf-8", "replace") + b" ", np.uint8)
+    total = np.zeros(BINS, np.int64)
+    for at in range(0, len(raw) - 2, _PORTION):
+        total += np.bincount(grams(raw[at:at + _PORTION + 2]), minlength=BINS)
+    return total
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -51,8 +56,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         for lang, text in zip(b["lang"], b["text"]):
             total = seen.setdefault(lang, np.zeros(BINS, np.int64))
-            for part in _portions(text):
-                total += np.bincount(grams(part), minlength=BINS)
+            total += counted(text)
     for lang, total in seen.items():
         at = np.flatnonzero(total)
         yield pd.DataFrame({"lang": lang, "bin": at, "n": total[at]})
@@ -73,24 +77,18 @@ class Model:
         """Proportions of the chosen languages; empty if there is no letter or no model."""
         if not self.languages or not text or not any(map(str.isalpha, text)):
             return {}
-        if len(text) <= _PORTION // 16:
-            bins, weight = grams(text), None
-        else:
-            count = sum(np.bincount(grams(x), minlength=BINS) for x in _portions(text))
-            bins = np.flatnonzero(count)
-            weight = count[bins].astype(np.float32)
-        p = self.chance[bins]
-        n = float(len(bins) if weight is None else weight.sum())
+        count = counted(text)
+        bins = np.flatnonzero(count)
+        weight = count[bins].astype(np.float32)
+        p, n = self.chance[bins], float(count.sum())
 
         def loglik(x: np.ndarray) -> float:
-            logs = np.log(x)
-            return float(logs.sum(dtype=np.float64) if weight is None else logs @ weight)
+            return float(np.log(x) @ weight)
 
         def fit(q: np.ndarray, rounds: int) -> np.ndarray:
             share = np.full(q.shape[1], 1.0 / q.shape[1], np.float32)
             for _ in range(rounds):
-                r = 1.0 / (q @ share) if weight is None else weight / (q @ share)
-                share = share * (q.T @ r) / n
+                share = share * (q.T @ (weight / (q @ share))) / n
             return share
 
         order = np.argsort(-fit(p, ROUNDS), kind="stable")

@@ -1,3 +1,5 @@
+import math
+
 from snaplake.llm import language_id
 from snaplake.llm.common import fold_of
 from snaplake.llm.queries import op8_language_id
@@ -62,3 +64,59 @@ def test_lang_source_and_id_are_no_inputs(spark):
     df = some(spark, [])
     model = language_id.learn(df, df["doc_id"] >= 0)
     assert model.predict(EN) == model.predict(EN) and model.predict(DE)[0] == "de"
+
+
+def plain(texts, langs, text):
+    """The mixture by its definition: every trigram on its own, plain floats, EM round by round."""
+    def trigrams(t):
+        raw = b" " + t.lower().encode() + b" "
+        return [raw[i:i + 3] for i in range(len(raw) - 2)]
+
+    bin_of = lambda g: ((int.from_bytes(g, "big") * 0x9E3779B1) & 0xFFFFFFFF) >> 16
+    names, counts = sorted(set(langs)), {}
+    for lang in names:
+        counts[lang] = c = [language_id.SMOOTHING] * language_id.BINS
+        for t, x in zip(texts, langs):
+            if x == lang:
+                for g in trigrams(t):
+                    c[bin_of(g)] += 1
+    total = {x: sum(c) for x, c in counts.items()}
+    p = [[counts[x][bin_of(g)] / total[x] for x in names] for g in trigrams(text)]
+
+    def em(some):
+        share = [1 / len(some)] * len(some)
+        for _ in range(language_id.ROUNDS):
+            new = [0.0] * len(some)
+            for row in p:
+                mix = sum(s * row[k] for s, k in zip(share, some))
+                for i, k in enumerate(some):
+                    new[i] += share[i] * row[k] / mix / len(p)
+            share = new
+        return share
+
+    order = sorted(range(len(names)), key=lambda k, s=em(range(len(names))): -s[k])
+    chosen, share, best = order[:1], [1.0], sum(math.log(row[order[0]]) for row in p)
+    for size in range(2, len(order) + 1):
+        more = em(order[:size])
+        got = sum(math.log(sum(s * row[k] for s, k in zip(more, order[:size]))) for row in p)
+        if got - best <= language_id.PENALTY * math.log(len(p)):
+            break
+        chosen, share, best = order[:size], more, got
+    return {names[k]: s / sum(share) for k, s in zip(chosen, share)}
+
+
+def test_against_plain_expectation_maximisation(spark):
+    df = some(spark, [])
+    rows = df.select("text", "lang").collect()
+    model = language_id.learn(df, df["doc_id"] >= 0)
+    for text in (EN, EN * 4 + DE * 9, FR + DE + EN, "é", EN * 30 + FR * 3):
+        want = plain([r.text for r in rows], [r.lang for r in rows], text)
+        got = model.mixture(text)
+        assert set(got) == set(want) and all(abs(got[x] - want[x]) < 1e-3 for x in got), (got, want)
+
+
+def test_portions_of_long_texts_count_every_trigram_once(monkeypatch):
+    text = (EN + "été 日本 ") * 40
+    whole = language_id.counted(text)
+    monkeypatch.setattr(language_id, "_PORTION", 17)
+    assert (language_id.counted(text) == whole).all() and whole.sum() == len(text.encode())
