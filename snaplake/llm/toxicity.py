@@ -1,20 +1,27 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-Five small transducers turn words into weighted symbols: insult, threat, target, negation and
-reported speech.  Their composition is one machine that walks over a clause: a target before or
-after an insult or threat raises it, a negation damps what follows within ``NEGATED`` words, and
-after a reporting verb or an opening quotation mark the rest of the clause counts as reported.
-A threat counts only together with a target.  A clause scores the sum of its weighted symbols; a
+Words are read as classes (insult, threat, target, negation, report, other).  Five transducers, each
+a table (state, class) -> (state, mark), read them side by side: insults mark themselves and the
+first target behind them; threats mark themselves once a target was seen, else the target that they
+waited for; the target transducer marks what a target stands before, the negation transducer the
+``NEGATED`` words behind a negation, and the reported-speech transducer what follows a reporting
+verb or an opening quotation mark.  ``compose`` multiplies them out into one machine whose arcs carry
+the marks together: an arc with a core mark (insult, threat, aimed) is an event, like a negated
+insult after a target.  A clause weighs the sum of its events, each with its own weight; a
 document's features are its worst clause, the sum over clauses and the number of clauses hit,
 which a logistic function turns into a score between 0 and 1.
 
-Insults are a short fixed list, and words and word beginnings learned from labelled rows: those
-that stand out in toxic ones by a likelihood-ratio test (``LEAST_G2``) and are seldom elsewhere;
-their weights are log odds.  The learning rows are a documented sample: about ``SAMPLE`` labelled
-rows that aren't held out.  Every document is scored from its whole text.
+The events' weights start from ``PRIOR`` factors and are fitted to the learning rows by a logistic
+regression drawn to them; so are the coefficients of the features.  Insults are a short fixed list,
+and words and word beginnings learned from the learning rows: those that stand out in toxic ones by
+more than chance allows -- of all features in as many documents, at most ``FALSE_MARKS`` should
+pass by chance -- and are seldom elsewhere; an insult's amount is its log odds.  The learning rows
+are a documented sample: about ``SAMPLE`` labelled rows that aren't held out.  Every document is
+scored from its whole text.
 
 Defined cases: null texts are empty; texts without a hit get the logistic function's value at
-zero; without learning rows, or with one label only, fixed coefficients and the fixed list serve.
+zero; learning texts without a word teach nothing; without learning rows, or with one label only,
+the prior weights, fixed coefficients and the fixed list serve.
 """
 
 from __future__ import annotations
@@ -36,8 +43,9 @@ FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 SAMPLE = 20_000
 SEED = 1
-#: A learned entry: in so many toxic documents at least, this likelihood ratio, this precision.
-LEAST_DOCS, LEAST_G2, LEAST_PRECISION = 3, 20.0, 0.95
+#: A learned entry: in so many toxic documents at least, with this precision, and so many of its
+#: kind may pass by chance.
+LEAST_DOCS, LEAST_PRECISION, FALSE_MARKS = 3, 0.95, 0.5
 BEGINNINGS = (4, 5, 6, 7, 8)
 NEGATED = 3
 #: Features that a task hands on at once.
@@ -55,6 +63,10 @@ REPORTING = ("said says say told wrote writes called claimed reported quoted acc
              "sagte schrieb meinte dit écrit appelé dijo escribió llamó").split()
 INSULT_WEIGHT, THREAT_WEIGHT = 4.0, 4.0
 TARGETED, DAMPED, REPORTED = 1.5, 0.4, 0.6
+#: Factors of the marks, from which the events' weights start.
+PRIOR = {"targeted": TARGETED, "negated": DAMPED, "reported": REPORTED}
+#: What a core mark counts; an insult counts its own weight.
+AMOUNT = {"threat": THREAT_WEIGHT, "aimed": INSULT_WEIGHT * (TARGETED - 1)}
 #: score = logistic(bias + sum of coefficient * feature), where nothing can be learned.
 COEFFICIENTS = (-3.0, 0.6, 0.1, 0.1)
 
@@ -69,8 +81,80 @@ def features_of(text: str) -> set[str]:
                                        if len(w) > k}
 
 
+CLASSES = ("other", "insult", "threat", "target", "negation", "report")
+
+
+class Transducer:
+    """(state, class) -> (state, mark or None).  Classes that a state doesn't name lead back to it
+    without a mark; state 0 is the first."""
+
+    def __init__(self, arcs: dict[tuple[int, str], tuple[int, str | None]]):
+        self.states = 1 + max(s for s, _ in arcs)
+        self.table = [[arcs.get((s, c), (s, None)) for c in CLASSES] for s in range(self.states)]
+
+    def run(self, classes: list[int]) -> list[str | None]:
+        state, out = 0, []
+        for c in classes:
+            state, mark = self.table[state][c]
+            out.append(mark)
+        return out
+
+
+def _everywhere(state: int, to: int, mark: str | None, but: dict | None = None) -> dict:
+    return {(state, c): (to, mark) for c in CLASSES} | {(state, c): v for c, v in (but or {}).items()}
+
+
+INSULT = Transducer({(0, "insult"): (1, "insult"), (1, "insult"): (1, "insult"),
+                     (0, "target"): (2, None), (1, "target"): (2, "aimed"),
+                     (2, "insult"): (2, "insult")})
+THREAT = Transducer({(0, "threat"): (1, None), (0, "target"): (2, None),
+                     (1, "target"): (2, "threat"), (2, "threat"): (2, "threat")})
+TARGET = Transducer({(0, "target"): (1, None), **_everywhere(1, 1, "targeted")})
+NEGATION = Transducer({(0, "negation"): (NEGATED, None), **{
+    k: v for n in range(1, NEGATED + 1)
+    for k, v in _everywhere(n, n - 1, "negated", {"negation": (NEGATED, "negated")}).items()}})
+REPORT = Transducer({(0, "report"): (1, None), **_everywhere(1, 1, "reported")})
+#: The first two give an event its core; a "threat" or "aimed" is targeted by itself.
+CORES, OTHERS = (INSULT, THREAT), (TARGET, NEGATION, REPORT)
+
+
+def event(marks: list[str | None]) -> tuple[str, ...] | None:
+    """The marks of the five transducers on one word -> the event, if a core mark is among them."""
+    core = marks[1] or marks[0]
+    if core is None:
+        return None
+    return (core, *(m for m in marks[2:] if m and not (core != "insult" and m == "targeted")))
+
+
+def compose(machines: tuple[Transducer, ...] = (*CORES, *OTHERS)
+            ) -> tuple[list[list[tuple[int, int]]], list[tuple[str, ...]]]:
+    """The product of the machines, of the states that can be reached: table[state][class] ->
+    (state, number of the event or -1), and the events."""
+    number, queue, table, events = {(0,) * len(machines): 0}, [(0,) * len(machines)], [], {}
+    for states in queue:  # grows as states are found
+        row = []
+        for c in range(len(CLASSES)):
+            arcs = [m.table[s][c] for m, s in zip(machines, states)]
+            to = tuple(s for s, _ in arcs)
+            if to not in number:
+                number[to] = len(number)
+                queue.append(to)
+            e = event([mark for _, mark in arcs])
+            row.append((number[to], -1 if e is None else events.setdefault(e, len(events))))
+        table.append(row)
+    return table, list(events)
+
+
+MACHINE, EVENTS = compose()
+_CLASS = {c: i for i, c in enumerate(CLASSES)}
+
+
+def prior(e: tuple[str, ...]) -> float:
+    return float(np.prod([PRIOR.get(m, 1.0) for m in e]))
+
+
 class Grammar:
-    """The composed transducers with their weights."""
+    """The composed machine with its lexicon and weights."""
 
     def __init__(self, words: dict[str, float] | None = None,
                  beginnings: dict[str, float] | None = None,
@@ -78,44 +162,35 @@ class Grammar:
         self.insults = dict.fromkeys(INSULTS, INSULT_WEIGHT) | (words or {})
         self.beginnings = beginnings or {}
         self.coefficients = coefficients
-        self._fixed = {w: s for s, ws in (("threat", THREATS), ("target", TARGETS),
-                                          ("negation", NEGATIONS), ("reported", REPORTING))
-                       for w in ws} | dict.fromkeys("\"“„«", "reported")
+        self.weights = [prior(e) for e in EVENTS]
+        self._amounts = [AMOUNT.get(e[0]) for e in EVENTS]
+        self._fixed = {w: _CLASS[s] for s, ws in (("threat", THREATS), ("target", TARGETS),
+                                                  ("negation", NEGATIONS), ("report", REPORTING))
+                       for w in ws} | dict.fromkeys("\"“„«", _CLASS["report"])
         self._finder = None
 
     def __getstate__(self):
         return self.__dict__ | {"_finder": None}
 
-    def symbol(self, word: str) -> tuple[str | None, float]:
+    def read(self, word: str) -> tuple[int, float]:
+        """Class of a word, and an insult's weight."""
         weight = self.insults.get(word, 0.0)
         for k in BEGINNINGS:
             weight = max(weight, self.beginnings.get(word[:k], 0.0))
-        return ("insult", weight) if weight else (self._fixed.get(word), 0.0)
+        return (_CLASS["insult"], weight) if weight else (self._fixed.get(word, 0), 0.0)
 
-    def clause(self, words: list[str]) -> float:
-        """Weight of a clause's path through the machine.  State: words that a negation still
-        covers, whether speech is reported, whether a target was seen, threats that wait for
-        one."""
-        negated, reported, target, waiting, total = 0, 1.0, False, 0.0, 0.0
+    def events(self, words: list[str]) -> dict[int, float]:
+        """Amounts of the events on a clause's path through the machine."""
+        state, out = 0, {}
         for word in words:
-            kind, weight = self.symbol(word)
-            factor = reported * (DAMPED if negated else 1.0)
-            if kind == "insult":
-                total += weight * factor * (TARGETED if target else 1.0)
-            elif kind == "threat":
-                if target:
-                    total += THREAT_WEIGHT * factor
-                else:
-                    waiting += THREAT_WEIGHT * factor
-            elif kind == "target":
-                if not target:
-                    total = total * TARGETED + waiting
-                    waiting = 0.0
-                target = True
-            elif kind == "reported":
-                reported = REPORTED
-            negated = NEGATED if kind == "negation" else max(0, negated - 1)
-        return total
+            c, weight = self.read(word)
+            state, e = MACHINE[state][c]
+            if e >= 0:
+                out[e] = out.get(e, 0.0) + (self._amounts[e] or weight)
+        return out
+
+    def clause(self, words: list[str]) -> float:
+        return sum(self.weights[e] * x for e, x in self.events(words).items())
 
     def _starts(self):
         """Finds where a word may be an insult or a threat, without a look at other words."""
@@ -127,39 +202,51 @@ class Grammar:
             self._finder = finder
         return self._finder
 
-    def features(self, text: str | None) -> tuple[float, float, float]:
-        """Worst clause, sum over clauses (as a logarithm), clauses hit (likewise)."""
+    def clauses(self, text: str | None) -> Iterator[list[str]]:
+        """The words of the clauses that may have an event."""
         low = (text or "").lower()
         at = [end - n + 1 for end, n in self._starts().iter(low)]
         at = sorted({i for i in at if i == 0 or not low[i - 1].isalnum()})
-        scores, start, k = [], 0, 0
+        start, k = 0, 0
         if at:
             for end in [m.start() for m in _CLAUSE.finditer(low)] + [len(low)]:
                 if k < len(at) and at[k] < end:
-                    scores.append(self.clause(_WORD.findall(low[start:end])))
+                    yield _WORD.findall(low[start:end])
                     while k < len(at) and at[k] < end:
                         k += 1
                 start = end
-        scores = [s for s in scores if s > 0]
+
+    def features(self, text: str | None) -> tuple[float, float, float]:
+        """Worst clause, sum over clauses (as a logarithm), clauses hit (likewise)."""
+        scores = [s for s in map(self.clause, self.clauses(text)) if s > 0]
         return (max(scores, default=0.0), float(np.log1p(sum(scores))),
                 float(np.log1p(len(scores))))
 
+    def amounts(self, text: str | None) -> list[float]:
+        """Each event's amount in the text (as a logarithm)."""
+        out = np.zeros(len(EVENTS))
+        for words in self.clauses(text):
+            for e, x in self.events(words).items():
+                out[e] += x
+        return np.log1p(out).tolist()
+
     def scores(self, features: np.ndarray) -> np.ndarray:
         bias, *w = self.coefficients
         return 1 / (1 + np.exp(-np.clip(bias + features @ np.array(w), -40, 40)))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
-    """Coefficients (bias first) by Newton steps with a small ridge."""
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05,
+              around: np.ndarray | None = None) -> np.ndarray:
+    """Coefficients (bias first) by Newton steps, drawn to those of ``around`` by a ridge."""
     z = np.c_[np.ones(len(x)), x]
-    w = np.zeros(z.shape[1])
-    ridge = np.diag([1e-3] + [0.05] * x.shape[1])
+    start = np.zeros(z.shape[1]) if around is None else np.r_[0.0, around]
+    w, pull = start.copy(), np.diag([1e-3] + [ridge] * x.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        grad = z.T @ (p - y) + ridge @ w
-        hess = (z * (p * (1 - p))[:, None]).T @ z + ridge
+        grad = z.T @ (p - y) + pull @ (w - start)
+        hess = (z * (p * (1 - p))[:, None]).T @ z + pull
         w = w - np.clip(np.linalg.solve(hess, grad), -4, 4)
-    return tuple(float(v) for v in w)
+    return w
 
 
 def _counted(rows: DataFrame) -> DataFrame:
@@ -179,22 +266,26 @@ def _counted(rows: DataFrame) -> DataFrame:
         .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _entropy(k: Column, n: Column) -> Column:
-    """n times the binary entropy of k of n, in nats."""
-    def part(x: Column) -> Column:
-        return F.when(x > 0, x * F.log(x / n)).otherwise(0.0)
-    return -(part(k) + part(n - k))
+def _information(k: Column, n: Column, share: Column) -> Column:
+    """n times the divergence (nats) of k of n from ``share``: chance gives k or more with a
+    probability of exp of minus this at most."""
+    def part(x: Column, expected: Column) -> Column:
+        return F.when(x > 0, x * F.log(x / expected)).otherwise(0.0)
+    return part(k, n * share) + part(n - k, n * (1 - share))
 
 
 def lexicon(counts: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
     """(feature, weight) of the words and beginnings that mark toxic documents; the weight is
     their log odds."""
     a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
-    seen, toxic, every = a + b, F.lit(float(n_toxic)), F.lit(float(n_toxic + n_clean))
-    g2 = 2 * (_entropy(toxic, every) - _entropy(a, seen) - _entropy(toxic - a, every - seen))
+    seen, share = a + b, F.lit(n_toxic / (n_toxic + n_clean))
     odds = F.log((a + 0.5) / (n_toxic + 1)) - F.log((b + 0.5) / (n_clean + 1))
-    return counts.filter((a >= LEAST_DOCS) & (g2 >= LEAST_G2) & (a >= LEAST_PRECISION * seen)
-                         & (odds > 0)).select("feature", odds.alias("weight"))
+    alike = counts.groupBy((F.col("toxic") + F.col("clean")).alias("of")) \
+        .agg(F.count("*").alias("tests"))
+    good = counts.filter((a >= LEAST_DOCS) & (a >= LEAST_PRECISION * seen) & (odds > 0)) \
+        .join(alike, F.col("toxic") + F.col("clean") == F.col("of"))
+    return good.filter(F.log("tests") - _information(a, seen, share) <= float(np.log(FALSE_MARKS))) \
+        .select("feature", odds.alias("weight"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
@@ -207,14 +298,20 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Grammar:
                          for kind in "wb")
     grammar = Grammar(words, beginnings)
 
-    def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame([(y, *grammar.features(t)) for y, t in zip(b["y"], b["text"])],
-                               columns=["y", "worst", "total", "hits"])
-
-    got = rows.mapInPandas(measured, "y int, worst double, total double, hits double").collect()
-    x = np.array(sorted(tuple(r) for r in got))
-    grammar.coefficients = _logistic(x[:, 1:], x[:, 0])
+    def measured(of, names: list[str]) -> np.ndarray:
+        """y and what ``of`` makes of a text, of every learning row, in an order of its own."""
+        def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                got = [(float(y), *of(t)) for y, t in zip(b["y"], b["text"])]
+                yield pd.DataFrame(got, columns=["y", *names])
+        columns = ", ".join(f"{n} double" for n in ["y", *names])
+        return np.array(sorted(tuple(r) for r in rows.mapInPandas(rows_of, columns).collect()))
+
+    x = measured(grammar.amounts, [f"e{i}" for i in range(len(EVENTS))])
+    fitted = _logistic(x[:, 1:], x[:, 0], 1.0, np.array(grammar.weights))[1:]
+    grammar.weights = np.maximum(fitted, 0.0).tolist()
+    x = measured(grammar.features, ["worst", "total", "hits"])
+    grammar.coefficients = tuple(float(v) for v in _logistic(x[:, 1:], x[:, 0]))
     return grammar
 
 
