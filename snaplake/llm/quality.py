@@ -1,19 +1,20 @@
 """Quality classifier: random-indexing word vectors pooled per document, then a two-layer
 network with temperature-calibrated probabilities.
 
-A token's type is its lower-cased form if ``LEAST_DOCS`` documents have it, else its shape (runs
-of capitals, small letters and digits as ``A a 9``, other characters as they are, each run once);
-a token equal to the one before it has the type ``=``.  Each type has a sparse random index
-vector; its word vector adds up the index vectors of its neighbours over all documents, labelled
-or not, plus its own.
-A document is the mean of its tokens' vectors and its log length.  The network learns on most of
-the learning rows; one temperature, fitted on the others, makes its outputs probabilities.
+A token's type is its lower-cased form if it is a plain word (small letters, maybe a capital first,
+maybe punctuation last), else its shape (runs of capitals, small letters and digits as ``A a 9``,
+other characters as they are, each run once); a token equal to the one before it has the type
+``=``.  Types are hashed to ``ROWS`` rows, so no type is left out and the table has a fixed size;
+types that share a row share its vectors.  Each row has a sparse random index vector; its word
+vector adds up the index vectors of its tokens' neighbours over all documents, labelled or not,
+plus its own.  A document is the mean of its tokens' vectors and its log length.  The network learns
+on most of the learning rows; one temperature, fitted on the others, makes its outputs
+probabilities.
 
 The network's learning rows are a documented sample: about ``SAMPLE`` labelled rows that aren't
-held out.  Types are counted, and their vectors added up, over the whole text of every document,
-and every document is scored from its whole text.  Every type has a vector of its own, so driver
-and workers hold the vocabulary: a 64-bit digest, ``NONZERO`` places and ``DIM`` half-precision
-numbers for each type (144 bytes), and while the vectors are added up 4 * ``DIM`` bytes more.
+held out.  Vectors are added up over the whole text of every document, and every document is scored
+from its whole text.  What the driver collects, broadcasts and every worker holds is bounded:
+``ROWS * DIM`` numbers (8 MB in half precision, 16 MB while they are added up).
 
 Defined cases: null texts are empty; an empty text is scored from the zero vector; without
 learning rows, or with one label only, every score is the smoothed share of label 1.
@@ -21,10 +22,11 @@ learning rows, or with one label only, every score is the smoothed share of labe
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import zlib
-from collections import Counter
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -41,15 +43,16 @@ SEED = 10
 DIM = 64
 NONZERO = 8
 REACH = 2
-#: Documents that a form or shape must be in to get a vector of its own.
-LEAST_DOCS = 5
+#: Rows that the types are hashed to: a row's number is 16 bits.
+ROWS = 1 << 16
 HIDDEN = 24
 STEPS = 400
-#: Types whose sums travel as one row, tokens whose pairs are added up at once, and types that a
-#: task counts before it hands its counts on.
-SLICE, TOKENS, COUNTED = 1024, 1 << 16, 500_000
-AGAIN, OTHER = "=", "?"
+#: Rows whose sums travel together, tokens whose neighbours are added up at once, and the lists
+#: into which the tasks' sums of a slice are dealt before they meet.
+SLICE, TOKENS, DEALT = 1024, 1 << 16, 32
 KNOWN_WORDS = 200_000
+#: What may follow a plain word.
+_MARKS = ".,;:!?)\"'\u201d\u00bb\u2019"
 
 
 def shape(word: str) -> str:
@@ -59,211 +62,158 @@ def shape(word: str) -> str:
         if c != last:
             out.append(c)
             last = c
-    return "".join(out[:16])
+    return "".join(out)
 
 
-def digest(name: str) -> int:
-    """64 bits that stand for a type's name."""
-    return int.from_bytes(hashlib.blake2b(name.encode("utf-8", "surrogatepass"),
-                                          digest_size=8).digest(), "little", signed=True)
-
+def type_of(word: str) -> str:
+    bare = word.rstrip(_MARKS)
+    plain = bare.isalpha() and len(word) - len(bare) < 3 and bare[1:] == bare[1:].lower()
+    return "w" + word.lower() if plain else "s" + shape(word)
 
-class Vocabulary:
-    """Names of types -> their numbers: the places of their digests among all, sorted."""
 
-    def __init__(self, digests: np.ndarray):
-        self.digests = digests
-
-    def __len__(self) -> int:
-        return len(self.digests)
+def row_of(name: str) -> int:
+    return int.from_bytes(hashlib.blake2b(name.encode("utf-8", "surrogatepass"),
+                                          digest_size=8).digest(), "little") % ROWS
 
-    def get(self, name: str, default: int | None = None) -> int | None:
-        d = digest(name)
-        at = int(self.digests.searchsorted(np.int64(d)))
-        return at if at < len(self.digests) and self.digests[at] == d else default
 
-    def __getitem__(self, name: str) -> int:
-        at = self.get(name)
-        if at is None:
-            raise KeyError(name)
-        return at
+AGAIN = row_of("=")
 
 
 class Types(dict):
-    """Token -> number of its type, remembered for up to ``KNOWN_WORDS`` tokens."""
-
-    def __init__(self, numbers: dict[str, int] | Vocabulary):
-        super().__init__()
-        self.numbers = numbers
+    """Token -> row of its type, remembered for up to ``KNOWN_WORDS`` tokens."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > KNOWN_WORDS:
+        if len(self) >= KNOWN_WORDS:
             self.clear()
-        n = self.numbers
-        form = n.get("w" + word.lower())
-        got = n.get("s" + shape(word), n[OTHER]) if form is None else form
-        self[word] = got
+        got = self[word] = row_of(type_of(word))
         return got
 
     def of(self, text: str | None) -> np.ndarray:
         words = (text or "").split()
-        ids = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        again = np.fromiter(map(str.__eq__, words[1:], words), bool, max(0, len(words) - 1))
-        ids[1:][again] = self.numbers[AGAIN]
-        return ids
+        rows = np.fromiter(map(self.__getitem__, words), np.uint16, len(words))
+        if len(words) > 1:
+            rows[1:][np.fromiter(map(eq, words[1:], words), bool, len(words) - 1)] = AGAIN
+        return rows
 
 
-def index_places(digests: np.ndarray) -> np.ndarray:
-    """Sparse random index vectors, drawn from the types' digests: the places of their 1.0 and
-    -1.0 by turns."""
-    x = digests.astype(np.uint64)[:, None] + np.arange(1, DIM + 1, dtype=np.uint64) \
-        * np.uint64(0x9E3779B97F4A7C15)
+@functools.cache
+def index_vectors() -> np.ndarray:
+    """The rows' sparse random index vectors: ``NONZERO`` places with 1 and -1 by turns."""
+    x = np.arange(1, ROWS + 1, dtype=np.uint64)[:, None] * np.uint64(0xD1342543DE82EF95) \
+        + np.arange(1, DIM + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
         x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
     x ^= x >> np.uint64(31)
-    return np.argsort(x, axis=1)[:, :NONZERO].astype(np.uint8)
-
-
-class _Digests(dict):
-    """Word -> digest of a type that ``name`` makes of it, remembered for ``KNOWN_WORDS``."""
-
-    def __init__(self, name):
-        super().__init__()
-        self.name = name
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        got = self[word] = digest(self.name(word))
-        return got
-
-
-def _type_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(digest of a type, documents that have it), in parts."""
-    form, kind = _Digests(lambda w: "w" + w.lower()), _Digests(lambda w: "s" + shape(w))
-    seen: Counter[int] = Counter()
-
-    def handed_on() -> pd.DataFrame:
-        n = len(seen)
-        return pd.DataFrame({"type": np.fromiter(seen.keys(), np.int64, n),
-                             "n": np.fromiter(seen.values(), np.int64, n)})
-
+    places = np.argsort(x, axis=1)[:, :NONZERO]
+    out = np.zeros((ROWS, DIM), np.int8)
+    np.put_along_axis(out, places[:, ::2], 1, axis=1)
+    np.put_along_axis(out, places[:, 1::2], -1, axis=1)
+    return out
+
+
+def _add_neighbours(total: np.ndarray, parts: list[tuple[np.ndarray, int, int]]) -> None:
+    """``parts``: (rows, first, last) of stretches of texts.  For the tokens first to last (not
+    included) of each, adds the index vectors of their neighbours to their rows of ``total``."""
+    index, gap = index_vectors(), np.zeros((REACH, DIM), np.int8)
+    vectors = np.concatenate([x for rows, _, _ in parts for x in (index[rows], gap)])
+    context = np.zeros_like(vectors)
+    for d in range(1, REACH + 1):
+        context[:-d] += vectors[d:]
+        context[d:] += vectors[:-d]
+    starts = np.cumsum([0] + [len(rows) + REACH for rows, _, _ in parts])
+    at = np.concatenate([np.arange(s + first, s + last)
+                         for s, (_, first, last) in zip(starts, parts)])
+    rows = np.concatenate([rows[first:last] for rows, first, last in parts])
+    order = np.argsort(rows, kind="stable")
+    rows = rows[order]
+    runs = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+    total[rows[runs]] += np.add.reduceat(context[at[order]], runs, axis=0, dtype=np.int32)
+
+
+def _sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A task's sums, by slices of the rows."""
+    from pyspark import TaskContext
+    types, total = Types(), np.zeros((ROWS, DIM), np.int32)
+    held, n = [], 0
     for b in batches:
         for text in b["text"]:
-            words = set((text or "").split())
-            seen.update(set(map(form.__getitem__, words)))
-            seen.update(set(map(kind.__getitem__, words)))
-            if len(seen) > COUNTED:
-                yield handed_on()
-                seen.clear()
-    yield handed_on()
+            rows = types.of(text)
+            for at in range(0, len(rows), TOKENS):
+                # With the neighbours of its ends: a long text is added up stretch by stretch.
+                low, end = max(0, at - REACH), min(len(rows), at + TOKENS)
+                held.append((rows[low:end + REACH], at - low, end - low))
+                n += end - at
+                if n >= TOKENS:
+                    _add_neighbours(total, held)
+                    held, n = [], 0
+    if held:
+        _add_neighbours(total, held)
+    dealt = TaskContext.get().partitionId() % DEALT
+    for at in range(0, ROWS, SLICE):
+        part = total[at:at + SLICE]
+        if part.any():
+            yield pd.DataFrame({"slice": [at // SLICE], "dealt": [dealt],
+                                "sums": [zlib.compress(part.tobytes(), 1)]})
 
 
-def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _merged(batches: Iterator[pd.DataFrame], word: str) -> Iterator[pd.DataFrame]:
+    """Sums of equal (slice, dealt), which follow each other, added up: one is held at a time."""
+    key, total = None, None
+
+    def row() -> pd.DataFrame:
+        return pd.DataFrame({"slice": [key[0]], "dealt": [key[1]],
+                             "sums": [zlib.compress(total.tobytes(), 1)]})
+
     for b in batches:
-        digests = b["type"].to_numpy(np.int64)
-        yield pd.DataFrame({"types": [digests.tobytes()],
-                            "places": [index_places(digests).tobytes()]})
-
-
-def vocabulary(docs: DataFrame) -> tuple[Vocabulary, np.ndarray]:
-    """The types of all documents and the places of their index vectors."""
-    counts = docs.select("text").mapInPandas(_type_counts, "type long, n long") \
-        .groupBy("type").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_DOCS)
-    got = counts.select("type").mapInPandas(_joined, "types binary, places binary").collect()
-    fixed = np.array([digest(AGAIN), digest(OTHER)], np.int64)
-    digests = np.concatenate([fixed, *(np.frombuffer(r["types"], np.int64) for r in got)])
-    places = np.concatenate([index_places(fixed), *(
-        np.frombuffer(r["places"], np.uint8).reshape(-1, NONZERO) for r in got)])
-    order = np.argsort(digests)
-    return Vocabulary(digests[order]), places[order]
-
-
-def word_vectors(docs: DataFrame, numbers: Vocabulary, places: np.ndarray) -> np.ndarray:
-    """Random indexing over all documents: each task (one for each core: it hands on a sum for
-    every type) adds up its part, whole numbers that are then added up by slices of the types."""
-    size = len(numbers)
-    context = docs.sparkSession.sparkContext
-    shared = context.broadcast((numbers, places))
-
-    def add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        numbers, places = shared.value
-        types, total = Types(numbers), np.zeros(size * DIM, np.int32)
-
-        def add(ids: np.ndarray) -> None:
-            """``ids``: texts with ``REACH`` times -1 between them."""
-            for d in range(1, REACH + 1):
-                left, right = ids[:-d], ids[d:]
-                both = (left >= 0) & (right >= 0)
-                left, right = left[both], right[both]
-                for to, of in ((left, right), (right, left)):
-                    for k in range(0, len(to), TOKENS):
-                        at = (to[k:k + TOKENS] * DIM)[:, None] + places[of[k:k + TOKENS]]
-                        np.add.at(total, at[:, ::2].ravel(), np.int32(1))
-                        np.subtract.at(total, at[:, 1::2].ravel(), np.int32(1))
-
-        gap, held, n = np.full(REACH, -1), [], 0
-        for b in batches:
-            for text in b["text"]:
-                ids = types.of(text)
-                held += [ids, gap]
-                n += len(ids)
-                if n >= TOKENS:
-                    add(np.concatenate(held))
-                    held, n = [], 0
-        if held:
-            add(np.concatenate(held))
-        for at in range(0, size, SLICE):
-            part = total[at * DIM:(at + SLICE) * DIM]
-            if part.any():
-                yield pd.DataFrame({"slice": [at // SLICE],
-                                    "sums": [zlib.compress(part.tobytes(), 1)]})
-
-    def together(part: pd.DataFrame) -> pd.DataFrame:
-        total = 0
-        for sums in part["sums"]:
-            total = total + np.frombuffer(zlib.decompress(sums), np.int32).astype(np.int64)
-        context = total.reshape(-1, DIM).astype(np.float64)
-        length = np.linalg.norm(context, axis=1, keepdims=True)
-        return pd.DataFrame({"slice": part["slice"][:1], "vectors": [
-            (context / np.maximum(length, 1e-9)).astype(np.float16).tobytes()]})
-
-    slices = docs.select("text").coalesce(context.defaultParallelism) \
-        .mapInPandas(add_up, "slice int, sums binary") \
-        .groupBy("slice").applyInPandas(together, "slice int, vectors binary")
-    vectors = np.zeros((size, DIM), np.float16)
-    for r in slices.collect():
-        got = np.frombuffer(r["vectors"], np.float16).reshape(-1, DIM)
-        vectors[r["slice"] * SLICE:r["slice"] * SLICE + len(got)] = got
-    shared.destroy()
-    own = np.float16(NONZERO ** -0.5)
-    for at in range(0, size, TOKENS):
-        part, here = vectors[at:at + TOKENS], places[at:at + TOKENS]
-        rows = np.arange(len(part))[:, None]
-        part[rows, here[:, ::2]] += own
-        part[rows, here[:, 1::2]] -= own
-    return vectors
+        for k, sums in zip(zip(b["slice"], b["dealt"]), b["sums"]):
+            got = np.frombuffer(zlib.decompress(sums), word).astype(np.int64)
+            if k == key:
+                total += got
+            else:
+                if key is not None:
+                    yield row()
+                key, total = k, got
+    if key is not None:
+        yield row()
+
+
+def word_vectors(docs: DataFrame) -> np.ndarray:
+    """Random indexing over all documents: each task adds up its part; the sums, whole numbers,
+    are added up by slices of the rows, in two steps however many tasks there are."""
+    columns = "slice int, dealt int, sums binary"
+    rows, word = docs.select("text").mapInPandas(_sums, columns), "<i4"
+    for dealt in (F.col("dealt"), F.lit(0)):
+        rows = rows.select("slice", dealt.alias("dealt"), "sums").repartition("slice", "dealt") \
+            .sortWithinPartitions("slice", "dealt") \
+            .mapInPandas(lambda bs, word=word: _merged(bs, word), columns)
+        word = "<i8"
+    context = np.zeros((ROWS, DIM))
+    for r in rows.collect():
+        got = np.frombuffer(zlib.decompress(r["sums"]), "<i8").reshape(-1, DIM)
+        context[r["slice"] * SLICE:r["slice"] * SLICE + len(got)] = got
+    context /= np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1e-9)
+    return (context + index_vectors() * NONZERO ** -0.5).astype(np.float16)
 
 
 class Pool:
     """Texts to document vectors."""
 
-    def __init__(self, numbers: Vocabulary, vectors: np.ndarray):
-        self.numbers, self.vectors, self._types = numbers, vectors, None
+    def __init__(self, vectors: np.ndarray):
+        self.vectors, self._types, self._wide = vectors, None, None
 
     def __getstate__(self):
-        return self.__dict__ | {"_types": None}
+        return self.__dict__ | {"_types": None, "_wide": None}
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
-        self._types = self._types or Types(self.numbers)
+        if self._types is None:
+            self._types, self._wide = Types(), self.vectors.astype(np.float32)
         out = np.zeros((len(texts), DIM + 1), np.float32)
         for row, text in zip(out, texts):
-            ids = self._types.of(text)
-            if len(ids):
-                kinds, n = np.unique(ids, return_counts=True)
-                vectors = self.vectors[kinds].astype(np.float32)
-                row[:DIM] = (n.astype(np.float32) / len(ids)) @ vectors
-            row[DIM] = np.log1p(len(ids)) / 8
+            rows = self._types.of(text)
+            for at in range(0, len(rows), TOKENS):
+                row[:DIM] += self._wide[rows[at:at + TOKENS]].sum(axis=0)
+            row[:DIM] /= max(1, len(rows))
+            row[DIM] = np.log1p(len(rows)) / 8
         return out
 
 
@@ -326,8 +276,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifie
     share = (count.get(1, 0) + 1) / (sum(count.values()) + 2)
     if not count.get(0) or not count.get(1):
         return Classifier(None, None, share)
-    numbers, places = vocabulary(docs)
-    pool = Pool(numbers, word_vectors(docs, numbers, places))
+    pool = Pool(word_vectors(docs))
     shared = docs.sparkSession.sparkContext.broadcast(pool)
 
     def pooled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

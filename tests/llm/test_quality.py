@@ -1,3 +1,5 @@
+import itertools
+
 import numpy as np
 
 from snaplake.llm import quality
@@ -52,9 +54,12 @@ def test_nothing_to_learn_from(spark):
 
 def test_shapes_and_types():
     assert [quality.shape(w) for w in ("Hello!!", "ÀB9é", "|", "a***", "")] == ["Aa!", "A9a", "|", "a*", ""]
-    numbers = {"=": 0, "?": 1, "sAa": 2, "wthe": 3}
-    types = quality.Types(numbers)
-    assert types.of("The Tree Tree | the").tolist() == [3, 2, 0, 1, 3]
+    assert len(quality.shape("a1" * 40)) == 80  # never cut
+    assert [quality.type_of(w) for w in ("The", "tree,", "été.", "a***", "LOUD!!", "X", "|", "日本", "x1")] == \
+        ["wthe", "wtree,", "wété.", "sa*", "sA!", "wx", "s|", "w日本", "sa9"]
+    types = quality.Types()
+    the, tree, bar = (quality.row_of(t) for t in ("wthe", "wtree", "s|"))
+    assert types.of("The Tree Tree | the").tolist() == [the, tree, quality.AGAIN, bar, the]
     assert types.of(None).tolist() == []
 
 
@@ -73,28 +78,47 @@ def test_temperature_makes_logits_calibrated():
         assert abs(p[some].mean() - y[some].mean()) < 0.1
 
 
-def test_every_document_and_word_counts(spark):
-    # 3,000 forms in five unlabelled documents each, none of them in a labelled one.
-    rare = [f"{'abcdefghij'[i // 300]}{i}" for i in range(3000)]
-    texts = [("plain words here" if i % 2 else "BAD!! LOUD!!") for i in range(20)] \
-        + [" ".join(rare[k::10]) for k in range(10)] * 5
-    df = docs(spark, texts)
-    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], LABELS)
-    model = quality.learn(df, labels)
-    assert all(model.pool.numbers.get("w" + w) is not None for w in rare)
-    numbers, places = quality.vocabulary(df)
-    got = quality.word_vectors(df, numbers, places)
-    want = np.zeros((len(numbers), quality.DIM))
-    index = np.zeros((len(numbers), quality.DIM))
-    for row, at in zip(index, places):
-        row[at[::2]], row[at[1::2]] = 1.0, -1.0
-    types = quality.Types(numbers)
+def plain_sums(texts):
+    """Random indexing with plain loops."""
+    index, want = quality.index_vectors().astype(float), np.zeros((quality.ROWS, quality.DIM))
+    types = quality.Types()
     for t in texts:
         ids = types.of(t)
         for i, a in enumerate(ids):
             for j in range(max(0, i - quality.REACH), min(len(ids), i + quality.REACH + 1)):
                 if i != j:
                     want[a] += index[ids[j]]
+    return want
+
+
+def test_every_document_and_word_counts(spark, monkeypatch):
+    # 3,000 forms in unlabelled documents, none of them in a labelled one, and a long text.
+    rare = ["".join(c) for c in itertools.islice(itertools.product("abcdefgh", repeat=5), 3000)]
+    texts = [("plain words here" if i % 2 else "BAD!! LOUD!!") for i in range(20)] \
+        + [" ".join(rare[k::10]) for k in range(10)] * 5 + [None, "", "one", " ".join(rare * 2)]
+    df = docs(spark, texts).repartition(7)
+    got = quality.word_vectors(df)
+    want = plain_sums(texts)
     want /= np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-9)
-    assert np.allclose(got, want + index / np.sqrt(quality.NONZERO), atol=1e-3)
-    assert np.array_equal(got, model.pool.vectors)
+    want += quality.index_vectors() / np.sqrt(quality.NONZERO)
+    assert np.allclose(got, want, atol=2e-3)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(20)], LABELS)
+    assert np.array_equal(got, quality.learn(df, labels).pool.vectors)
+
+
+def test_long_texts_are_added_up_by_stretches(monkeypatch):
+    rng = np.random.default_rng(1)
+    rows = rng.integers(0, 50, 400).astype(np.uint16)
+    whole, parts = (np.zeros((quality.ROWS, quality.DIM), np.int32) for _ in range(2))
+    quality._add_neighbours(whole, [(rows, 0, 400), (rows[:1], 0, 1)])
+    for at in range(0, 400, 7):
+        low = max(0, at - quality.REACH)
+        quality._add_neighbours(parts, [(rows[low:at + 7 + quality.REACH], at - low,
+                                         min(400, at + 7) - low)])
+    assert (whole == parts).all() and whole.any()
+
+
+def test_index_vectors():
+    v = quality.index_vectors()
+    assert ((v == 1).sum(axis=1) == 4).all() and ((v == -1).sum(axis=1) == 4).all()
+    assert len({x.tobytes() for x in v}) == quality.ROWS
