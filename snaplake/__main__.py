@@ -3,6 +3,7 @@
     python -m snaplake daily    --landing DIR --root DIR --date YYYY-MM-DD
     python -m snaplake backfill --landing DIR --root DIR --date YYYY-MM-DD [--from 2000 --to Y]
     python -m snaplake models   --root DIR
+    python -m snaplake card     --root DIR --name avg_rating_by_genre
     python -m snaplake show     --root DIR --table gold/agg_historical_analysis [--rows 20]
     python -m snaplake compact  --root DIR --table raw/discover --date YYYY-MM-DD
 
@@ -16,17 +17,7 @@ import datetime as dt
 
 from snaplake.plans import cards, gold, jobs, quality
 from snaplake.session import get_session
-
-CARDS = {
-    "total_movies": ("daily_total_movies", cards.total_movies),
-    "highest_rated": ("daily_top_rated_movies", cards.highest_rated),
-    "trending": ("daily_most_popular_movies", cards.trending),
-    "genre_distribution": ("historical_genre_distribution", cards.genre_distribution),
-    "avg_rating_by_genre": ("agg_historical_analysis", cards.avg_rating_by_genre),
-    "movies_by_year": ("agg_historical_analysis", cards.movies_by_year),
-    "genre_share": ("historical_genre_distribution", cards.genre_share),
-}
-
+from snaplake.sinks import catalog
 
 def _tested(run) -> None:
     """Show the run's test results; failing ones end the command with an error status."""
@@ -47,7 +38,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--from", dest="year_from", type=int, default=2000)
     ap.add_argument("--to", dest="year_to", type=int)
     ap.add_argument("--table")
-    ap.add_argument("--name", choices=sorted(CARDS))
+    ap.add_argument("--name", choices=sorted(cards.CARDS))
     ap.add_argument("--rows", type=int, default=20)
     a = ap.parse_args(argv)
     spark = get_session(a.master)
@@ -70,9 +61,11 @@ def main(argv: list[str] | None = None) -> None:
         n = compact(spark, path, dt.date.fromisoformat(a.date), schema)
         print(f"{a.table} snapshot_date={a.date}: {n} file(s)")
     elif a.command == "card":
-        model, card = CARDS[a.name]
-        card(spark.read.parquet(f"{a.root.rstrip('/')}/gold/{model}")).show(a.rows,
-                                                                           truncate=False)
+        # The root's table is looked up by name, as a dashboard does.
+        name, path = cards.CARDS[a.name][0], f"{a.root.rstrip('/')}/gold/{cards.CARDS[a.name][0]}"
+        catalog.create_layers(spark, a.root, ("gold",))
+        catalog.register(spark, "gold", name, spark.read.parquet(path).schema, path)
+        cards.by_name(spark, a.name).show(a.rows, truncate=False)
 
 
 if __name__ == "__main__":

@@ -301,6 +301,49 @@ def q_card_by_name(spark, sf_dir):
     return cards.movies_by_year(spark.sql(f"SELECT * FROM {db}.agg_historical_analysis"))
 
 
+#: Card -> (its label, its value, the gold rows that it shows).
+_CARD_ROWS = {
+    "total_movies": ("NULL", "total_movies_in_db", "gold_daily_total_movies"),
+    "highest_rated": ("title", "vote_average", """gold_daily_top_rated_movies
+        ORDER BY vote_average DESC NULLS FIRST, vote_count DESC NULLS FIRST, movie_id LIMIT 10"""),
+    "trending": ("title", "popularity", """gold_daily_most_popular_movies
+        ORDER BY popularity DESC NULLS FIRST, movie_id LIMIT 10"""),
+    "genre_distribution": ("genre_name", "movie_count", "gold_historical_genre_distribution"),
+    "avg_rating_by_genre": (
+        "genre_name", "round(CAST(avg(avg_rating) AS DECIMAL(38,10)), 2)",
+        "gold_agg_historical_analysis WHERE avg_rating > 0 GROUP BY genre_name"),
+    "movies_by_year": ("CAST(release_year AS VARCHAR)", "sum(movie_count)",
+                       "gold_agg_historical_analysis GROUP BY release_year"),
+    "genre_share": ("genre_name", """((20000 * movie_count + (SELECT sum(movie_count)
+        FROM gold_historical_genre_distribution)) // (2 * (SELECT sum(movie_count)
+        FROM gold_historical_genre_distribution))) / 100.0""",
+                    "gold_historical_genre_distribution"),
+}
+
+
+@check("cards_by_name", " UNION ALL ".join(
+    f"(SELECT '{card}' AS card, {label} AS label, CAST({value} AS DOUBLE) AS value FROM {rows})"
+    for card, (label, value, rows) in _CARD_ROWS.items()))
+def q_cards_by_name(spark, sf_dir):
+    """CARD-01..07 over stored gold tables, all looked up in the catalog."""
+    root = scratch_path(spark, "warehouse")
+    db = "gold_" + root.rsplit("-", 1)[-1]
+    ddl.create_layers(spark, root, layers=(db,))
+    for name in dict.fromkeys(table for table, _ in cards.CARDS.values()):
+        stored = lake_sink.materialise(gold_model(spark, sf_dir, name), root, "gold", name)
+        ddl.register(spark, db, name, stored.schema, f"{root}/gold/{name}")
+    out = None
+    for card in cards.CARDS:
+        rows = cards.by_name(spark, card, db)
+        label = {"total_movies": F.lit(None), "movies_by_year": F.col("year")} \
+            .get(card, F.col("title" if "title" in rows.columns else rows.columns[0]))
+        value = {"highest_rated": "rating", "trending": "popularity"}.get(card, rows.columns[-1])
+        part = rows.select(F.lit(card).alias("card"), label.cast("string").alias("label"),
+                           F.col(value).cast("double").alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ---- ING over landed documents ------------------------------------------------------
 
 def _nested_sql(column: str, absent: str) -> str:
@@ -487,6 +530,26 @@ def q_dq_bad_json(spark, sf_dir):
         b.select(F.lit("discover").alias("source_table"), "failures"))
 
 
+@check("dq_cut_json", """
+SELECT 'movie_details' AS source_table, count(*) AS failures FROM raw_movie_details
+WHERE genres IS NOT NULL AND id % 13 = 0
+UNION ALL
+SELECT 'discover', count(*) FROM raw_discover WHERE genre_ids IS NOT NULL AND id % 17 = 0""")
+def q_dq_cut_json(spark, sf_dir):
+    """Planted: the JSON text of every 13th movie, and of every 17th discover row, lacks its end."""
+    s, out = layers(spark, sf_dir), None
+    for name, column, every, schema in (
+            ("movie_details", "genres", 13, schemas.GENRE_OBJECTS),
+            ("discover", "genre_ids", 17, schemas.GENRE_IDS)):
+        short = F.substr(column, F.lit(1), F.length(column) - 1)
+        rows = s[name].withColumn(column, F.when(F.col("id") % every == 0, short)
+                                  .otherwise(F.col(column)))
+        part = quality.bad_json(rows, column, schema).select(
+            F.lit(name).alias("source_table"), "failures")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ---- whole-history gold kept per day (plans.history) ----------------------------------
 
 def _history(spark, sf_dir, name):

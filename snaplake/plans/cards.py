@@ -7,7 +7,7 @@ the model's sort before ``limit`` (trap T7).  Every card input is a small gold t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snaplake.functions import scalar as fn
@@ -62,3 +62,21 @@ def genre_share(dist: DataFrame) -> DataFrame:
     total = dist.agg(F.sum("movie_count")).scalar()
     return dist.select(F.col("genre_name").alias("genre"), "movie_count",
                        fn.share_percent(F.col("movie_count"), total).alias("share_percent"))
+
+
+#: Card -> (gold table, query).
+CARDS = {
+    "total_movies": ("daily_total_movies", total_movies),
+    "highest_rated": ("daily_top_rated_movies", highest_rated),
+    "trending": ("daily_most_popular_movies", trending),
+    "genre_distribution": ("historical_genre_distribution", genre_distribution),
+    "avg_rating_by_genre": ("agg_historical_analysis", avg_rating_by_genre),
+    "movies_by_year": ("agg_historical_analysis", movies_by_year),
+    "genre_share": ("historical_genre_distribution", genre_share),
+}
+
+
+def by_name(spark: SparkSession, card: str, db: str = "gold") -> DataFrame:
+    """A card over the catalog's gold tables."""
+    table, query = CARDS[card]
+    return query(spark.table(f"`{db}`.`{table}`"))
