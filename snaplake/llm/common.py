@@ -11,6 +11,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from snaplake.session import scratch_path
 from snaplake.sinks.lake import delete_path
@@ -97,3 +98,10 @@ def own_columns(df: DataFrame, prefix: str, *taken: str) -> list[str]:
         have.add(name.lower())
         out.append(name)
     return out
+
+
+def row_hash(df: DataFrame, seed: int = 0) -> Column:
+    """A hash of all columns of a row."""
+    nested = (ArrayType, MapType, StructType, VariantType)
+    return F.xxhash64(*[F.to_json(F.col(f"`{f.name}`")) if isinstance(f.dataType, nested)
+                        else F.col(f"`{f.name}`") for f in df.schema.fields], F.lit(seed))

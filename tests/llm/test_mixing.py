@@ -64,7 +64,7 @@ def test_capped_sources(spark):
 def test_reruns_agree_whatever_the_partitioning(spark):
     df = table(spark, 3)
     assert rows(mixing.mixture(df)) == rows(mixing.mixture(df.repartition(7))) \
-        == rows(mixing.mixture(df, buckets=3))
+        == rows(mixing.mixture(df, ranges=3))
 
 
 def test_repeated_rows_are_counted_apart(spark):
@@ -99,3 +99,64 @@ def test_empty_table_and_no_words(spark):
     assert mixing.mixture(docs(spark, [])).count() == 0
     assert mixing.mix(docs(spark, [])).count() == 0
     assert [r.taken for r in mixing.mixture(docs(spark, [None, " "])).collect()] == [0, 0]
+
+
+def chosen(out):
+    """What each source takes beyond whole epochs, by the rule as it is told: rows by key, one
+    after another if they still fit; then one that comes nearer."""
+    by_source = defaultdict(list)
+    for r in out:
+        by_source[r.source].append(r)
+    want = {}
+    for rows_ in by_source.values():
+        size, target = rows_[0].source_size, rows_[0].target
+        epochs = int(target // size) if size else 0
+        left, untaken = target - epochs * size, []
+        for r in sorted(rows_, key=lambda r: (-r.key, r.doc_id)):
+            want[r.doc_id] = epochs * r.size
+            if 0 < r.size <= left:
+                want[r.doc_id] += r.size
+                left -= r.size
+            elif r.size:
+                untaken.append(r)
+        nearer = [r for r in untaken if abs(r.size - left) < left]
+        if nearer:
+            r = min(nearer, key=lambda r: (abs(r.size - left), -r.key, r.doc_id))
+            want[r.doc_id] += r.size
+    return want
+
+
+def check_rows_taken(df):
+    keys = mixing._keyed(df, None).select(F.col("doc_id").alias("k_id"), "key")
+    out = mixing.mixture(df)
+    got = out.join(keys, F.col("doc_id") == F.col("k_id")).collect()
+    assert {r.doc_id: r.taken for r in got} == chosen(got)
+    return got
+
+
+def test_which_rows_are_taken(spark):
+    check_rows_taken(table(spark, 9))
+
+
+def test_large_documents_leave_room_for_small_ones(spark):
+    texts = ["w " * (700 if i % 5 == 0 else 20) for i in range(400)]
+    got = check_rows_taken(docs(spark, texts, sources=["abcd"[i % 4] for i in range(400)]))
+    for s, (size, _, taken, target) in summed(got).items():
+        assert abs(taken - target) <= 10, (s, taken, target)
+
+
+def test_texts_without_small_letters_spread_over_ranges(spark):
+    texts = ["日本語 " * (i % 30 + 1) if i % 2 else "LOUD " * (i % 17) for i in range(500)]
+    df = docs(spark, texts, sources=["ab"[i % 2] for i in range(500)])
+    check_rows_taken(df)
+    keys = mixing._keyed(df, None).groupBy("doc_id", "source", "size", "h", "row", "key").count()
+    parts = mixing.spread(keys, [F.col("source"), F.col("key").desc()], "t-spread", 10)
+    assert max(r["count"] for r in parts.groupBy("b").count().collect()) < 120
+
+
+def test_rows_alike_but_for_another_column_stay_themselves(spark):
+    df = docs(spark, ["a b c"] * 6 + ["x y"] * 3, ids=[1] * 6 + [2] * 3,
+              langs=["en", "de", "fr"] * 3).withColumn("tags", F.array(F.lit("t")))
+    taken = {(r.doc_id, r.taken) for r in mixing.mixture(df).collect()}
+    assert taken == {(1, 3), (2, 2)}
+    assert rows(mixing.mix(df)) == rows(df)
