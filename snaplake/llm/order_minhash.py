@@ -12,7 +12,8 @@ so two signatures agree in a part with a probability that falls with the edit di
 with the bag of k-mers.
 
 Hash and position share a long (``POSITION_BITS`` for the position), so both sorts of a text run
-over plain longs and a text of n tokens costs n log n, whatever its length.
+over plain longs and a text of n tokens costs n log n, whatever its length (up to 2 ** 28 tokens,
+as many as fit into a string of 512 MB).
 
 Defined cases: null text is the empty text, whose fingerprint is empty; two empty texts are
 alike with 1.0, an empty and a non-empty one with 0.0; texts shorter than a k-mer are one

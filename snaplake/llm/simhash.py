@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from snaplake.llm.common import cut, own_columns
+from snaplake.llm.common import cut, own_columns, row_hash
 from snaplake.llm.components import components
 
 SHINGLE = 3
@@ -166,7 +166,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
              block: int = BLOCK) -> DataFrame:
     """One row of ``docs`` (all columns) of each component: that with the smallest doc_id (null
     ids last), of several texts with that id the one with the smallest fingerprint; rows that
-    repeat both are one document."""
+    repeat both are one document, of which the first by text and other columns stays."""
     own, kept_id, kept_fp, copies = own_columns(docs, "simhash_", "fp", "id", "kept", "copies")
     fps, named = _classes(docs, shingle, radius, block)
     best = named.groupBy("root").agg(F.min(F.struct(
@@ -186,5 +186,9 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
     rows = rows.join(kept, (F.col(own) == F.col(kept_fp))
                      & F.col("doc_id").cast("long").eqNullSafe(F.col(kept_id)))
     once = rows.filter(F.col(copies) == 1).select(docs.columns)
-    again = rows.filter(F.col(copies) > 1).dropDuplicates([kept_fp]).select(docs.columns)
+    # Rows that share both but aren't alike: the smallest by text, then by a hash of all columns.
+    same = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(own)
+    order = F.struct(F.col("text"), row_hash(docs))
+    again = rows.filter(F.col(copies) > 1).select(F.col(kept_fp), order.alias(kept_id), same) \
+        .groupBy(kept_fp).agg(F.min_by(own, kept_id).alias(own)).select(f"{own}.*")
     return once.unionByName(again)

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from snaplake.llm import language_id, packing, quality, simhash
 from snaplake.llm.queries import oracle_queries, spark_queries
+from tests.llm.helpers import with_clashes
 
 SF = "/root/testdata/sf0.001"
 
@@ -53,9 +54,48 @@ def test_run_is_the_stages_one_after_another(spark):
     assert corpus_pipeline.ORACLE_SQL is None and [n for n, _ in corpus_pipeline.STAGES][2] == "simhash_near_dedup"
 
 
+def odd_tables(spark, folder, rows):
+    """Tables whose documents are those of sf0.001 with ``rows`` added, repeated and with clashing
+    columns; their folder."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    more = docs.select("doc_id", "text", "lang", "source", "n_chars") if rows else docs.limit(0)
+    df = more.unionByName(spark.createDataFrame(rows * 3, schema)) if rows else more
+    with_clashes(df).write.parquet(f"{folder}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    (labels if rows else labels.limit(0)).write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_run_over_odd_rows(spark, tmp_path):
+    rows = [(None, None, None, None, None), (9001, None, "en", "s", None), (9002, "", None, None, 0),
+            (None, "words without an id are a document too", "en", "s", 3),
+            (9003, "a plain text that comes three times in this table", "en", None, 5),
+            (9004, "long text of words " * 40_000, "en", "s", 7)]
+    folder = odd_tables(spark, tmp_path, rows)
+    pieces = corpus_pipeline.run(spark, folder).collect()
+    room = {}
+    for p in pieces:
+        room.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    for parts in room.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= packing.WINDOW
+    # Of a document that repeats as a whole one row stays, and the mixture takes it 0 to 3 times.
+    starts = [p.start for p in pieces if p.doc_id == 9003]
+    assert len(starts) <= 3
+
+
+def test_run_over_an_empty_table(spark, tmp_path):
+    assert corpus_pipeline.run(spark, odd_tables(spark, tmp_path, [])).count() == 0
+
+
 def test_registry():
     names = set(spark_queries())
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
+    assert {n.split("_")[0] for n in oracle_queries()} == {"op4", "op6", "op12", "op13"}
     assert set(oracle_queries()) <= names
 
 
