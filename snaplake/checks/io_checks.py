@@ -18,7 +18,8 @@ from snaplake.session import scratch_path
 from snaplake.sinks import catalog as ddl
 from snaplake.sinks import lake as lake_sink
 from snaplake.sources import landing, lake as lake_source
-from snaplake.streaming.incremental import ingest_available, ingest_lake
+from snaplake.streaming.incremental import (ingest_available, ingest_lake,
+                                            ingest_with_state)
 
 DAY = ("2024-01-01", "2024-01-02", "2024-01-03")
 _RAW_DISCOVER_COLS = ("id", "title", "genre_ids", "popularity", "vote_average", "vote_count",
@@ -611,16 +612,12 @@ def q_stream_insert_if_absent(spark, sf_dir):
     return spark.read.parquet(table)
 
 
-@check("stream_lake_files", """
-SELECT * FROM raw_discover WHERE data_source = 'discover'""")
-def q_stream_lake_files(spark, sf_dir):
-    """ST-01 over LOAD-01..05: the discover lake's files stream into the raw table, reconciled to
-    its schema, the first row of a key (as the responses came) kept.  Day files land in three
-    deliveries, the third one all of them again with other popularities; the stream stops and
-    goes on from its checkpoint after each."""
+def _lake_deliveries(spark, sf_dir, ingest_delivery):
+    """The discover lake's files land in three deliveries, the third one all rows again with other
+    popularities; ``ingest_delivery(folder, schema)`` runs after each.  Every movie comes twice, the
+    later one with 1000 more popularity."""
     raw = layers(spark, sf_dir)["discover"].where(F.col("data_source") == "discover")
-    lake, table = scratch_path(spark, "lake-stream"), scratch_path(spark, "raw-stream")
-    ckpt = scratch_path(spark, "raw-stream-ckpt")
+    lake = scratch_path(spark, "lake-stream")
     place = F.struct(F.col("release_year").alias("year"), F.lit(0).alias("page"),
                      F.lit("").alias("file"), F.lit(0).cast("long").alias("block"),
                      F.col("copy").alias("pos")).alias(schemas.ARRIVAL)
@@ -629,12 +626,32 @@ def q_stream_lake_files(spark, sf_dir):
     rows = twice.select("*", place, F.lit(1).alias("unknown_field")) \
         .withColumn("snapshot_date", F.col("snapshot_date").cast("string")) \
         .withColumn("genre_ids", F.from_json("genre_ids", schemas.GENRE_IDS)).drop("copy")
-    schema = rows.schema
     for days, shift in ((DAY[:1], 0), (DAY[1:], 0), (DAY, 5000)):
         rows.where(F.col("snapshot_date").isin(list(days))) \
             .withColumn("popularity", F.col("popularity") + shift) \
             .repartition(3, "id").write.mode("append").parquet(lake)
-        ingest_lake(spark, lake, schema, "discover", table, ckpt)
+        ingest_delivery(lake, rows.schema)
+
+
+@check("stream_lake_files", """
+SELECT * FROM raw_discover WHERE data_source = 'discover'""")
+def q_stream_lake_files(spark, sf_dir):
+    """ST-01 over LOAD-01..05: the discover lake's files stream into the raw table, reconciled to
+    its schema, the first row of a key (as the responses came) kept.  The stream stops after each
+    delivery and goes on from its checkpoint."""
+    table, ckpt = scratch_path(spark, "raw-stream"), scratch_path(spark, "raw-stream-ckpt")
+    _lake_deliveries(spark, sf_dir, lambda lake, schema: ingest_lake(
+        spark, lake, schema, "discover", table, ckpt))
+    return spark.read.schema(schemas.DISCOVER).parquet(table)
+
+
+@check("stream_with_state", """
+SELECT * FROM raw_discover WHERE data_source = 'discover'""")
+def q_stream_with_state(spark, sf_dir):
+    """The same deliveries through the state store: what was loaded is known without the table."""
+    table, ckpt = scratch_path(spark, "raw-state"), scratch_path(spark, "raw-state-ckpt")
+    _lake_deliveries(spark, sf_dir, lambda lake, schema: ingest_with_state(
+        spark, lake, schema, "discover", table, ckpt))
     return spark.read.schema(schemas.DISCOVER).parquet(table)
 
 

@@ -74,7 +74,7 @@ def reconcile(df: DataFrame, dataset: str, date: str | None = None) -> DataFrame
     return align(default_source(df), schemas.RAW_TABLES[dataset])
 
 
-def _reject_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def reject_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """T13: a NULL key fails the write job (like a primary-key violation) -- checked
     inside the same pass that writes, no extra scan."""
     return df.select([
@@ -119,7 +119,7 @@ def insert_if_absent(batch: DataFrame, path: str,
     4. The rest is appended, one directory per day made on demand (SNK-08).
     """
     spark, keys = batch.sparkSession, list(keys)
-    first = _first_to_arrive(_reject_null_keys(batch, keys), keys, order, arrival)
+    first = _first_to_arrive(reject_null_keys(batch, keys), keys, order, arrival)
     stored = read_or_none(spark, path, first.schema)
     staged = None
     if stored is not None:
@@ -149,7 +149,7 @@ def conflict_free(batch: DataFrame, table: str, days: Iterable,
     the same way, so neither the stored rows nor the join shuffles: only the batch moves."""
     spark, keys = batch.sparkSession, list(keys)
     n = buckets_of(spark, table)
-    first = _first_to_arrive(_reject_null_keys(batch, keys), keys, order, arrival) \
+    first = _first_to_arrive(reject_null_keys(batch, keys), keys, order, arrival) \
         .repartition(n, keys[0])
     stored = spark.table(table).where(F.col(partition_col).isin(
         [F.lit(d).cast(first.schema[partition_col].dataType) for d in days]))

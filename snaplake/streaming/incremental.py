@@ -4,18 +4,24 @@ The daily schedule becomes a file stream run with ``availableNow``: each trigger
 only files not yet recorded in the checkpoint, and ``foreachBatch`` hands each micro-batch
 to ``insert_if_absent``.  A replayed batch (after a failure between write and commit)
 inserts nothing twice, because every key it carries is already stored.
+
+``ingest_with_state`` does the same without a look at the stored rows: a state store holds the keys
+that were loaded, as the warehouse's key index does, and the file sink writes each row once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import StructType
 
 from snaplake import schemas
-from snaplake.operators.load import insert_if_absent, reconcile
+from snaplake.operators.load import insert_if_absent, reconcile, reject_null_keys
 
 
 def ingest_available(spark: SparkSession, source_dir: str, schema: StructType,
@@ -46,3 +52,43 @@ def ingest_lake(spark: SparkSession, source_dir: str, schema: StructType, datase
     return ingest_available(spark, source_dir, schema, table_path, checkpoint,
                             keys=schemas.RAW_KEYS, partition_col=schemas.PARTITION_COLUMN,
                             prepare=lambda batch: reconcile(batch, dataset), **options)
+
+
+def _place(arrival: str = schemas.ARRIVAL) -> Column:
+    """The arrival as text that sorts alike."""
+    part = lambda name, n: F.lpad(F.col(f"{arrival}.{name}").cast("string"), n, "0")
+    return F.concat_ws("|", part("year", 10), part("page", 10), F.col(f"{arrival}.file"),
+                       part("block", 20), part("pos", 10))
+
+
+def ingest_with_state(spark: SparkSession, source_dir: str, schema: StructType, dataset: str,
+                      table_path: str, checkpoint: str, max_files_per_trigger: int | None = None,
+                      fmt: str = "parquet") -> StreamingQuery:
+    """New files of the lake into the raw table ``dataset``, the first row of a key to arrive kept:
+    of a micro-batch the one that stood first in the responses, and none of a key that an earlier
+    batch had.  The state is one flag per key ever loaded and never expires, so no row is late; it
+    belongs on disk (``spark.sql.streaming.stateStore.providerClass``: RocksDB) where keys are many.
+    A row travels through the state as one JSON text, so Python changes none of its values."""
+    reader = spark.readStream.schema(schema).format(fmt)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    target, keys = schemas.RAW_TABLES[dataset], list(schemas.RAW_KEYS)
+    rows = reject_null_keys(reconcile(reader.load(source_dir), dataset), keys)
+    packed = rows.select(*keys, _place().alias("place"),
+                         F.to_json(F.struct(*target.fieldNames())).alias("body"))
+
+    def first(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.exists:
+            return
+        best = min(min(zip(f["place"], f["body"])) for f in frames)
+        state.update((True,))
+        yield pd.DataFrame({"body": [best[1]]})
+
+    kept = packed.groupBy(*keys).applyInPandasWithState(
+        first, "body string", "seen boolean", "append", GroupStateTimeout.NoTimeout)
+    out = kept.select(F.from_json("body", target).alias("r")).select("r.*")
+    q = out.writeStream.format("parquet").partitionBy(schemas.PARTITION_COLUMN) \
+        .option("path", table_path).option("checkpointLocation", checkpoint) \
+        .trigger(availableNow=True).start()
+    q.awaitTermination()
+    return q
