@@ -98,16 +98,19 @@ class Types(dict):
 
 @functools.cache
 def index_vectors() -> np.ndarray:
-    """The rows' sparse random index vectors: ``NONZERO`` places with 1 and -1 by turns."""
-    x = np.arange(1, ROWS + 1, dtype=np.uint64)[:, None] * np.uint64(0xD1342543DE82EF95) \
-        + np.arange(1, DIM + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
-    x ^= x >> np.uint64(31)
-    places = np.argsort(x, axis=1)[:, :NONZERO]
+    """The rows' sparse random index vectors: ``NONZERO`` places with 1 and -1 by turns.  Made a
+    slice of the rows at a time, so a worker never holds more than the table itself."""
     out = np.zeros((ROWS, DIM), np.int8)
-    np.put_along_axis(out, places[:, ::2], 1, axis=1)
-    np.put_along_axis(out, places[:, 1::2], -1, axis=1)
+    for at in range(0, ROWS, SLICE):
+        x = np.arange(at + 1, at + SLICE + 1, dtype=np.uint64)[:, None] \
+            * np.uint64(0xD1342543DE82EF95) \
+            + np.arange(1, DIM + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+        x ^= x >> np.uint64(31)
+        places = np.argsort(x, axis=1)[:, :NONZERO]
+        np.put_along_axis(out[at:at + SLICE], places[:, ::2], 1, axis=1)
+        np.put_along_axis(out[at:at + SLICE], places[:, 1::2], -1, axis=1)
     return out
 
 
