@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,31 +62,47 @@ def _place(arrival: str = schemas.ARRIVAL) -> Column:
                        part("block", 20), part("pos", 10))
 
 
+#: Hash buckets of a day's and source's keys; a bucket's ids are one value of the state.
+STATE_BUCKETS = 2048
+
+
+def _first_of_bucket(group, frames: Iterator[pd.DataFrame],
+                     state: GroupState) -> Iterator[pd.DataFrame]:
+    """The first row, by place and then text, of each id of the bucket that isn't in its state."""
+    loaded = np.frombuffer(state.get[0] if state.exists else b"", dtype=np.int64)
+    first = None
+    for f in frames:
+        f = f.loc[~np.isin(f["key"].to_numpy(), loaded), ["key", "place", "body"]]
+        if len(f):
+            rows = f if first is None else pd.concat([first, f])
+            first = rows.sort_values(["key", "place", "body"]).drop_duplicates("key")
+    if first is not None:
+        state.update((np.sort(np.concatenate([loaded, first["key"].to_numpy()])).tobytes(),))
+        yield first[["body"]].reset_index(drop=True)
+
+
 def ingest_with_state(spark: SparkSession, source_dir: str, schema: StructType, dataset: str,
                       table_path: str, checkpoint: str, max_files_per_trigger: int | None = None,
                       fmt: str = "parquet") -> StreamingQuery:
     """New files of the lake into the raw table ``dataset``, the first row of a key to arrive kept:
     of a micro-batch the one that stood first in the responses, and none of a key that an earlier
-    batch had.  The state is one flag per key ever loaded and never expires, so no row is late; it
-    belongs on disk (``spark.sql.streaming.stateStore.providerClass``: RocksDB) where keys are many.
-    A row travels through the state as one JSON text, so Python changes none of its values."""
+    batch had.  The state is the sorted ids ever loaded of each (day, source, hash bucket), so a
+    batch touches the state of its own days alone and Python is called once a bucket, not once a
+    key.  It never expires, so no row is late; it belongs on disk
+    (``spark.sql.streaming.stateStore.providerClass``: RocksDB) where keys are many.  A row travels
+    through the state as one JSON text, so Python changes none of its values."""
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     target, keys = schemas.RAW_TABLES[dataset], list(schemas.RAW_KEYS)
+    key, *rest = keys
     rows = reject_null_keys(reconcile(reader.load(source_dir), dataset), keys)
-    packed = rows.select(*keys, _place().alias("place"),
-                         F.to_json(F.struct(*target.fieldNames())).alias("body"))
-
-    def first(key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            return
-        best = min(min(zip(f["place"], f["body"])) for f in frames)
-        state.update((True,))
-        yield pd.DataFrame({"body": [best[1]]})
-
-    kept = packed.groupBy(*keys).applyInPandasWithState(
-        first, "body string", "seen boolean", "append", GroupStateTimeout.NoTimeout)
+    packed = rows.select(
+        *rest, F.pmod(F.xxhash64(key), F.lit(STATE_BUCKETS)).alias("bucket"),
+        F.col(key).cast("long").alias("key"), _place().alias("place"),
+        F.to_json(F.struct(*target.fieldNames())).alias("body"))
+    kept = packed.groupBy(*rest, "bucket").applyInPandasWithState(
+        _first_of_bucket, "body string", "loaded binary", "append", GroupStateTimeout.NoTimeout)
     out = kept.select(F.from_json("body", target).alias("r")).select("r.*")
     q = out.writeStream.format("parquet").partitionBy(schemas.PARTITION_COLUMN) \
         .option("path", table_path).option("checkpointLocation", checkpoint) \

@@ -2,8 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from snaplake import schemas
 from snaplake.session import scratch_path
-from snaplake.streaming.incremental import ingest_available
+from snaplake.streaming.incremental import STATE_BUCKETS, ingest_available, ingest_with_state
 
 
 def _run(spark, src, table, ckpt, schema):
@@ -31,3 +32,25 @@ def test_replay_adds_nothing(spark, sf_dir):
     dup = spark.read.parquet(table).groupBy("user_id", "event_date", "event_type").count() \
         .where("count > 1").count()
     assert dup == 0
+
+
+def test_state_holds_buckets_and_first_row_wins(spark):
+    """The state has a value per hash bucket of a day, not one per key; of copies in a batch the
+    first by place stays, and keys of earlier batches add nothing."""
+    src, table = scratch_path(spark, "ws-src"), scratch_path(spark, "ws-table")
+    ckpt, n = scratch_path(spark, "ws-ckpt"), 3 * STATE_BUCKETS
+    copies = spark.range(n).select(F.col("id"), F.explode(F.array(F.lit(2), F.lit(1), F.lit(3)))
+                                   .alias("copy"))
+    place = F.struct(F.lit(2000).alias("year"), F.col("copy").alias("page"), F.lit("f").alias("file"),
+                     F.lit(0).cast("long").alias("block"), F.lit(0).alias("pos"))
+    rows = copies.select("id", F.concat(F.lit("t"), F.col("copy")).alias("title"),
+                         F.lit("2024-01-01").alias("snapshot_date"),
+                         F.lit("discover").alias("data_source"), place.alias(schemas.ARRIVAL))
+    for wanted in (rows.where("id % 2 = 0"), rows.withColumn("title", F.concat("title", F.lit("b")))):
+        wanted.repartition(3).write.mode("append").parquet(src)
+        q = ingest_with_state(spark, src, rows.schema, "discover", table, ckpt)
+    state = [s["numRowsTotal"] for p in q.recentProgress for s in p["stateOperators"]]
+    assert 0 < max(state) <= STATE_BUCKETS
+    got = {r.id: r.title for r in spark.read.schema(schemas.DISCOVER).parquet(table).collect()}
+    assert got == {i: "t1" if i % 2 == 0 else "t1b" for i in range(n)}
+    assert spark.read.schema(schemas.DISCOVER).parquet(table).count() == n
