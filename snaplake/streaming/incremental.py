@@ -37,8 +37,10 @@ def ingest_available(spark: SparkSession, source_dir: str, schema: StructType,
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = prepare(batch) if prepare else batch
+        # One column of the files tells the days: only stored ones are compared with.
+        days = [r[0] for r in rows.select(partition_col).distinct().collect()]
         insert_if_absent(rows, table_path, keys=keys, partition_col=partition_col,
-                         order=order)
+                         order=order, days=days)
 
     q = stream.writeStream.foreachBatch(load_batch) \
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
