@@ -3,11 +3,12 @@
 import glob
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from snaplake import fixtures, schemas
-from snaplake.operators import ingest
-from snaplake.plans import jobs
+from snaplake.operators import ingest, load
+from snaplake.plans import jobs, quality, silver
 from snaplake.session import scratch_path
 from tests.test_plans import plan
 
@@ -97,3 +98,57 @@ def test_landed_lists_are_read_once(spark, monkeypatch):
     assert seen and all(f.endswith(".parquet") for f in seen)
     raw = spark.read.parquet(f"{root}/raw/movie_details")
     assert sorted(r.id for r in raw.select("id").collect()) == list(range(9))
+
+
+def test_requests_are_ranked_in_parts(spark, monkeypatch):
+    """Ties, unknown popularities and requests without a year, against one window a request."""
+    monkeypatch.setattr(fixtures, "RANKED", 40)
+    monkeypatch.setattr(fixtures, "PARTS", 16)
+    groups = ["snapshot_date", "release_year"]
+    movies = _movies(spark, 3000).select(
+        "*", F.when(F.col("id") % 7 > 0, (F.col("id") % 4).cast("int")).alias("release_year"),
+        F.when((F.col("id") % 37 > 0) & (F.col("id") % 4 != 3),
+               (F.xxhash64("id") % 50).cast("double")).alias("popularity"))
+    whole = Window.partitionBy(*groups)
+    plain = movies.where("release_year IS NOT NULL").withColumn("rank", F.row_number().over(
+        whole.orderBy(F.col("popularity").desc_nulls_last(), "id"))) \
+        .withColumn("n", F.count(F.lit(1)).over(whole))
+    columns = ["id", "release_year", "n", "rank"]
+    got = fixtures._ranked(movies, groups)
+    assert "part" in plan(got) and "part" not in got.columns
+    assert sorted(map(tuple, got.select(columns).collect())) \
+        == sorted(map(tuple, plain.select(columns).collect()))
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "string"])
+def test_only_keys_that_are_not_stored(spark, kind):
+    have = [-65, -64, -1, 0, 1, 63, 64, 64, 2 ** 31 - 1]
+    ids = lambda values: spark.createDataFrame([(v, "s") for v in values], "id long, source string") \
+        .withColumn("id", F.col("id").cast(kind))
+    batch = ids(have).withColumn("_looked", F.lit(False))
+    got = load._not_stored(batch, ids([-64, 2, 63]).unionByName(
+        ids([0, 1]).withColumn("source", F.lit("other"))), ["id", "source"])
+    assert got.columns == ["id", "source", "_looked"] and dict(got.dtypes)["id"] == kind
+    assert ("bit_or" in plan(got)) == (kind != "string")
+    assert sorted(int(r.id) for r in got.collect()) == [-65, -1, 0, 1, 64, 2 ** 31 - 1]
+
+
+@pytest.mark.parametrize("repeats", [False, True])
+def test_what_staging_parsed_is_not_parsed_again(spark, repeats):
+    texts = [(1, "[1]", "2024-01-01"), (2, "[1", "x"), (3, None, None), (4, "{}", ""),
+             (5, "[]", "2024-13-01"), (6, "null", "2024-01-01")]
+    rows = spark.createDataFrame([(*t, s) for t in texts for s in (["a", "b"] if repeats else "a")],
+                                 "id long, text string, release_date string, data_source string")
+    raw = {}
+    for name, column in (("movie_details", "genres"), ("discover", "genre_ids")):
+        have = rows.withColumn(column, F.col("text")).withColumn("snapshot_date", F.lit(D1))
+        raw[name] = have.select(*[
+            (F.col(f.name) if f.name in have.columns else F.lit(None)).cast(f.dataType)
+            .alias(f.name) for f in schemas.RAW_TABLES[name].fields])
+    staged = {"movie_details": silver.stg_movie_details(raw["movie_details"]),
+              "discover": silver.stg_discover(raw["discover"])}
+    got = quality.run_raw_suite(raw, staged={k: v.localCheckpoint() for k, v in staged.items()})
+    assert sorted(map(tuple, got.collect())) \
+        == sorted(map(tuple, quality.run_raw_suite(raw).collect()))
+    assert {r.failures for r in got.collect()} != {0}
+    assert ("from_json" in plan(got)) == repeats
