@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from snaplake import fixtures, schemas
 from snaplake.operators import ingest, load
-from snaplake.plans import jobs, quality, silver
+from snaplake.plans import history, jobs, quality, silver
 from snaplake.session import scratch_path
-from tests.test_plans import plan
+from snaplake.sinks import lake as lake_sink
+from tests.test_plans import plan, tree
 
 D1 = "2024-01-01"
 
@@ -152,3 +153,26 @@ def test_what_staging_parsed_is_not_parsed_again(spark, repeats):
         == sorted(map(tuple, quality.run_raw_suite(raw).collect()))
     assert {r.failures for r in got.collect()} != {0}
     assert ("from_json" in plan(got)) == repeats
+
+
+def test_a_bucket_of_ids_is_one_tasks(spark, monkeypatch):
+    """However ids lie in the files, bitmaps are made once a bucket, and none moves."""
+    plans = []
+    real = lake_sink.materialise
+    monkeypatch.setattr(lake_sink, "materialise", lambda df, root, layer, name, **more: (
+        plans.append(plan(df)) if name == "movie_bitmaps" else None,
+        real(df, root, layer, name, **more))[1])
+    core = _movies(spark, 70_000).repartition(5).select(
+        F.col("id").alias("movie_id"), "snapshot_date", F.lit(1.0).alias("popularity"),
+        F.lit(2.0).alias("vote_average"), F.lit("2001-01-01").cast("date").alias("release_date"),
+        F.when(F.col("id") % 5 > 0, F.array((F.col("id") % 2).cast("int"))).alias("raw_genre_ids"))
+    root = scratch_path(spark, "buckets")
+    history.refresh(core, root, [D1])
+    assert len(plans) == 1
+    above = tree(plans[0]).split("Exchange")[0]
+    assert "SortAggregate" in above and "Generate" in above  # genres are told apart after the move
+    got = spark.read.parquet(f"{root}/state/movie_bitmaps").select(
+        "genre_id", "bucket", F.bitmap_count("movies").alias("n"))
+    assert {(r.genre_id, r.n) for r in got.groupBy("genre_id").agg(F.sum("n").alias("n")).collect()} \
+        == {(None, 14_000), (0, 28_000), (1, 28_000)}
+    assert got.count() == 10  # id 0 is the last of a bucket
